@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
@@ -93,15 +93,48 @@ def bs_price(
         if q is None:
             raise ValueError("use_q needs q")
         spot = spot * F.exp(-_col(q) * t)
-    is_call = _col(put_call).startswith("C")
+    sign = _sign(_col(put_call))
+    d1, d2 = _d1_d2(spot, strike, t, rate, sigma, sign)
+    return _bs_value(spot, strike, t, rate, sign, norm_cdf(d1), norm_cdf(d2))
+
+
+def _sign(put_call: Column) -> Column:
+    return F.when(put_call.startswith("C"), F.lit(1.0)).otherwise(F.lit(-1.0))
+
+
+def _d1_d2(spot: Column, strike: Column, t: Column, rate: Column, sigma: Column, sign: Column) -> tuple[Column, Column]:
     width = sigma * F.sqrt(t)
     d1 = F.try_divide(F.ln(F.try_divide(spot, strike)) + (rate + sigma * sigma / 2) * t, width)
-    d2 = d1 - width
-    pay = strike * F.exp(-rate * t)
-    call = spot * norm_cdf(d1) - pay * norm_cdf(d2)
-    put = pay * norm_cdf(-d2) - spot * norm_cdf(-d1)
-    flat = F.greatest(F.when(is_call, spot - pay).otherwise(pay - spot), F.lit(0.0))
-    return F.when(t == 0, flat).when(t > 0, F.when(is_call, call).otherwise(put))
+    return sign * d1, sign * (d1 - width)
+
+
+def _bs_value(spot: Column, strike: Column, t: Column, rate: Column, sign: Column, n1: Column, n2: Column) -> Column:
+    price = sign * (spot * n1 - strike * F.exp(-rate * t) * n2)
+    return F.when(t == 0, F.greatest(sign * (spot - strike), F.lit(0.0))).when(t > 0, price)
+
+
+def with_bs_price(
+    df: DataFrame,
+    spot: str = "underlyingPrice",
+    strike: str = "strikePrice",
+    t: str = "t",
+    rate: str = "r",
+    sigma: str = "sigma",
+    put_call: str = "putCall",
+    name: str = "price",
+) -> DataFrame:
+    """``bs_price`` as a column of ``df``, for wide tables.
+
+    The arguments of the distribution function are columns of their own, so the
+    expression stays small and is compiled once per stage.
+    """
+    spot, strike, t, rate, sigma = (F.col(c) for c in (spot, strike, t, rate, sigma))
+    signed = df.withColumn("__sign", _sign(F.col(put_call)))
+    d1, d2 = _d1_d2(spot, strike, t, rate, sigma, F.col("__sign"))
+    staged = signed.withColumns({"__d1": d1, "__d2": d2})
+    staged = staged.withColumns({"__n1": norm_cdf(F.col("__d1")), "__n2": norm_cdf(F.col("__d2"))})
+    value = _bs_value(spot, strike, t, rate, F.col("__sign"), F.col("__n1"), F.col("__n2"))
+    return staged.withColumn(name, value).drop("__sign", "__d1", "__d2", "__n1", "__n2")
 
 
 # --------------------------------------------------------------------------- numpy kernels

@@ -19,8 +19,8 @@ def curve_points(wide: DataFrame, date: str = "Date", labels: Sequence[str] | No
     Null yields are left out.
     """
     labels = list(labels or [c for c in wide.columns if c != date])
-    long = wide.select(F.col(date).cast("date").alias("ref_date"), *[F.col(f"`{c}`").cast("double").alias(c) for c in labels])
-    long = long.unpivot(["ref_date"], [F.col(f"`{c}`") for c in labels], "label", "pct").filter("pct is not null")
+    cells = [F.struct(F.lit(c).alias("label"), F.col(f"`{c}`").cast("double").alias("pct")) for c in labels]
+    long = wide.select(F.col(date).cast("date").alias("ref_date"), F.inline(F.array(*cells))).filter("pct is not null")
     days = maturity_days("label")
     return long.select(
         "ref_date",

@@ -410,8 +410,8 @@ _PRICED = f"SELECT symbol, putCall, underlyingPrice, strikePrice, daysToExpirati
 def _(spark, sf):
     c = contracts(spark, sf).withColumn("t", F.col("daysToExpiration") / F.lit(365.0))
     sigma = F.lit(0.15) + (F.col("daysToExpiration") % 5) / F.lit(10.0)
-    price = P.bs_price("underlyingPrice", "strikePrice", "t", F.lit(0.045), sigma, "putCall")
-    return rounded(c.select("symbol", price.alias("price")), 6, "price")
+    c = P.with_bs_price(c.withColumns({"r": F.lit(0.045), "sigma": sigma}))
+    return rounded(c.select("symbol", "price"), 6, "price")
 
 
 @query("fn13_crr_price")
