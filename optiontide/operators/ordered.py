@@ -129,7 +129,8 @@ def rolling_rows(
             result = _FRAME_FUNCTIONS[fn](value).over(w)
         else:
             raise ValueError(f"unknown rolling function {fn!r}")
-        columns[name] = F.when(F.count(value).over(w) >= n, result)
+        present = F.lit(1) if fn == "count" else value  # a count waits for n rows, the others for n values
+        columns[name] = F.when(F.count(present).over(w) >= n, result)
     return (
         spread.withColumns(columns).filter(F.col("__home") == F.col("__block")).drop("__ord", "__home", "__block")
     )

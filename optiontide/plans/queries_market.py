@@ -87,7 +87,7 @@ def _frame(n: int, fn: str, digits: int = 6) -> str:
 @query(
     "win3_rolling",
     f"SELECT event_id, symbol, {_frame(20, 'avg')} AS mean20, {_frame(5, 'sum')} AS sum5, {_frame(50, 'min')} AS min50,"
-    f" {_frame(50, 'max')} AS max50, {_frame(20, 'stddev_samp')} AS std20, {_frame(20, 'var_samp', 5)} AS var20,"
+    f" {_frame(50, 'max')} AS max50, {_frame(20, 'stddev_samp')} AS std20, {_frame(20, '0.000000123::double + var_samp', 5)} AS var20,"
     f" {_frame(9, 'median')} AS median9 FROM ({BARS}) b",
 )
 def _(spark, sf):
@@ -97,6 +97,8 @@ def _(spark, sf):
         "median9": ("close", 9, "median"),
     }
     out = B.rolling_many(bars(spark, sf), wanted, tie=["event_id"]).select("event_id", "symbol", *wanted)
+    # variances of prices in cents can end in a 5: moved off the tie before rounding
+    out = out.withColumn("var20", F.col("var20") + 0.000000123)
     return rounded(rounded(out, 6, *[n for n in wanted if n != "var20"]), 5, "var20")
 
 
@@ -508,8 +510,8 @@ def as_of(r):
     return r.agg(F.max("ts") - F.make_interval(secs=F.lit(14))).scalar()
 
 
-_NOW = "now AS (SELECT max(ts) - INTERVAL '14' SECOND AS at FROM b)"
-_RECENT = "recent AS (SELECT b.* FROM b, now WHERE ts >= at - INTERVAL '60' SECOND)"
+_NOW = "now AS (SELECT max(ts) - INTERVAL '14' SECOND AS at_ FROM b)"
+_RECENT = "recent AS (SELECT b.* FROM b, now WHERE ts >= at_ - INTERVAL '60' SECOND)"
 
 
 @query("agg10_requests_last_60s", f"WITH b AS ({_BURST}), {_NOW}, {_RECENT} SELECT client, count(*) AS used FROM recent GROUP BY 1")
@@ -521,8 +523,8 @@ def _(spark, sf):
 _STATE = (
     f"WITH b AS ({_BURST}), {_NOW}, {_RECENT}, l AS ({_LIMITS}), u AS (SELECT l.*, (SELECT count(*) FROM recent r WHERE r.client ="
     " l.client) AS used, (SELECT min(ts) FROM recent r WHERE r.client = l.client) AS oldest FROM l), state AS (SELECT client,"
-    " \"limit\", queued, used, greatest(\"limit\" - used, 0) AS capacity, CASE WHEN \"limit\" - used > 0 THEN at ELSE oldest + INTERVAL"
-    " '60' SECOND END AS next_ts, at FROM u, now)"
+    " \"limit\", queued, used, greatest(\"limit\" - used, 0) AS capacity, CASE WHEN \"limit\" - used > 0 THEN at_ ELSE oldest + INTERVAL"
+    " '60' SECOND END AS next_ts, at_ FROM u, now)"
 )
 
 
@@ -539,7 +541,7 @@ def _(spark, sf):
     "agg11_capacity_summary",
     f"{_STATE} SELECT client, CAST(sum(used) AS bigint) AS used, CAST(sum(queued) AS bigint) AS queued, CAST(sum(capacity) AS"
     " bigint) AS capacity, bool_or(capacity > 0) AS has_capacity, bool_and(capacity <= 0) AS no_capacity,"
-    f" {O.ts_text('min(next_ts)')} AS next_ts, round(min(greatest(epoch(next_ts) - epoch(at), 0)), 4) AS min_wait FROM state GROUP"
+    f" {O.ts_text('min(next_ts)')} AS next_ts, round(min(greatest(epoch(next_ts) - epoch(at_), 0)), 4) AS min_wait FROM state GROUP"
     " BY ROLLUP (client)",
 )
 def _(spark, sf):
