@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -26,17 +27,18 @@ def local_session(app: str = "optiontide", cores: int | str = "*", shuffle_parti
     )
 
 
+@functools.cache
+def _test_dir() -> str:
+    return tempfile.mkdtemp(prefix="optiontide-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder from ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests on one machine) a local temporary
-    folder is made and recorded in the session, so later calls agree.
+    Only when the session names none (tests on one machine) it is a local
+    temporary folder, the same one for the whole process.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="optiontide-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-    return configured.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _test_dir()).rstrip("/")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:
