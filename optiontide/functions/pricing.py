@@ -44,7 +44,7 @@ VOL_HIGH = 10.0
 VOL_TOLERANCE = 1e-6
 TREE_STEPS = 100
 
-_TREE_ROWS = 256  # rows priced together: keeps the working set in cache
+_TREE_ROWS = 400  # rows priced together: keeps the working set in cache
 
 
 def _col(value: Column | str | float) -> Column:
@@ -63,13 +63,17 @@ def _horner(x: Column, coefficients: tuple[float, ...]) -> Column:
     return out
 
 
+def _tail_weight(a: Column, e: Column) -> Column:
+    """1 - N(a) for a >= 0, given e = exp(-a*a/2)."""
+    core = e * _horner(a, CDF_NUMERATOR) / _horner(a, CDF_DENOMINATOR)
+    tail = e / (a + 1 / (a + 2 / (a + 3 / (a + 4 / (a + 0.65))))) / F.lit(CDF_ROOT_TWO_PI)
+    return F.when(a < CDF_SPLIT, core).when(a <= 37, tail).otherwise(F.when(a > 37, F.lit(0.0)))
+
+
 def norm_cdf(x: Column) -> Column:
     """Standard normal distribution function, accurate to double precision."""
     a = F.abs(x)
-    e = F.exp(-a * a / 2)
-    core = e * _horner(a, CDF_NUMERATOR) / _horner(a, CDF_DENOMINATOR)
-    tail = e / (a + 1 / (a + 2 / (a + 3 / (a + 4 / (a + 0.65))))) / F.lit(CDF_ROOT_TWO_PI)
-    lower = F.when(a > 37, F.lit(0.0)).when(a < CDF_SPLIT, core).otherwise(tail)
+    lower = _tail_weight(a, F.exp(-a * a / 2))
     return F.when(x > 0, 1 - lower).otherwise(lower)
 
 
@@ -132,9 +136,15 @@ def with_bs_price(
     signed = df.withColumn("__sign", _sign(F.col(put_call)))
     d1, d2 = _d1_d2(spot, strike, t, rate, sigma, F.col("__sign"))
     staged = signed.withColumns({"__d1": d1, "__d2": d2})
-    staged = staged.withColumns({"__n1": norm_cdf(F.col("__d1")), "__n2": norm_cdf(F.col("__d2"))})
-    value = _bs_value(spot, strike, t, rate, F.col("__sign"), F.col("__n1"), F.col("__n2"))
-    return staged.withColumn(name, value).drop("__sign", "__d1", "__d2", "__n1", "__n2")
+    staged = staged.withColumns({"__a1": F.abs("__d1"), "__a2": F.abs("__d2")})
+    staged = staged.withColumns({f"__e{i}": F.exp(-F.col(f"__a{i}") * F.col(f"__a{i}") / 2) for i in (1, 2)})
+    staged = staged.withColumns({f"__l{i}": _tail_weight(F.col(f"__a{i}"), F.col(f"__e{i}")) for i in (1, 2)})
+    n1, n2 = (
+        F.when(F.col(f"__d{i}") > 0, 1 - F.col(f"__l{i}")).otherwise(F.col(f"__l{i}")) for i in (1, 2)
+    )
+    value = _bs_value(spot, strike, t, rate, F.col("__sign"), n1, n2)
+    parts = [f"__{part}{i}" for part in "dael" for i in (1, 2)]
+    return staged.withColumn(name, value).drop("__sign", *parts)
 
 
 # --------------------------------------------------------------------------- numpy kernels
@@ -185,19 +195,41 @@ def _tree_block(spot, strike, t, rate, q, sigma, is_call, steps: int) -> np.ndar
     return value[0]
 
 
+def _tree_sum(spot, strike, t, rate, sigma, steps: int) -> np.ndarray:
+    """Value of calls without dividend on the same tree.
+
+    Early exercise of such a call never pays, so the tree value is the
+    discounted expectation of the payoff over the last level.
+    """
+    dt = t / steps
+    log_up = sigma * np.sqrt(dt)
+    up, down = np.exp(log_up), np.exp(-log_up)
+    p = (np.exp(rate * dt) - down) / (up - down)
+    j = np.arange(steps + 1, dtype=float)[:, None]
+    log_ways = np.concatenate([[0.0], np.cumsum(np.log(np.arange(steps, 0, -1)) - np.log(np.arange(1, steps + 1)))])
+    weight = np.exp(log_ways[:, None] + j * np.log(p) + (steps - j) * np.log1p(-p))
+    payoff = np.maximum(spot * np.exp((2 * j - steps) * log_up) - strike, 0.0)
+    return np.exp(-rate * t) * np.sum(weight * payoff, axis=0)
+
+
 def american_prices(spot, strike, t, rate, q, sigma, is_call, steps: int = TREE_STEPS) -> np.ndarray:
     """Binomial-tree prices with early exercise, one array element per option.
 
     The backward walk keeps one value per node of the current level for a
     block of options, so memory is (steps + 1) x block, not steps squared.
+    Calls without dividend need no walk.
     """
     args = np.broadcast_arrays(*(np.asarray(a, dtype=float) for a in (spot, strike, t, rate, q, sigma)))
     is_call = np.broadcast_to(np.asarray(is_call, dtype=bool), args[0].shape)
     out = np.empty(args[0].shape[0])
+    spot, strike, t, rate, q, sigma = args
     with np.errstate(all="ignore"):
-        for lo in range(0, len(out), _TREE_ROWS):
-            part = slice(lo, lo + _TREE_ROWS)
-            out[part] = _tree_block(*(a[part] for a in args), is_call[part], steps)
+        proper = rate * np.sqrt(t / steps) < sigma
+        summed = is_call & (q == 0) & (rate >= 0) & (t > 0) & proper
+        for rows in np.array_split(np.flatnonzero(summed), 1 + int(summed.sum()) // _TREE_ROWS):
+            out[rows] = _tree_sum(spot[rows], strike[rows], t[rows], rate[rows], sigma[rows], steps)
+        for rows in np.array_split(np.flatnonzero(~summed), 1 + int((~summed).sum()) // _TREE_ROWS):
+            out[rows] = _tree_block(*(a[rows] for a in args), is_call[rows], steps)
     return out
 
 
@@ -241,10 +273,13 @@ def european_vols(mark, spot, strike, t, rate, is_call) -> np.ndarray:
 
 
 def american_vols(mark, spot, strike, t, rate, q, is_call, steps: int = TREE_STEPS) -> np.ndarray:
-    """As ``european_vols`` for the tree price, by inverse quadratic / bisection.
+    """As ``european_vols`` for the tree price.
 
-    The closed-form root is a good first guess, so each row starts from a
-    narrow bracket around it whenever that bracket holds the sign change.
+    The tree price follows the closed-form price closely, so secant steps from
+    the closed-form root settle in a few tree prices. Rows they do not settle,
+    and rows whose tree has no proper probabilities at the lowest volatility
+    (so that the price need not grow with it), take the bracketed search over
+    the whole interval.
     """
     n = len(mark)
     out = np.full(n, np.nan)
@@ -257,27 +292,47 @@ def american_vols(mark, spot, strike, t, rate, q, is_call, steps: int = TREE_STE
 
     with np.errstate(all="ignore"):
         every = np.arange(n)
-        f_lo, f_hi = gap(every, np.full(n, VOL_LOW)), gap(every, np.full(n, VOL_HIGH))
-        rows = every[f_lo * f_hi <= 0]
-        if not len(rows):
-            return out
-        a, fa = np.full(len(rows), VOL_LOW), f_lo[rows]
-        b, fb = np.full(len(rows), VOL_HIGH), f_hi[rows]
-        guess = european_vols(mark[rows], spot[rows], strike[rows], t[rows], rate[rows], is_call[rows])
-        guess = np.clip(np.where(np.isfinite(guess), guess, 0.5), VOL_LOW * 1.01, VOL_HIGH * 0.99)
-        for shift in (0.0, 0.03, 0.3):
-            # one probe on each call, moved towards the side that still holds the root
-            probe = np.where(np.sign(fa) == 0, a, np.clip(guess + shift * np.where(_toward_b(guess, a, b), 1, -1), a, b))
-            fp = gap(rows, probe)
-            same = np.sign(fp) == np.sign(fa)
-            a, fa = np.where(same, probe, a), np.where(same, fp, fa)
-            b, fb = np.where(same, b, probe), np.where(same, fb, fp)
-        out[rows] = _bracketed_root(gap, rows, a, fa, b, fb)
+        proper = np.abs(rate - q) * np.sqrt(t / steps) < VOL_LOW
+        start = european_vols(mark, spot * np.exp(-q * t), strike, t, rate, is_call)
+        rows = every[proper & np.isfinite(start)]
+        settled = _secant_roots(gap, rows, start[rows], spot, strike, t, rate, is_call)
+        out[rows] = settled
+        rows = every[~np.isfinite(out)]
+        f_lo, f_hi = gap(rows, np.full(len(rows), VOL_LOW)), gap(rows, np.full(len(rows), VOL_HIGH))
+        inside = f_lo * f_hi <= 0
+        rows, k = rows[inside], int(inside.sum())
+        out[rows] = _bracketed_root(gap, rows, np.full(k, VOL_LOW), f_lo[inside], np.full(k, VOL_HIGH), f_hi[inside])
     return out
 
 
-def _toward_b(guess, a, b):
-    return np.abs(guess - a) < np.abs(b - guess)
+def _secant_roots(gap, rows, x, spot, strike, t, rate, is_call, tolerance: float = 2 * VOL_TOLERANCE) -> np.ndarray:
+    """Roots by secant steps, the first one along the closed-form slope; NaN where not settled in 8 steps.
+
+    The last step is taken when it is below ``tolerance``; what is left after it
+    is far smaller, since the slope is known to a few percent by then.
+    """
+    out = np.full(len(rows), np.nan)
+    active = np.arange(len(rows))
+    slope = european_prices(spot[rows], strike[rows], t[rows], rate[rows], x, is_call[rows])[1]
+    last, f_last = x.copy(), gap(rows, x)
+    x = x - f_last / slope
+    for _ in range(8):
+        moving = (x[active] > VOL_LOW) & (x[active] < VOL_HIGH)
+        active = active[moving]
+        if not len(active):
+            break
+        f = gap(rows[active], x[active])
+        change = f - f_last[active]
+        # equal values leave the slope as it was
+        s = np.where(change != 0, change / (x[active] - last[active]), slope[active])
+        slope[active] = np.where(s > 0, s, slope[active])
+        step = f / slope[active]
+        last[active], f_last[active] = x[active], f
+        x[active] = x[active] - step
+        done = np.abs(step) < tolerance
+        out[active[done]] = x[active[done]]
+        active = active[~done]
+    return out
 
 
 def _bracketed_root(gap, rows, a, fa, b, fb, tolerance: float = VOL_TOLERANCE / 100) -> np.ndarray:

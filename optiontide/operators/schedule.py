@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 from optiontide.functions import calendar as C
 
 
-def calendar_days(dates: DataFrame, day: str, pad_before: int = 0, pad_after: int = 0) -> DataFrame:
+def calendar_days(dates: DataFrame, day: str, pad_before: int = 0, pad_after: int = 0,
+                  start: str | None = None) -> DataFrame:
     """Every calendar day from the first to the last date of ``dates``, plus padding.
 
-    The size is the number of days in that span, whatever the size of ``dates``.
+    ``start`` is a date the span must reach back to. The size is the number of
+    days in that span, whatever the size of ``dates``.
     """
+    first = F.least(F.min(F.col(day).cast("date")), F.lit(start).cast("date"))  # nulls are passed over
     span = dates.agg(
-        F.date_sub(F.min(F.col(day).cast("date")), pad_before).alias("__lo"),
+        F.date_sub(first, pad_before).alias("__lo"),
         F.date_add(F.max(F.col(day).cast("date")), pad_after).alias("__hi"),
-    ).filter("__lo is not null")
+    ).filter("__hi is not null")
     return span.select(F.explode(F.sequence("__lo", "__hi")).alias("day"))
 
 
@@ -60,7 +63,10 @@ def trading_schedule(days: DataFrame, open_time: str = "14:30:00", close_time: s
     def at(clock: str) -> Column:
         return F.concat(F.col("day").cast("string"), F.lit(" " + clock)).cast("timestamp")
 
-    return days.filter(C.is_bizday("day")).select(
+    # Not a filter on the day: the optimiser would copy the holiday rules to the
+    # other side of every later join on the date and test them on each contract.
+    open_days = days.select(F.explode(F.when(C.is_bizday("day"), F.array("day"))).alias("day"))
+    return open_days.select(
         F.col("day").alias("iso_date"),
         at(open_time).alias("market_open"),
         at(close_time).alias("market_close"),

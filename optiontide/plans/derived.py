@@ -10,15 +10,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from optiontide.session import widen
+
 TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
     "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table; zoneless times become instants in the session zone (UTC)."""
+def table(spark: SparkSession, sf_dir: str, name: str, wide: bool = False) -> DataFrame:
+    """A given table; zoneless times become instants in the session zone (UTC).
+
+    ``wide`` spreads a table of few splits over all cores, for costly rows.
+    """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = widen(df) if wide else df
     zoneless = [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df
 
@@ -27,13 +33,15 @@ def oracle_text(sql: str) -> str:
     return sql.format(**{t: t for t in TABLES})
 
 
-def derived(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
-    used = {t: table(spark, sf_dir, t) for t in TABLES if "{" + t + "}" in sql}
+def derived(spark: SparkSession, sf_dir: str, sql: str, wide: tuple[str, ...] = ()) -> DataFrame:
+    used = {t: table(spark, sf_dir, t, t in wide) for t in TABLES if "{" + t + "}" in sql}
     return spark.sql(sql, **used)
 
 
+EXPIRY_DAY = "date '2024-01-05' + cast(7 * (l_suppkey % 100) AS int)"
+
 # One row per lineitem: the shared columns of a small option chain.
-CHAIN_BASE = """
+CHAIN_BASE = f"""
 SELECT concat('P', cast(l_partkey % 200 AS string)) AS ticker,
        cast(floor(p_retailprice) AS double) AS underlyingPrice,
        cast(floor(p_retailprice) AS double) * (80 + 5 * ((l_partkey + l_linenumber) % 9)) / 100 AS strikePrice,
@@ -41,13 +49,13 @@ SELECT concat('P', cast(l_partkey % 200 AS string)) AS ticker,
        l_linestatus = 'F' AS isIndex,
        cast(p_size % 7 AS double) / 4 AS dividendAmount,
        cast(l_quantity - 5 AS double) AS timeValue,
-       cast(date '2024-01-05' + cast(7 * (l_suppkey % 100) AS int) AS string) AS expDay,
+       cast({EXPIRY_DAY} AS string) AS expDay,
        cast(3 + 7 * (l_suppkey % 100) AS int) AS daysToExpiration,
        p_size % 5 = 0 AS nonStandard,
        CASE WHEN l_suppkey % 4 = 2 THEN 'S' ELSE 'W' END AS expirationType,
        timestamp '2024-01-02 19:30:00' AS fetchTime,
        l_orderkey, l_linenumber
-FROM {lineitem} JOIN {part} ON l_partkey = p_partkey
+FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey
 """
 
 AS_OF = "2024-01-02"
@@ -102,7 +110,7 @@ CONTRACT_PAIRS = (
 
 def chains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A chain document per lineitem with one call and one put, nested by expiry and strike."""
-    base = derived(spark, sf_dir, CHAIN_BASE)
+    base = derived(spark, sf_dir, CHAIN_BASE, wide=("lineitem",))
 
     def side(name: str):
         fields = contract_fields(f"'{name}'")

@@ -12,7 +12,6 @@ from optiontide.functions.pricing import implied_vol
 from optiontide.functions.rates import cc_rate, dividend_yield, svensson
 from optiontide.operators.chain import CHAIN_COLUMNS, flatten_chain, is_iv_eligible
 from optiontide.operators.schedule import attach_schedule
-from optiontide.session import shuffle_width
 
 
 def enrich_contracts(
@@ -30,10 +29,11 @@ def enrich_contracts(
     """Contract rows with q, t, r, implied volatility ``iv_mark`` and JSON ``extra``.
 
     ``schedule`` is (iso_date, T_eqo, T_ind). Contracts without time value keep
-    their row with null t, r and iv_mark. Both kinds stay in one pass: a split
-    and a union would decode every chain twice. The rows are spread evenly
-    before the solver, since chains differ widely in size and the solver is the
-    costly part; contracts with no time value cost it nothing.
+    their row with null t, r and iv_mark, and cost the solver nothing. Both
+    kinds stay in one pass: a split and a union would decode every chain twice.
+    The job has no shuffle of its own; a narrow source is best widened where it
+    is read (``session.widen``), and ``partitions`` spreads the exploded rows
+    before the solver when single chains are very large.
     """
     priced = chains.withColumns({
         "q": dividend_yield("dividendAmount", "underlyingPrice", guarded_q),
@@ -46,7 +46,7 @@ def enrich_contracts(
     timed = timed.withColumn("t", F.when(eligible, t)).withColumn("r", cc_rate(svensson("t", params)))
     timed = timed.drop("time_remaining", "T_eqo", "T_ind")
     if solve:
-        spread = timed.repartition(partitions or shuffle_width(timed.sparkSession))
+        spread = timed.repartition(partitions) if partitions else timed
         # null inputs come back as null without a solve
         mark = F.when(is_iv_eligible(), F.col("mark"))
         timed = spread.withColumn(

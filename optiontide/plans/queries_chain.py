@@ -23,7 +23,7 @@ NS_CURVE = {"beta0": 0.04, "beta1": -0.01, "beta2": 0.015, "tau": 1.5}
 
 
 def contracts(spark, sf):
-    return D.derived(spark, sf, D.CONTRACTS)
+    return D.derived(spark, sf, D.CONTRACTS, wide=("lineitem",))
 
 
 _FLAT = "symbol, putCall, strikePrice, expirationDate, exerciseType, mark, underlyingPrice, dividendAmount, isIndex"
@@ -322,9 +322,8 @@ _SCHEDULE = (
 
 def schedule(spark, sf):
     """Sessions from the fetch day to the last expiry of the contracts."""
-    c = contracts(spark, sf)
-    days = c.select(C.prefix_date("expirationDate").alias("day")).union(c.select(F.to_date("fetchTime")))
-    sessions = S.trading_schedule(S.calendar_days(days, "day"))
+    expiries = D.table(spark, sf, "lineitem").select(F.expr(D.EXPIRY_DAY).alias("day"))
+    sessions = S.trading_schedule(S.calendar_days(expiries, "day", start=D.AS_OF))
     return S.expiry_schedule(sessions, D.AS_OF)
 
 
@@ -416,9 +415,7 @@ def _(spark, sf):
 
 @query("fn13_crr_price")
 def _(spark, sf):
-    c = contracts(spark, sf).withColumn("t", F.col("daysToExpiration") / F.lit(365.0)).repartition(
-        int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    c = contracts(spark, sf).withColumn("t", F.col("daysToExpiration") / F.lit(365.0))
     q = R.dividend_yield("dividendAmount", "underlyingPrice")
     price = P.crr_price("underlyingPrice", "strikePrice", "t", F.lit(0.045), q, F.lit(0.35), "putCall")
     return c.select("symbol", "putCall", "strikePrice", "t", price.alias("price"))
@@ -438,16 +435,14 @@ _EUROPEAN = (
 def _(spark, sf):
     c = contracts(spark, sf).filter(CH.is_iv_eligible()).select(
         "symbol", "putCall", "underlyingPrice", "strikePrice", "mark", (F.col("daysToExpiration") / F.lit(365.0)).alias("t")
-    ).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    )
     iv = P.implied_vol("mark", "underlyingPrice", "strikePrice", "t", F.lit(0.045), F.lit(0.0), "putCall", F.lit("E"))
     return rounded(c.select("symbol", iv.alias("iv")).filter("iv is not null"), 5, "iv")
 
 
 @query("fn14_implied_vol_american")
 def _(spark, sf):
-    c = contracts(spark, sf).filter(CH.is_iv_eligible()).withColumn("t", F.col("daysToExpiration") / F.lit(365.0)).repartition(
-        int(spark.conf.get("spark.sql.shuffle.partitions"))
-    )
+    c = contracts(spark, sf).filter(CH.is_iv_eligible()).withColumn("t", F.col("daysToExpiration") / F.lit(365.0))
     q = R.dividend_yield("dividendAmount", "underlyingPrice")
     iv = P.implied_vol("mark", "underlyingPrice", "strikePrice", "t", F.lit(0.045), q, "putCall", F.lit("A"))
     return c.select("symbol", "putCall", "mark", iv.alias("iv"))

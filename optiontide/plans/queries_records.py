@@ -407,7 +407,7 @@ def _(spark, sf):
 
 def feed_messages(spark, sf):
     """A message per event: one equity item and one option item, every seventh with an unknown field."""
-    e = D.table(spark, sf, "events")
+    e = D.table(spark, sf, "events", wide=True)
     price, number = F.col("value").cast("string"), F.col("event_id").cast("string")
     equity = F.create_map(
         F.lit("0"), F.concat(F.lit("U"), (F.col("user_id") % 20).cast("string")), F.lit("1"), price,
@@ -487,7 +487,7 @@ def _(spark, sf):
         F.array(level(1, 7, exchange("BATS", 7, 0))).alias("3"),
     )
     message = F.struct(F.array(F.struct(F.lit("NYSE_BOOK").alias("service"), F.array(book).alias("content"))).alias("data"))
-    messages = D.table(spark, sf, "lineitem").select(F.to_json(message).alias("value"))
+    messages = D.table(spark, sf, "lineitem", wide=True).select(F.to_json(message).alias("value"))
     return FD.decode_book(messages, "NYSE_BOOK").drop("service")
 
 

@@ -6,7 +6,7 @@ import functools
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "optiontide", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -48,3 +48,15 @@ def run_dir(spark: SparkSession, name: str) -> str:
 
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def widen(df: DataFrame) -> DataFrame:
+    """Spread a source that has fewer partitions than there are cores.
+
+    For CPU-heavy work on few large splits or few topic partitions. A source
+    that is wide enough is left alone, so large inputs are not shuffled. Meant
+    for a plain scan or micro-batch: the partition count of a plan with joins
+    is not known before it runs.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

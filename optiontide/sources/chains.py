@@ -65,7 +65,7 @@ def _gunzip(values: pd.Series) -> pd.Series:
 
 @pandas_udf(T.BinaryType())
 def _gzip(values: pd.Series) -> pd.Series:
-    return values.map(lambda text: None if text is None else gzip.compress(text.encode("utf-8"), mtime=0))
+    return values.map(lambda text: None if text is None else gzip.compress(text.encode("utf-8"), 6, mtime=0))
 
 
 def gunzip(value: Column | str) -> Column:
