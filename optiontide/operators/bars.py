@@ -8,10 +8,9 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from optiontide.operators.ordered import rolling_rows, time_bucket, with_previous
+from optiontide.operators.ordered import fit_bucket_seconds, rolling_rows, time_bucket, with_previous
 from optiontide.operators.tables import latest_per_key, nth_from_end, upsert
 
-BUCKET_SECONDS = 86400
 BAR_VALUES = ("open", "close", "high", "low", "volume")
 
 # Candle frequencies.
@@ -67,9 +66,13 @@ def upsert_bars(bars: DataFrame, new: DataFrame, order: Sequence[str] = ("ts",))
 
 
 def daily_returns(bars: DataFrame, price: str = "close", by: Sequence[str] = ("symbol",), ts: str = "ts",
-                  tie: Sequence[str] = (), name: str = "ret", bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """Change of ``price`` against the row before, per symbol; null on the first row and after a zero."""
-    prior = with_previous(bars, by, [ts, *tie], price, time_bucket(ts, bucket_seconds), "__prev")
+                  tie: Sequence[str] = (), name: str = "ret", bucket_seconds: float | None = None) -> DataFrame:
+    """Change of ``price`` against the row before, per symbol; null on the first row and after a zero.
+
+    Each symbol is cut along time; the cut is fitted to the data unless given.
+    """
+    width = bucket_seconds or fit_bucket_seconds(bars, by, ts)
+    prior = with_previous(bars, by, [ts, *tie], price, time_bucket(ts, width), "__prev")
     return prior.withColumn(name, F.try_divide(F.col(price), F.col("__prev")) - 1).drop("__prev")
 
 
@@ -86,17 +89,21 @@ def group_stat(df: DataFrame, column: str, fns: Mapping[str, str], by: Sequence[
 
 
 def rolling(bars: DataFrame, column: str, n: int, fn: str, by: Sequence[str] = ("symbol",), ts: str = "ts",
-            tie: Sequence[str] = (), name: str | None = None, bucket_seconds: int = BUCKET_SECONDS,
+            tie: Sequence[str] = (), name: str | None = None, bucket_seconds: float | None = None,
             block_rows: int = 65536) -> DataFrame:
     """Statistic of the last ``n`` rows per symbol, null until n values are there."""
     return rolling_many(bars, {name or f"{column}_{fn}_{n}": (column, n, fn)}, by, ts, tie, bucket_seconds, block_rows)
 
 
 def rolling_many(bars: DataFrame, outputs: dict[str, tuple[str, int, str]], by: Sequence[str] = ("symbol",),
-                 ts: str = "ts", tie: Sequence[str] = (), bucket_seconds: int = BUCKET_SECONDS,
+                 ts: str = "ts", tie: Sequence[str] = (), bucket_seconds: float | None = None,
                  block_rows: int = 65536) -> DataFrame:
-    """Several rolling columns over one partitioning: name -> (column, n, function)."""
-    return rolling_rows(bars, by, [ts, *tie], time_bucket(ts, bucket_seconds), outputs, block_rows)
+    """Several rolling columns over one partitioning: name -> (column, n, function).
+
+    Each symbol is cut along time; the cut is fitted to the data unless given.
+    """
+    width = bucket_seconds or fit_bucket_seconds(bars, by, ts)
+    return rolling_rows(bars, by, [ts, *tie], time_bucket(ts, width), outputs, block_rows)
 
 
 def last_rows(bars: DataFrame, by: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = ()) -> DataFrame:

@@ -34,11 +34,11 @@ def curve_points(wide: DataFrame, date: str = "Date", labels: Sequence[str] | No
 def sorted_curve(points: DataFrame, by: Sequence[str] = ("ref_date",), t: str = "t", y: str = "y") -> DataFrame:
     """One row per curve with its points in order of maturity.
 
-    A curve has as many points as there are maturities, so the array is short;
-    repeated points are folded first.
+    Points are folded to one per maturity first, so the array is no longer
+    than the number of maturities.
     """
-    unique = points.select(*by, F.struct(t, y).alias("__p")).distinct()
-    return unique.groupBy(*by).agg(F.array_sort(F.collect_list("__p")).alias("points"))
+    unique = points.groupBy(*by, F.col(t).alias("t")).agg(F.min(y).alias("y"))
+    return unique.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("t", "y"))).alias("points"))
 
 
 def pick_curve(queries: DataFrame, curves: DataFrame, day: str, ref_date: str = "ref_date",

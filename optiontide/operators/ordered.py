@@ -20,9 +20,46 @@ def _col(value: Column | str) -> Column:
     return value if isinstance(value, Column) else F.col(value)
 
 
-def time_bucket(ts: Column | str, seconds: int) -> Column:
+def time_bucket(ts: Column | str, seconds: float) -> Column:
     """Number of the ``seconds``-wide bucket that holds ``ts``."""
-    return F.floor(_col(ts).cast("timestamp").cast("double") / seconds)
+    micros = F.unix_micros(_col(ts).cast("timestamp"))
+    return F.floor(micros / F.lit(round(seconds * 1_000_000)))
+
+
+# Bucket widths in seconds, widest first. The narrowest is one microsecond,
+# the resolution of a timestamp.
+WIDTHS = (86400, 3600, 60, 1, 0.001, 0.000001)
+BUCKET_ROWS = 4_000_000
+
+
+def fit_bucket_seconds(df: DataFrame, keys: Sequence[str], ts: str, limit: int = BUCKET_ROWS) -> float:
+    """The widest bucket of ``WIDTHS`` in which no key has more than ``limit`` rows.
+
+    Reads only the key and time columns. Rows are counted per key and second,
+    with a map-side part, and those counts are added up step by step to the
+    wider buckets; one row comes back. Only when a single second is over the
+    limit are the narrower widths counted.
+    """
+    for widths in ((1, 60, 3600, 86400), (0.001,)):
+        sizes = _largest_buckets(df, keys, ts, widths)
+        fitting = [w for w, rows in zip(widths, sizes) if rows <= limit]
+        if fitting:
+            return max(fitting)
+    return WIDTHS[-1]
+
+
+def _largest_buckets(df: DataFrame, keys: Sequence[str], ts: str, widths: Sequence[float]) -> list[int]:
+    key = F.struct(*keys) if keys else F.lit(0)
+    level = df.groupBy(key.alias("k"), time_bucket(ts, widths[0]).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    found: list[str] = []
+    for i in range(1, len(widths)):
+        wider = F.floor(F.col("b") / round(widths[i] / widths[i - 1]))
+        found.append(f"m{i}")
+        level = level.groupBy("k", wider.alias("b")).agg(
+            F.sum("n").alias("n"), *[F.max(m).alias(m) for m in found[:-1]], F.max("n").alias(found[-1])
+        )
+    row = level.agg(*[F.max(m) for m in found], F.max("n")).first()
+    return [rows or 0 for rows in row]
 
 
 def _bucketed(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
@@ -137,14 +174,15 @@ def rolling_rows(
 
 
 def trailing_count(
-    df: DataFrame, keys: Sequence[str], ts: str, seconds: int, name: str, bucket_seconds: int = 3600
+    df: DataFrame, keys: Sequence[str], ts: str, seconds: int, name: str, bucket_seconds: float | None = None
 ) -> DataFrame:
     """Rows of the same key in the ``seconds`` up to and including each row's time.
 
     Buckets overlap by the window: a row near the end of a bucket is repeated
-    in the next one, where it only counts towards other rows.
+    in the next one, where it only counts towards other rows. The width is
+    fitted to the data unless given, and is never below the window.
     """
-    width = max(bucket_seconds, seconds)
+    width = max(bucket_seconds or fit_bucket_seconds(df, keys, ts), seconds)
     instant = F.col(ts).cast("timestamp")
     bucket = time_bucket(ts, width)
     reach = time_bucket(instant + F.make_interval(secs=F.lit(seconds)), width)

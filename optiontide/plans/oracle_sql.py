@@ -40,16 +40,41 @@ def with_bs_price(source: str, sigma: str, name: str) -> str:
 
 
 def implied_vols(source: str, columns: str, steps: int = 52) -> str:
-    """Body of a WITH RECURSIVE: table ``vols`` of ``columns`` and iv by bisection, rows without a root left out."""
+    """Body of a WITH RECURSIVE: table ``vols`` of ``columns`` and iv by bisection, null without a sign change."""
     low = with_bs_price(f"SELECT *, {P.VOL_LOW}::double AS lo, {P.VOL_HIGH}::double AS hi FROM ({source}) q0", "lo", "p_lo")
     both = with_bs_price(low, "hi", "p_hi")
     step = with_bs_price("SELECT *, (lo + hi) / 2 AS mid FROM bis WHERE n < %d" % steps, "mid", "p_mid")
     keep = f"{columns}, underlyingPrice, strikePrice, t, r, putCall, mark"
     return (
-        f"bis AS (SELECT {keep}, lo, hi, 0 AS n FROM ({both}) b0 WHERE (p_lo - mark) * (p_hi - mark) <= 0"
+        f"ends AS MATERIALIZED (SELECT *, coalesce((p_lo - mark) * (p_hi - mark) <= 0, false) AS bracketed FROM ({both}) b0),"
+        f" bis AS (SELECT {keep}, lo, hi, 0 AS n FROM ends WHERE bracketed"
         f" UNION ALL SELECT {keep}, CASE WHEN p_mid < mark THEN mid ELSE lo END AS lo,"
         f" CASE WHEN p_mid < mark THEN hi ELSE mid END AS hi, n + 1 AS n FROM ({step}) b1),"
-        f" vols AS (SELECT {columns}, (lo + hi) / 2 AS iv FROM bis WHERE n = {steps})"
+        f" vols AS (SELECT {columns}, (lo + hi) / 2 AS iv FROM bis WHERE n = {steps}"
+        f" UNION ALL SELECT {columns}, NULL FROM ends WHERE NOT bracketed)"
+    )
+
+
+def tree_price(source: str, columns: str, steps: int = P.TREE_STEPS) -> str:
+    """``columns`` and the American tree price of the rows of ``source`` (underlyingPrice, strikePrice, t, r, q, sigma, putCall).
+
+    The levels of the tree are folded as lists: the walk starts from the payoffs and each
+    level number, wrapped in a list of its own, turns the values of one level into those of the level before.
+    """
+    # prices at every node are listed once: position 2j - level counts up-moves minus down-moves
+    worth = "sg * (px[(2 * j - {level})::int + " + str(steps + 1) + "] - strikePrice)"
+    first = f"list_transform(range(0, {steps + 1}), lambda j: greatest({worth.format(level=steps)}, 0.0::double))"
+    back = (
+        "list_transform(range(0, e[1]::int + 1), lambda j: greatest(w_up * acc[j + 2] + w_down * acc[j + 1], "
+        + worth.format(level="e[1]") + "))"
+    )
+    levels = f"list_transform(range({steps - 1}, -1, -1), lambda l: [l::double])"
+    return (
+        f"SELECT {columns}, list_reduce({levels}, lambda acc, e: {back}, {first})[1] AS price FROM (SELECT *, dc * pr AS w_up,"
+        f" dc * (1 - pr) AS w_down FROM (SELECT *, (exp((r - q) * t / {steps}) - exp(-lu)) / (exp(lu) - exp(-lu)) AS pr,"
+        f" exp(-r * t / {steps}) AS dc, CASE WHEN putCall = 'CALL' THEN 1 ELSE -1 END AS sg,"
+        f" list_transform(range({-steps}, {steps + 1}), lambda k: underlyingPrice * exp(k * lu)) AS px FROM (SELECT *, sigma * sqrt(t /"
+        f" {steps}) AS lu FROM ({source}) t0) t1) t2) t3"
     )
 
 

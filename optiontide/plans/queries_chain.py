@@ -413,12 +413,21 @@ def _(spark, sf):
     return rounded(c.select("symbol", "price"), 6, "price")
 
 
-@query("fn13_crr_price")
+_TREE = (
+    "SELECT symbol, putCall, strikePrice, underlyingPrice, daysToExpiration / 365.0::double AS t, 0.045::double AS r, 0.35::double"
+    " AS sigma, CASE WHEN dividendAmount > 0 THEN ln(1 + dividendAmount / underlyingPrice) ELSE 0 END AS q FROM (" + CONTRACTS + ") c"
+)
+
+
+@query(
+    "fn13_crr_price",
+    f"SELECT symbol, putCall, round(price, 5) + 0.0 AS price FROM ({O.tree_price(_TREE, 'symbol, putCall', 50)}) p",
+)
 def _(spark, sf):
     c = contracts(spark, sf).withColumn("t", F.col("daysToExpiration") / F.lit(365.0))
     q = R.dividend_yield("dividendAmount", "underlyingPrice")
-    price = P.crr_price("underlyingPrice", "strikePrice", "t", F.lit(0.045), q, F.lit(0.35), "putCall")
-    return c.select("symbol", "putCall", "strikePrice", "t", price.alias("price"))
+    price = P.crr_price("underlyingPrice", "strikePrice", "t", F.lit(0.045), q, F.lit(0.35), "putCall", steps=50)
+    return rounded(c.select("symbol", "putCall", price.alias("price")), 5, "price")
 
 
 _EUROPEAN = (
@@ -437,7 +446,7 @@ def _(spark, sf):
         "symbol", "putCall", "underlyingPrice", "strikePrice", "mark", (F.col("daysToExpiration") / F.lit(365.0)).alias("t")
     )
     iv = P.implied_vol("mark", "underlyingPrice", "strikePrice", "t", F.lit(0.045), F.lit(0.0), "putCall", F.lit("E"))
-    return rounded(c.select("symbol", iv.alias("iv")).filter("iv is not null"), 5, "iv")
+    return rounded(c.select("symbol", iv.alias("iv")), 5, "iv")
 
 
 @query("fn14_implied_vol_american")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +44,7 @@ def write_with_fallback(df: DataFrame, primary: Callable[[DataFrame], None], fal
     try:
         primary(df)
         return True
-    except (PySparkException, OSError) as error:
+    except (PySparkException, Py4JJavaError, OSError) as error:
         tagged = df.withColumn("write_error", F.lit(type(error).__name__))
         tagged.write.mode("overwrite").parquet(f"{fallback_dir}/errors/{day}/{epoch}")
         return False

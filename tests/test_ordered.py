@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 
 from optiontide.operators import bars as B
-from optiontide.operators.ordered import time_bucket, trailing_count, with_ordinal, with_previous
+from optiontide.operators.ordered import fit_bucket_seconds, time_bucket, trailing_count, with_ordinal, with_previous
 
 
 @pytest.fixture(scope="module")
@@ -90,3 +90,16 @@ def test_ranking_keeps_a_bounded_number_of_rows_per_task(ticks):
     df, _ = ticks
     for frame in (B.last_rows(df, tie=["id"]), B.bar_ago(df, 3, tie=["id"])):
         assert "WindowGroupLimit" in frame._jdf.queryExecution().toString()
+
+
+def test_bucket_width_follows_the_data(spark):
+    rows = [("HOT", dt.datetime(2024, 1, 1, 0, 0, 0, i)) for i in range(500)] + [
+        ("COLD", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i)) for i in range(1440)
+    ]
+    df = spark.createDataFrame(rows, "symbol string, ts timestamp")
+    assert fit_bucket_seconds(df, ["symbol"], "ts") == 86400
+    assert fit_bucket_seconds(df, ["symbol"], "ts", limit=1000) == 3600
+    assert fit_bucket_seconds(df, ["symbol"], "ts", limit=499) == 0.000001
+    assert fit_bucket_seconds(df.filter("symbol = 'COLD'"), ["symbol"], "ts", limit=10) == 60
+    assert fit_bucket_seconds(df.filter("false"), ["symbol"], "ts") == 86400
+    assert fit_bucket_seconds(df, [], "ts", limit=1000) == 3600
