@@ -12,6 +12,9 @@ from optiontide.operators import quality as QL
 from optiontide.operators import tables as TB
 from optiontide.plans import derived as D
 from optiontide.plans import oracle_sql as O
+from optiontide.plans.process import process_messages, run_contract_job
+from optiontide.plans.queries_chain import CURVE, schedule
+from optiontide.plans.queries_reference import hours_documents
 from optiontide.plans.registry import query, rounded
 from optiontide.session import run_dir
 from optiontide.sources import chains as SC
@@ -116,6 +119,33 @@ def _(spark, sf):
     return SK.read_merged(spark, out, ["order_id"], ["line", "price"]).drop("epoch")
 
 
+@query(
+    "str1_contract_job",
+    "SELECT ticker, putCall, count(*) AS contracts, count(CASE WHEN mark > intrinsicValue THEN 1 END) AS eligible,"
+    " round(sum(CAST(round(mark, 2) AS double)), 2) AS marks FROM (SELECT * REPLACE (CAST(round(mark, 2) AS decimal(10, 2)) AS mark,"
+    f" CAST(round(intrinsicValue, 2) AS decimal(10, 2)) AS intrinsicValue) FROM ({PAIRS}) c) d GROUP BY 1, 2",
+)
+def _(spark, sf):
+    landed, out = run_dir(spark, "landed"), run_dir(spark, "contracts")
+    SC.publish_chains(chain_documents(spark, sf), landed)
+    stream = SC.read_chain_stream(spark, "parquet", landed, SC.max_per_trigger(accounts=5))
+    sessions = schedule(spark, sf)
+
+    def transform(batch):
+        close = F.lit(D.CLOSE_EQUITY), F.lit(D.CLOSE_INDEX)
+        return process_messages(batch, sessions, CURVE, *close, solve=False)
+
+    run_contract_job(stream, out, run_dir(spark, "checkpoint"), transform).awaitTermination()
+    rows = SK.read_epochs(spark, out)
+    return rounded(
+        rows.groupBy("ticker", "putCall").agg(
+            F.count(F.lit(1)).alias("contracts"),
+            F.count_if(CH.is_iv_eligible()).alias("eligible"),
+            F.sum(F.col("mark").cast("double")).alias("marks"),
+        ), 2, "marks",
+    )
+
+
 @query(
     "str2_max_per_trigger",
     "SELECT s_suppkey, CAST(ceil(s_suppkey * 120 * 15 / 60.0 / 15) AS bigint) AS per_trigger FROM supplier",
@@ -258,8 +288,6 @@ def _session_sql(product: str, minutes: int) -> str:
     + " UNION ALL SELECT event_id, ts::date::varchar, 'equity', 'equity', NULL, NULL, NULL, false FROM events WHERE event_id % 4 = 0) x",
 )
 def _(spark, sf):
-    from optiontide.plans.queries_reference import hours_documents
-
     return DOC.parse_market_hours(hours_documents(spark, sf))
 
 

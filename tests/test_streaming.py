@@ -3,9 +3,12 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from optiontide.operators.chain import attach_dividends
 from optiontide.operators.quality import malformed_ratio, observe_quality
+from optiontide.plans.process import process_messages, run_contract_job
 from optiontide.session import shared_dir
 from optiontide.sources import sinks as SK
+from optiontide.sources.chains import parse_chain, publish_chains, read_chain_stream
 from optiontide.streaming.job import MERGE_KEYS, epoch_sink, fallback_sink, run_stream
 from optiontide.streaming.listener import ProgressListener, QualityListener
 
@@ -29,6 +32,32 @@ def test_epochs_are_replaced_and_merged(spark, landed, tmp_path):
     assert {r.v % 100 for r in merged.filter("symbol = 'S0'").collect()} == {4}
 
 
+def test_contract_job_end_to_end(spark, tmp_path):
+    contract = dict(symbol="QQQ   240119C00095000", putCall="CALL", strikePrice=95.0, mark=8.0, intrinsicValue=5.0,
+                    expirationDate="2024-01-19T20:00:00.000+00:00", exerciseType="A")
+    doc = {"symbol": "QQQ", "status": "SUCCESS", "underlyingPrice": 100.0, "fetchTime": "2024-01-02 19:30:00", "isIndex": False,
+           "callExpDateMap": {"e": {"k": [contract]}}, "putExpDateMap": {"e": {"k": [{**contract, "putCall": "PUT", "mark": 1.0}]}}}
+    chains = parse_chain(spark.createDataFrame([(json.dumps(doc),)], "text string"), "text")
+    for _ in range(2):
+        publish_chains(chains, str(tmp_path / "in"))
+    spark.createDataFrame([(b"x", b"broken")], "key binary, value binary").write.mode("append").parquet(str(tmp_path / "in"))
+    schedule = spark.createDataFrame([("2024-01-19", 0.05, 0.06)], "iso_date string, T_eqo double, T_ind double")
+    funds = spark.createDataFrame([("QQQ", 2.0)], "symbol string, divAmount double")
+    params = {"beta0": 0.04, "beta1": 0.0, "beta2": 0.0, "beta3": 0.0, "tau1": 1.0, "tau2": 2.0}
+    close = F.lit("2024-01-02 21:00:00"), F.lit("2024-01-02 21:15:00")
+    stream = read_chain_stream(spark, "parquet", str(tmp_path / "in"), 1)
+    job = run_contract_job(stream, str(tmp_path / "out"), str(tmp_path / "cp"),
+                           lambda batch: process_messages(batch, schedule, params, *close, fundamentals=funds))
+    job.awaitTermination()
+    rows = SK.read_epochs(spark, str(tmp_path / "out")).collect()
+    assert len(rows) == 4 and {r.ticker for r in rows} == {"QQQ"}
+    call = next(r for r in rows if r.putCall == "CALL")
+    assert call.iv_mark > 0 and json.loads(call.extra)["dividendAmount"] == 2.0 and str(call.underlyingPrice) == "100.00"
+    assert next(r for r in rows if r.putCall == "PUT").iv_mark is None
+    joined = attach_dividends(read_chain_stream(spark, "parquet", str(tmp_path / "in"), 1).select(F.lit("Q").alias("symbol")), funds)
+    assert joined.isStreaming
+
+
 def test_fallback(spark, landed, tmp_path):
     kept = []
 
