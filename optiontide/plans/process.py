@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from optiontide.operators.chain import attach_dividends
@@ -30,7 +31,10 @@ def process_messages(
     ``fundamentals`` the dividend amounts come from there instead of the chain.
     ``options`` go to ``enrich_contracts``.
     """
-    chains = decode_chain_payload(messages).filter("symbol is not null").withColumnRenamed("symbol", "ticker")
+    chains = decode_chain_payload(messages).withColumnRenamed("symbol", "ticker")
+    # Emptied rather than filtered out: a filter would be pushed below the parser and parse each chain twice.
+    named = F.col("ticker").isNotNull()
+    chains = chains.withColumns({side: F.when(named, F.col(side)) for side in ("callExpDateMap", "putExpDateMap")})
     if fundamentals is not None:
         chains = attach_dividends(chains, fundamentals, "ticker")
     return conform(enrich_contracts(chains, schedule, params, close_equity, close_index, carry=("ticker",), **options), output_schema())

@@ -10,6 +10,7 @@ from optiontide.operators import chain as CH
 from optiontide.operators import tables as TB
 from optiontide.plans import derived as D
 from optiontide.plans.enrich import enrich_contracts
+from optiontide.plans.process import process_messages
 from optiontide.sources import chains as SC
 
 
@@ -63,6 +64,18 @@ def test_flatten_decodes_a_chain_once(messages):
     assert plan.count("ArrowEvalPython") == 1
 
 
+def test_stored_rows_parse_a_chain_once(spark, messages):
+    schedule = spark.createDataFrame([("2024-01-19", 0.05, 0.06)], "iso_date string, T_eqo double, T_ind double")
+    params = {"beta0": 0.04, "beta1": 0.0, "beta2": 0.0, "beta3": 0.0, "tau1": 1.0, "tau2": 2.0}
+    close = F.lit("2024-01-02 21:00:00"), F.lit("2024-01-02 21:15:00")
+    rows = process_messages(messages, schedule, params, *close)
+    text = rows._jdf.queryExecution().executedPlan().toString()
+    assert text.count("from_json(") == 1 and text.count("ArrowEvalPython") == 2  # one unzip, one solver
+    nameless = spark.createDataFrame(
+        [(b"k", gzip.compress(json.dumps({**DOCUMENTS[0], "symbol": None}).encode()))], "key binary, value binary")
+    assert rows.count() == 6 and process_messages(nameless, schedule, params, *close).count() == 0
+
+
 def test_round_trip(messages):
     chains = SC.decode_chain_payload(messages).filter("symbol is not null")
     again = SC.decode_chain_payload(SC.encode_chains(chains.withColumn("response", F.lit("raw"))))
