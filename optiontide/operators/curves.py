@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from optiontide.functions.rates import DAYS_PER_YEAR, maturity_days
 
@@ -16,11 +17,14 @@ from optiontide.functions.rates import DAYS_PER_YEAR, maturity_days
 def curve_points(wide: DataFrame, date: str = "Date", labels: Sequence[str] | None = None) -> DataFrame:
     """Long curve table from one column per maturity label with yields in percent.
 
-    Null yields are left out.
+    Dates may be text, month first or ISO. Null yields are left out.
     """
     labels = list(labels or [c for c in wide.columns if c != date])
     cells = [F.struct(F.lit(c).alias("label"), F.col(f"`{c}`").cast("double").alias("pct")) for c in labels]
-    long = wide.select(F.col(date).cast("date").alias("ref_date"), F.inline(F.array(*cells))).filter("pct is not null")
+    day = F.col(date)
+    if isinstance(wide.schema[date].dataType, T.StringType):
+        day = F.coalesce(F.try_to_date(day, "MM/dd/yyyy"), day.try_cast("date"))
+    long = wide.select(day.cast("date").alias("ref_date"), F.inline(F.array(*cells))).filter("pct is not null")
     days = maturity_days("label")
     return long.select(
         "ref_date",

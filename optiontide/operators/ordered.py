@@ -35,31 +35,16 @@ BUCKET_ROWS = 4_000_000
 def fit_bucket_seconds(df: DataFrame, keys: Sequence[str], ts: str, limit: int = BUCKET_ROWS) -> float:
     """The widest bucket of ``WIDTHS`` in which no key has more than ``limit`` rows.
 
-    Reads only the key and time columns. Rows are counted per key and second,
-    with a map-side part, and those counts are added up step by step to the
-    wider buckets; one row comes back. Only when a single second is over the
-    limit are the narrower widths counted.
+    Reads only the key and time columns and brings back one number. The widest
+    buckets are few, so their counts are mostly added up on the map side; a
+    narrower width is tried only when a bucket is over the limit.
     """
-    for widths in ((1, 60, 3600, 86400), (0.001,)):
-        sizes = _largest_buckets(df, keys, ts, widths)
-        fitting = [w for w, rows in zip(widths, sizes) if rows <= limit]
-        if fitting:
-            return max(fitting)
-    return WIDTHS[-1]
-
-
-def _largest_buckets(df: DataFrame, keys: Sequence[str], ts: str, widths: Sequence[float]) -> list[int]:
     key = F.struct(*keys) if keys else F.lit(0)
-    level = df.groupBy(key.alias("k"), time_bucket(ts, widths[0]).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-    found: list[str] = []
-    for i in range(1, len(widths)):
-        wider = F.floor(F.col("b") / round(widths[i] / widths[i - 1]))
-        found.append(f"m{i}")
-        level = level.groupBy("k", wider.alias("b")).agg(
-            F.sum("n").alias("n"), *[F.max(m).alias(m) for m in found[:-1]], F.max("n").alias(found[-1])
-        )
-    row = level.agg(*[F.max(m) for m in found], F.max("n")).first()
-    return [rows or 0 for rows in row]
+    for width in WIDTHS[:-1]:
+        sizes = df.groupBy(key.alias("k"), time_bucket(ts, width).alias("b")).agg(F.count(F.lit(1)).alias("n"))
+        if (sizes.agg(F.max("n")).first()[0] or 0) <= limit:
+            return width
+    return WIDTHS[-1]
 
 
 def _bucketed(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:

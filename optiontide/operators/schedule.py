@@ -57,6 +57,13 @@ def prior_bizday(df: DataFrame, day: str, name: str = "prior_bizday", n: int = 1
     return bizday_offset(df, day, -n, name)
 
 
+def snapshot_target(df: DataFrame, day: str, name: str = "target_date") -> DataFrame:
+    """The date a snapshot must reach on ``day``: the day itself, or the business day before a closed one."""
+    prior = prior_bizday(df, day, "__prior")
+    target = F.when(C.is_bizday(day), F.col(day).cast("date")).otherwise(F.col("__prior"))
+    return prior.withColumn(name, target).drop("__prior")
+
+
 def trading_schedule(days: DataFrame, open_time: str = "14:30:00", close_time: str = "21:00:00",
                      index_close_time: str = "21:15:00") -> DataFrame:
     """Sessions on the business days of ``days`` with opening and closing times in UTC."""

@@ -461,14 +461,15 @@ def _(spark, sf):
 
 _DAYQUOTES = (
     "SELECT concat('C', cast(c_custkey AS string)) AS symbol, c_mktsegment AS universe, cast(c_custkey * 7919 % 100003 AS bigint) AS"
-    " volume, cast(c_custkey * 31 % 977 AS bigint) AS trades, c_acctbal / 10000 AS pct_change FROM {customer}"
+    " volume, cast(c_custkey * 31 % 977 AS bigint) AS trades, c_acctbal / 10000 AS"
+    " pct_change, c_acctbal / 10000 - cast(c_custkey % 7 AS double) / 4 AS pct_change_30m FROM {customer}"
 )
 
 
-def _movers_sql(order: str, where: str = "true") -> str:
+def _movers_sql(order: str) -> str:
     return (
         f"SELECT * FROM (SELECT symbol, universe, row_number() OVER (PARTITION BY universe ORDER BY {order}, symbol) AS rank FROM"
-        f" ({D.oracle_text(_DAYQUOTES)}) q WHERE {where}) x WHERE rank <= 10"
+        f" ({D.oracle_text(_DAYQUOTES)}) q) x WHERE rank <= 10"
     )
 
 
@@ -477,7 +478,7 @@ def _(spark, sf):
     return RK.movers(D.derived(spark, sf, _DAYQUOTES), "VOLUME").select("symbol", "universe", "rank")
 
 
-@query("top1_movers_percent_down", _movers_sql("pct_change", "abs(pct_change) * 1000 >= 30"))
+@query("top1_movers_percent_down", _movers_sql("pct_change_30m"))
 def _(spark, sf):
     return RK.movers(D.derived(spark, sf, _DAYQUOTES), "PERCENT_CHANGE_DOWN", frequency=30).select("symbol", "universe", "rank")
 

@@ -31,6 +31,13 @@ def test_offsets_match_custom_business_days(spark):
             assert out == (pd.Timestamp(day) + n * step).date(), (n, day)
 
 
+def test_snapshot_target(spark):
+    rows = {r.day: r.target_date for r in S.snapshot_target(days(spark, "2024-01-12", "2024-01-16"), "day").collect()}
+    friday, tuesday = dt.date(2024, 1, 12), dt.date(2024, 1, 16)
+    assert rows[friday] == friday and rows[tuesday] == tuesday
+    assert all(rows[dt.date(2024, 1, d)] == friday for d in (13, 14, 15))  # weekend and holiday
+
+
 def test_trading_time(spark):
     sessions = S.trading_schedule(days(spark, "2024-01-01", "2024-12-31"))
     rows = {r.iso_date: r for r in S.expiry_schedule(sessions, "2024-01-10").collect()}

@@ -120,6 +120,8 @@ def test_movers(spark):
     top = RK.movers(df, "VOLUME").orderBy("rank").collect()
     assert len(top) == 10 and [r.symbol for r in top[:3]] == ["S02", "S05", "S08"]
     assert RK.movers(df, "PERCENT_CHANGE_UP").orderBy("rank").first().symbol == "S19"
+    recent = df.withColumn("pct_change_5m", -F.col("pct_change"))
+    assert RK.movers(recent, "PERCENT_CHANGE_UP", frequency=5).orderBy("rank").first().symbol == "S00"
     for bad in ({"sort": "SIZE"}, {"frequency": 7}):
         with pytest.raises(ValueError):
             RK.movers(df, **bad)

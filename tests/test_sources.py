@@ -4,6 +4,7 @@ import pytest
 
 from optiontide.functions import calendar as C
 from optiontide.operators import tables as TB
+from optiontide.plans.curve_job import curves_from_pages, points_from_pages
 from optiontide.sources import delimited as SD
 from optiontide.sources import documents as DOC
 
@@ -25,6 +26,23 @@ def test_html_table_to_numbers(spark):
     assert DOC.extract_html_tables(pages).filter("page_id = 1").count() == 6  # header-only first table gives no rows
 
 
+def test_pages_to_curves(spark):
+    labels = ["1 Mo", "6 Mo", "1 Yr", "2 Yr", "5 Yr", "10 Yr", "30 Yr"]
+    head = "".join(f"<th>{x}</th>" for x in ["Date", *labels])
+    body = "".join(
+        f"<tr><td>01/0{d}/2024</td>" + "".join(f"<td>{v}</td>" for v in ["N/A", 5.3, 5.1, 4.6 + d / 10, 4.2, 4.1, 4.3]) + "</tr>"
+        for d in (2, 3)
+    )
+    page = f"<table class='y'><tr>{head}</tr>{body}</table>"
+    pages = spark.createDataFrame([(1, page)], "page_id long, html string")
+    points = points_from_pages(pages, labels, "y")
+    rows = {(str(r.ref_date), r.label): r for r in points.collect()}
+    assert len(rows) == 12 and ("2024-01-02", "1 Mo") not in rows
+    assert abs(rows["2024-01-03", "2 Yr"].y - 0.049) < 1e-12 and str(rows["2024-01-02", "6 Mo"].maturity_date) == "2024-06-30"
+    fitted = curves_from_pages(pages, "nelson_siegel", labels=labels, table_class="y").collect()
+    assert len(fitted) == 2 and all(r.points == 6 and r.sse < 1e-4 for r in fitted)
+
+
 def test_symbol_master(spark, tmp_path):
     (tmp_path / "e.txt").write_text('symbol|name|mkt|test\nA|Acme "Inc|N|N\nB|Beta|U|Y\n')
     rows = SD.read_symbol_master(spark, str(tmp_path / "e.txt"), "equities").collect()
