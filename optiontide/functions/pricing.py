@@ -393,8 +393,9 @@ def _tree_price_udf(
 @pandas_udf(DoubleType())
 def _implied_vol_udf(
     mark: pd.Series, spot: pd.Series, strike: pd.Series, t: pd.Series, rate: pd.Series,
-    q: pd.Series, put_call: pd.Series, exercise: pd.Series,
+    q: pd.Series, put_call: pd.Series, exercise: pd.Series, steps: pd.Series,
 ) -> pd.Series:
+    levels = int(steps.iloc[0]) if len(steps) else TREE_STEPS
     mark, spot, strike, t, rate, q = (s.to_numpy(dtype=float) for s in (mark, spot, strike, t, rate, q))
     is_call = _calls(put_call)
     european = (exercise.fillna("") == "E").to_numpy(dtype=bool)
@@ -403,7 +404,7 @@ def _implied_vol_udf(
     pick = np.flatnonzero(usable & european)
     out[pick] = european_vols(mark[pick], spot[pick], strike[pick], t[pick], rate[pick], is_call[pick])
     pick = np.flatnonzero(usable & ~european & np.isfinite(q))
-    out[pick] = american_vols(mark[pick], spot[pick], strike[pick], t[pick], rate[pick], q[pick], is_call[pick])
+    out[pick] = american_vols(mark[pick], spot[pick], strike[pick], t[pick], rate[pick], q[pick], is_call[pick], levels)
     return pd.Series(out)
 
 
@@ -419,11 +420,12 @@ def crr_price(
 
 def implied_vol(
     mark: Column | str, spot: Column | str, strike: Column | str, t: Column | str, rate: Column | str,
-    q: Column | str | float, put_call: Column | str, exercise: Column | str,
+    q: Column | str | float, put_call: Column | str, exercise: Column | str, steps: int = TREE_STEPS,
 ) -> Column:
     """Volatility at which the model price meets ``mark``; null without a sign change.
 
-    Exercise type E uses Black-Scholes (which leaves q out), all others the tree.
+    Exercise type E uses Black-Scholes (which leaves q out), all others the
+    tree of ``steps`` levels.
     """
     numbers = [_col(c).cast("double") for c in (mark, spot, strike, t, rate, q)]
-    return _implied_vol_udf(*numbers, _col(put_call), _col(exercise))
+    return _implied_vol_udf(*numbers, _col(put_call), _col(exercise), F.lit(int(steps)))

@@ -66,9 +66,15 @@ def pick_curve(queries: DataFrame, curves: DataFrame, day: str, ref_date: str =
     return queries.join(choice, queries[day].cast("date") == F.col("__d"), "left").drop("__d")
 
 
+def _folded(points: DataFrame, by: Sequence[str], t: str, y: str) -> DataFrame:
+    """One point per maturity: what meets a window or Python is never longer than a curve."""
+    known = points.filter(F.col(t).isNotNull() & F.col(y).isNotNull())
+    return known.groupBy(*by, F.col(t).alias("t0")).agg(F.min(y).alias("y0"))
+
+
 def _segments(points: DataFrame, by: Sequence[str], t: str, y: str) -> DataFrame:
     """Half-open pieces between neighbouring points, the outer ones unbounded."""
-    unique = points.groupBy(*by, F.col(t).alias("t0")).agg(F.min(y).alias("y0"))
+    unique = _folded(points, by, t, y)
     w = W.partitionBy(*by).orderBy("t0")  # the distinct maturities of one curve
     return unique.select(
         *by, "t0", "y0",
@@ -136,7 +142,7 @@ def spline_coefficients(points: DataFrame, by: Sequence[str] = ("ref_date",), t:
     One small linear system per curve, curves spread over the tasks. Points
     are folded first, so a group never exceeds the number of maturities.
     """
-    unique = points.groupBy(*by, F.col(t).alias("t0")).agg(F.min(y).alias("y0")).dropna(subset=["t0", "y0"])
+    unique = _folded(points, by, t, y)
     fields = {f.name: f.dataType.simpleString() for f in points.schema}
     schema = ", ".join([f"`{k}` {fields[k]}" for k in by]) + (
         ", t0 double, y0 double, c1 double, c2 double, c3 double, __from double, __to double"
@@ -223,7 +229,7 @@ def calibrate_curves(points: DataFrame, model: str = "svensson", by: Sequence[st
     if model not in ("svensson", "nelson_siegel"):
         raise ValueError(f"unknown curve model {model!r}")
     two = model == "svensson"
-    unique = points.groupBy(*by, F.col(t).alias("t0")).agg(F.min(y).alias("y0")).dropna(subset=["t0", "y0"])
+    unique = _folded(points, by, t, y)
     fields = {f.name: f.dataType.simpleString() for f in points.schema}
     names = ["beta0", "beta1", "beta2", "beta3", "tau1", "tau2"] if two else ["beta0", "beta1", "beta2", "tau"]
     schema = ", ".join([f"`{k}` {fields[k]}" for k in by] + [f"{n} double" for n in [*names, "sse"]] + ["points int"])

@@ -76,7 +76,7 @@ def upsert(staging: DataFrame, target: DataFrame, keys: Sequence[str], order: Or
     when they are small, so a small batch does not shuffle a large table.
     """
     fresh = latest_per_key(staging, keys, order)
-    kept = target.join(fresh.select(*keys).distinct(), list(keys), "left_anti")
+    kept = target.join(fresh.select(*keys), list(keys), "left_anti")
     return kept.unionByName(fresh, allowMissingColumns=True)
 
 

@@ -66,7 +66,7 @@ def tree_price(source: str, columns: str, steps: int = P.TREE_STEPS) -> str:
     first = f"list_transform(range(0, {steps + 1}), lambda j: greatest({worth.format(level=steps)}, 0.0::double))"
     back = (
         "list_transform(range(0, e[1]::int + 1), lambda j: greatest(w_up * acc[j + 2] + w_down * acc[j + 1], "
-        + worth.format(level="e[1]") + "))"
+        + worth.format(level="e[1]") + ", 0.0::double))"
     )
     levels = f"list_transform(range({steps - 1}, -1, -1), lambda l: [l::double])"
     return (
@@ -78,6 +78,26 @@ def tree_price(source: str, columns: str, steps: int = P.TREE_STEPS) -> str:
     )
 
 
+def tree_vols(source: str, columns: str, tree_steps: int, steps: int = 40) -> str:
+    """As ``implied_vols`` for the American tree price."""
+    keep = f"{columns}, underlyingPrice, strikePrice, t, r, q, putCall, mark"
+    low = tree_price(f"SELECT *, {P.VOL_LOW}::double AS sigma FROM ({source}) q0", keep, tree_steps)
+    both = tree_price(
+        f"SELECT * EXCLUDE (price), price AS p_lo, {P.VOL_HIGH}::double AS sigma FROM ({low}) q1", f"{keep}, p_lo", tree_steps
+    )
+    step = tree_price(
+        f"SELECT *, (lo + hi) / 2 AS sigma FROM bis WHERE n < {steps}", f"{keep}, lo, hi, n, sigma", tree_steps
+    )
+    return (
+        f"ends AS MATERIALIZED (SELECT *, coalesce((p_lo - mark) * (price - mark) <= 0, false) AS bracketed FROM ({both}) b0),"
+        f" bis AS (SELECT {keep}, {P.VOL_LOW}::double AS lo, {P.VOL_HIGH}::double AS hi, 0 AS n FROM ends WHERE bracketed"
+        f" UNION ALL SELECT {keep}, CASE WHEN price < mark THEN sigma ELSE lo END AS lo,"
+        f" CASE WHEN price < mark THEN hi ELSE sigma END AS hi, n + 1 AS n FROM ({step}) b1),"
+        f" vols AS (SELECT {columns}, (lo + hi) / 2 AS iv FROM bis WHERE n = {steps}"
+        f" UNION ALL SELECT {columns}, NULL FROM ends WHERE NOT bracketed)"
+    )
+
+
 def is_holiday(d: str) -> str:
     rules = []
     for month, number in C.DATED_HOLIDAYS:

@@ -457,6 +457,26 @@ def _(spark, sf):
     return c.select("symbol", "putCall", "mark", iv.alias("iv"))
 
 
+_AMERICAN = (
+    "SELECT symbol, putCall, underlyingPrice, strikePrice, mark, daysToExpiration / 365.0::double AS t, 0.02::double AS r, CASE"
+    " WHEN dividendAmount > 0 THEN ln(1 + dividendAmount / underlyingPrice) ELSE 0 END AS q FROM (" + CONTRACTS + ") c WHERE mark >"
+    " intrinsicValue"
+)
+
+
+# The same solver on a coarse tree, which SQL can still walk for every contract. At this rate the coarse tree has
+# proper probabilities on the whole interval, so that there is one root to find.
+@query(
+    "fn14_implied_vol_american_coarse",
+    f"WITH RECURSIVE a AS ({_AMERICAN}), {O.tree_vols('SELECT * FROM a', 'symbol', 8)} SELECT symbol, round(iv, 3) AS iv FROM vols",
+)
+def _(spark, sf):
+    c = contracts(spark, sf).filter(CH.is_iv_eligible()).withColumn("t", F.col("daysToExpiration") / F.lit(365.0))
+    q = R.dividend_yield("dividendAmount", "underlyingPrice")
+    iv = P.implied_vol("mark", "underlyingPrice", "strikePrice", "t", F.lit(0.02), q, "putCall", F.lit("A"), steps=8)
+    return rounded(c.select("symbol", iv.alias("iv")), 3, "iv")
+
+
 def enriched(spark, sf, **options):
     return enrich_contracts(
         D.chains(spark, sf), schedule(spark, sf), CURVE, F.lit(D.CLOSE_EQUITY), F.lit(D.CLOSE_INDEX), **options

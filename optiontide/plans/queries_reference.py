@@ -22,6 +22,26 @@ EQUITIES = D.oracle_text(D.EQUITY_MASTER)
 
 # --------------------------------------------------------------------------- curves
 
+# the fitted curve must run within a tenth of a percent (root mean square) of its points
+def _fit_query(model: str, curve, names: tuple[str, ...]) -> None:
+    @query(
+        f"fn11_calibration_fit_{model}",
+        f"SELECT cast(ref_date AS varchar) AS ref_date, CAST(count(*) AS int) AS points, true AS close_fit FROM ({POINTS}) p GROUP BY 1",
+    )
+    def _(spark, sf):
+        points = D.curve_points_table(spark, sf)
+        fitted = K.calibrate_curves(points, model)
+        fit = curve("t", {n: F.col(n) for n in names})
+        errors = points.join(fitted, "ref_date").groupBy("ref_date", "points", "sse").agg(
+            F.sum((fit - F.col("y")) * (fit - F.col("y"))).alias("sum")
+        )
+        close = (F.sqrt(F.col("sum") / F.col("points")) < 1e-3) & (F.abs(F.col("sum") - F.col("sse")) < 1e-12)
+        return errors.select("ref_date", "points", close.alias("close_fit"))
+
+
+_fit_query("svensson", R.svensson, ("beta0", "beta1", "beta2", "beta3", "tau1", "tau2"))
+_fit_query("nelson_siegel", R.nelson_siegel, ("beta0", "beta1", "beta2", "tau"))
+
 # One wide yield row per event: percents by maturity label, some missing.
 _WIDE = (
     "SELECT event_id, cast(ts AS date) AS Date, CASE WHEN event_id % 5 = 0 THEN NULL ELSE floor(value * 100) / 100 END AS"
