@@ -192,8 +192,11 @@ def distinct_expirations(contracts: DataFrame) -> DataFrame:
 
 
 def attach_dividends(chains: DataFrame, fundamentals: DataFrame, symbol: str = "symbol") -> DataFrame:
-    """Dividend amount per symbol, 0 where unknown. Works on a stream of chains too."""
-    known = fundamentals.select(F.col("symbol").alias("__symbol"), F.col("divAmount").alias("__div"))
+    """Dividend amount per symbol, 0 where unknown. Works on a stream of chains too.
+
+    Repeated fundamentals of a symbol are folded first, so no chain is doubled.
+    """
+    known = fundamentals.groupBy(F.col("symbol").alias("__symbol")).agg(F.max("divAmount").alias("__div"))
     joined = chains.drop("dividendAmount").join(known, F.col(symbol) == F.col("__symbol"), "left")
     return joined.withColumn("dividendAmount", F.coalesce("__div", F.lit(0.0))).drop("__symbol", "__div")
 

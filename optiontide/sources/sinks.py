@@ -62,7 +62,7 @@ def rows_to_json_documents(df: DataFrame, keys: Sequence[str] = (), metadata: Ma
     A group is split into documents of at most ``rows_per_document`` rows
     (``part`` tells them apart), so no group is gathered whole. Dates become ISO text.
     """
-    part = F.floor(F.monotonically_increasing_id() / rows_per_document)
+    part = F.expr(f"monotonically_increasing_id() div {int(rows_per_document)}")
     body = [c for c in df.columns if c not in keys]
     placed = df.select(*keys, F.struct(*body).alias("__row"), part.alias("part"))
     documents = placed.groupBy(*keys, "part").agg(

@@ -34,6 +34,8 @@ def _rows(columns, rows):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(name, spark, db, sf_dir):
     df = QUERIES[name](spark, sf_dir)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     rows = [tuple(r) for r in df.collect()]
     if name not in ORACLES:
         assert rows
