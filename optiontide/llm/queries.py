@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from optiontide.llm.secrets import BASE, find_secrets, listing
 from optiontide.llm.sharding import rendezvous, shard_records
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +42,17 @@ def op4(spark, sf_dir):
     )
     return shard_records(rows, "doc_id", equal, ["text_crc32", "size"]).withColumn(
         "grown_shard", rendezvous(F.col("doc_id"), {**equal, SHARDS: 1.0}))
+
+
+@query("op6_secret_scan")
+def op6(spark, sf_dir):
+    """Secrets of every whole text: counts of the base kinds, a digest of the base spans, and all spans."""
+    found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = F.filter("secrets", lambda x: x["rank"] < len(BASE))
+
+    def count(rank):
+        return F.size(F.filter("secrets", lambda x: x["rank"] == rank)).cast("long")
+
+    return found.select(
+        "doc_id", *[count(r).alias(f"n_{b[0]}") for r, b in enumerate(BASE)],
+        F.sha2(listing(base), 256).alias("base_sha256"), listing(F.col("secrets")).alias("spans"))
