@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from optiontide.llm.common import word_count
+from optiontide.llm.mixing import mix
 from optiontide.llm.secrets import BASE, find_secrets, listing
 from optiontide.llm.sharding import rendezvous, shard_records
 
@@ -56,3 +58,11 @@ def op6(spark, sf_dir):
     return found.select(
         "doc_id", *[count(r).alias(f"n_{b[0]}") for r, b in enumerate(BASE)],
         F.sha2(listing(base), 256).alias("base_sha256"), listing(F.col("secrets")).alias("spans"))
+
+
+@query("op2_mix_sources")
+def op2(spark, sf_dir):
+    """Words that the mix takes of every document, with its source's size and target."""
+    rows = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words"))
+    mixed = mix(rows, "source", F.col("words"), ["doc_id"])
+    return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate")
