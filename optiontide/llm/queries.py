@@ -11,6 +11,8 @@ from optiontide.llm.common import word_count
 from optiontide.llm.mixing import mix
 from optiontide.llm.secrets import BASE, find_secrets, listing
 from optiontide.llm.sharding import rendezvous, shard_records
+from optiontide.llm.token_rollup import commit_batch, nothing, side, totals
+from optiontide.session import run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,3 +68,31 @@ def op2(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").select("doc_id", "source", word_count(F.col("text")).alias("words"))
     mixed = mix(rows, "source", F.col("words"), ["doc_id"])
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).cast("long").alias("taken"), "rate")
+
+
+@query("op5_token_rollup", r"""
+WITH d AS (
+  SELECT source, lang, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words,
+         len(regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[0-9]+|[^\x20\x09-\x0DA-Za-z0-9]')) AS pieces
+  FROM documents)
+SELECT source, lang, CASE WHEN words >= 100 THEN 'pieces-2' ELSE 'words-1' END AS tokenizer,
+       count(*) AS documents, CAST(sum(CASE WHEN words >= 100 THEN pieces ELSE words END) AS BIGINT) AS tokens
+FROM d WHERE words >= 3 GROUP BY ALL""")
+def op5(spark, sf_dir):
+    """Totals after three batches over all documents, the second of them committed twice.
+
+    All documents come in under the first tokenizer version; those of 100 words
+    or more are recounted under the second; those under 3 words are deleted.
+    """
+    pieces = F.regexp_count("text", F.lit(r"[A-Za-z]+|[0-9]+|[^\x20\x09-\x0DA-Za-z0-9]"))
+    root = run_dir(spark, "token-rollup")
+    table(spark, sf_dir, "documents").select("source", "lang", word_count(F.col("text")).alias("words"), pieces.alias("pieces")).write.parquet(f"{root}/counted")
+    rows = spark.read.schema("source string, lang string, words long, pieces int").parquet(f"{root}/counted")
+    first = side(F.col("source"), F.col("lang"), F.lit("words-1"), F.col("words"))
+    second = side(F.col("source"), F.col("lang"), F.lit("pieces-2"), F.col("pieces"))
+    inserts = rows.select(nothing().alias("before"), first.alias("after"))
+    revised = rows.where("words >= 100").select(first.alias("before"), second.alias("after"))
+    deleted = rows.where("words < 3").select(first.alias("before"), nothing().alias("after"))
+    for batch, changes in (("1", inserts), ("2", revised), ("3", deleted), ("2", revised)):
+        commit_batch(changes, f"{root}/totals", batch)
+    return totals(spark, f"{root}/totals")
