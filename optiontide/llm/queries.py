@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from optiontide.llm import lang_id
 from optiontide.llm.common import word_count
 from optiontide.llm.mixing import mix
 from optiontide.llm.secrets import BASE, find_secrets, listing
@@ -96,3 +97,18 @@ def op5(spark, sf_dir):
     for batch, changes in (("1", inserts), ("2", revised), ("3", deleted), ("2", revised)):
         commit_batch(changes, f"{root}/totals", batch)
     return totals(spark, f"{root}/totals")
+
+
+def language_model(docs: DataFrame) -> lang_id.LanguageModel | None:
+    """The model learnt from the labelled documents that are not held out."""
+    learn = docs.where(F.col("lang").isNotNull() & (F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3, F.lit(0)) != 1))
+    return lang_id.fit(learn.select("doc_id", "text", "lang"), "doc_id", "text", "lang")
+
+
+@query("op1_language_id")
+def op1(spark, sf_dir):
+    """The language of every whole text, by a model that has not seen the held-out third."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
+    rows = docs.select("doc_id", held_out.alias("held_out"), "text")
+    return lang_id.predict(rows, "text", language_model(docs)).select("doc_id", "held_out", "lang_pred", "score")
