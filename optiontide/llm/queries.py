@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from optiontide.llm import lang_id
+from optiontide.llm import bpe, lang_id
 from optiontide.llm.common import word_count
 from optiontide.llm.mixing import mix
 from optiontide.llm.secrets import BASE, find_secrets, listing
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 SHARDS = 16
+RANK_FILE = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def query(name: str, sql: str | None = None):
@@ -32,6 +34,8 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One input table. Arrow batches are kept to 1,000 rows, so that long texts stay within a worker's memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -112,3 +116,17 @@ def op1(spark, sf_dir):
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     rows = docs.select("doc_id", held_out.alias("held_out"), "text")
     return lang_id.predict(rows, "text", language_model(docs)).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def token_digest(docs: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
+    """doc_id, number of tokens, digest of the ids and of the bytes they decode to."""
+    coded = bpe.encode(docs.select("doc_id", "text"), "text", rank_file).select("doc_id", "ids")
+    ids = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256)
+    return bpe.decode(coded, "ids", rank_file).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query("op10_byte_bpe")
+def op10(spark, sf_dir):
+    """Every whole text to ids and back."""
+    return token_digest(table(spark, sf_dir, "documents"))
