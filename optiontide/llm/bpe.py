@@ -30,6 +30,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 LETTER, NUMBER, OTHER, SPACE, BLANK = range(5)
 # Symbols of the machine.
@@ -246,6 +247,10 @@ def encode_texts(texts: list[str], merger: Merger, table: np.ndarray) -> tuple[p
     return pa.ListArray.from_arrays(at.astype(np.int32), ids), pa.ListArray.from_arrays(parts.astype(np.int32), starts.astype(np.int32))
 
 
+def _with(df: DataFrame, **kinds: T.DataType) -> T.StructType:
+    return T.StructType([*df.schema.fields, *[T.StructField(n, k) for n, k in kinds.items()]])
+
+
 def encode(df: DataFrame, text: str, rank_file: str) -> DataFrame:
     """``df`` with ``ids`` (array<int>) and ``starts`` (place in ids where each slice begins); columns of these names are replaced.
 
@@ -265,7 +270,7 @@ def encode(df: DataFrame, text: str, rank_file: str) -> DataFrame:
                 texts = [t or "" for t in batch.column(place).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *encode_texts(texts, merger, table)], [*kept, "ids", "starts"])
 
-    return rows.mapInArrow(run, rows.schema.add("ids", "array<int>").add("starts", "array<int>"))
+    return rows.mapInArrow(run, _with(rows, ids=T.ArrayType(T.IntegerType()), starts=T.ArrayType(T.IntegerType())))
 
 
 def blocks_of(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
@@ -296,7 +301,7 @@ def decode(df: DataFrame, ids: str, rank_file: str) -> DataFrame:
                 out = [None if own is None else b"".join(map(words.__getitem__, own)) for own in part.column(place).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(out, pa.binary())], [*kept, "decoded"])
 
-    return rows.mapInArrow(run, rows.schema.add("decoded", "binary"))
+    return rows.mapInArrow(run, _with(rows, decoded=T.BinaryType()))
 
 
 def decode_slice(ids: list[int], starts: list[int], slice_no: int, words: dict[int, bytes]) -> bytes:
