@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from optiontide.llm import bpe, lang_id
 from optiontide.llm.common import word_count
+from optiontide.llm.hyperminhash import near_duplicates
 from optiontide.llm.mixing import mix
 from optiontide.llm.secrets import BASE, find_secrets, listing
 from optiontide.llm.sharding import rendezvous, shard_records
@@ -130,3 +131,9 @@ def token_digest(docs: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
 def op10(spark, sf_dir):
     """Every whole text to ids and back."""
     return token_digest(table(spark, sf_dir, "documents"))
+
+
+@query("op8_minhash_near_dedup")
+def op8(spark, sf_dir):
+    """Components of documents whose sets of 4-word shingles are 80 % alike or more."""
+    return near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", words=4)
