@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from optiontide.session import shared_dir
+
 #: Words are runs of anything but blanks and the control characters tab to carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -46,3 +50,14 @@ def numbered_within(df: DataFrame, group: list[str], spread: list[Column], order
         .withColumn(name, F.col("__start") + F.col("__row") - 1)
         .drop("__bucket", "__row", "__b", "__start", *[f"__{g}" for g in group])
     )
+
+
+class Folder:
+    """Tables written below one new folder of the shared one and read again; that cuts their lineage."""
+
+    def __init__(self, df: DataFrame, name: str):
+        self.spark, self.path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+
+    def put(self, df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")

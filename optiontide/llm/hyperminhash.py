@@ -24,7 +24,6 @@ folder.
 from __future__ import annotations
 
 import hashlib
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,9 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from optiontide.llm.common import Folder
 from optiontide.llm.components import components
 from optiontide.llm.shingles import mixed, shingle_sets
-from optiontide.session import shared_dir
 
 WORDS = 5
 PERCENT = 80
@@ -195,17 +194,6 @@ def _block_pairs(share: float):
     return run
 
 
-class _Folder:
-    """Tables written below one new folder and read again with their schema."""
-
-    def __init__(self, df: DataFrame, name: str):
-        self.spark, self.path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-
-    def put(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{self.path}/{name}")
-        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
-
-
 def _estimate(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
     """Of pairs (a, b), those that the estimate does not rule out."""
     for side in "ab":
@@ -214,7 +202,7 @@ def _estimate(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_close_enough(share), "a binary, b binary")
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, folder: _Folder, name: str, words: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, folder: Folder, name: str, words: int, percent: int) -> DataFrame:
     """Of pairs (a, b), those whose full sets reach the threshold."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
     chosen = needed.join(classes, "set_id").select("set_id", F.col("rep.key").alias("__key"), F.col("rep.mark").alias("__mark"))
@@ -235,7 +223,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     ``kept`` whether it is the row's own.
     """
     share = percent / 100
-    folder = _Folder(df, "minhash")
+    folder = Folder(df, "minhash")
     texts = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
     kind = texts.schema["key"].dataType.simpleString()
     signed = folder.put(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from optiontide.llm import bpe, lang_id
 from optiontide.llm.common import word_count
 from optiontide.llm.hyperminhash import near_duplicates
+from optiontide.llm.itq import near_vectors
 from optiontide.llm.mixing import mix
 from optiontide.llm.secrets import BASE, find_secrets, listing
 from optiontide.llm.sharding import rendezvous, shard_records
@@ -137,3 +138,9 @@ def op10(spark, sf_dir):
 def op8(spark, sf_dir):
     """Components of documents whose sets of 4-word shingles are 80 % alike or more."""
     return near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", words=4)
+
+
+@query("op7_embedding_near_dedup")
+def op7(spark, sf_dir):
+    """Components of embeddings with a cosine of 0.9 or more."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
