@@ -16,6 +16,7 @@ from optiontide.llm.mixing import mix
 from optiontide.llm.secrets import BASE, find_secrets, listing
 from optiontide.llm.sharding import rendezvous, shard_records
 from optiontide.llm.token_rollup import commit_batch, nothing, side, totals
+from optiontide.llm.voronoi import top_k, whole_numbers
 from optiontide.session import run_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +145,21 @@ def op8(spark, sf_dir):
 def op7(spark, sf_dir):
     """Components of embeddings with a cosine of 0.9 or more."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_voronoi_top_k", """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+         CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""")
+def op3(spark, sf_dir):
+    """The 5 highest inner products of every fiftieth embedding, against all others."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", whole_numbers(F.col("embedding"), 256).alias("q"))
+    return top_k(rows, "vec_id", "q", F.col("vec_id") % 50 == 0, 5)
