@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from optiontide.llm import bpe, lang_id
+from optiontide.llm import bpe, lang_id, toxicity
 from optiontide.llm.common import word_count
 from optiontide.llm.hyperminhash import near_duplicates
 from optiontide.llm.itq import near_vectors
@@ -163,3 +163,17 @@ def op3(spark, sf_dir):
     """The 5 highest inner products of every fiftieth embedding, against all others."""
     rows = table(spark, sf_dir, "embeddings").select("vec_id", whole_numbers(F.col("embedding"), 256).alias("q"))
     return top_k(rows, "vec_id", "q", F.col("vec_id") % 50 == 0, 5)
+
+
+def severity_grade() -> Column:
+    """0: fit for use, 1: of low quality, 2: toxic; null without a toxic label."""
+    return F.when(F.col("toxic") == 1, 2).when(F.col("toxic") == 0, F.when(F.col("quality") == 0, 1).otherwise(0))
+
+
+@query("op9_toxicity_severity")
+def op9(spark, sf_dir):
+    """Expected severity of every document, learnt from the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id")
+    model = toxicity.fit(labelled, "doc_id", "text", severity_grade(), 3)
+    return toxicity.severity(docs, "text", model).select("doc_id", "severity", "grade", "toxic")
