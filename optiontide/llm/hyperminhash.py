@@ -215,13 +215,8 @@ def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, folder: Fol
     return pairs.where(100 * both >= percent * (F.size("ga") + F.size("gb") - both)).select("a", "b")
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(key, n_shingles, component_id, kept) of each row.
-
-    Rows link when their shingle sets have a Jaccard similarity of ``percent``
-    hundredths or more. ``component_id`` is the smallest key of the component,
-    ``kept`` whether it is the row's own.
-    """
+def _components(df: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
+    """key, mark (hash of the text), n_shingles and component of each row."""
     share = percent / 100
     folder = Folder(df, "minhash")
     texts = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
@@ -263,14 +258,35 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     grouped = classes.join(labels, F.col("set_id") == F.col("node"), "left").select("set_id", F.coalesce("label", "set_id").alias("label"), "least")
     least = grouped.groupBy("label").agg(F.min("least").alias("component"))
     owner = folder.put(grouped.join(least, "label").select(F.col("set_id").alias("__set"), "component"), "owner")
-    rows = signed.select("key", "n_shingles", "set_id").join(owner, F.col("set_id") == F.col("__set"), "left")
-    component = F.when(F.col("__set").isNull(), F.col("key")).otherwise(F.col("component"))
-    return rows.select(
+    rows = signed.select("key", "mark", "n_shingles", "set_id").join(owner, F.col("set_id") == F.col("__set"), "left")
+    return rows.select("key", "mark", "n_shingles", F.when(F.col("__set").isNull(), F.col("key")).otherwise(F.col("component")).alias("component"))
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """(key, n_shingles, component_id, kept) of each row.
+
+    Rows link when their shingle sets have a Jaccard similarity of ``percent``
+    hundredths or more. ``component_id`` is the smallest key of the component,
+    ``kept`` whether it is the row's own.
+    """
+    component = F.col("component")
+    return _components(df, key, text, words, percent).select(
         F.col("key").alias(key), "n_shingles", component.alias("component_id"), F.col("key").eqNullSafe(component).alias("kept"))
 
 
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """``df`` with one row of each group of near duplicates: the one with the smallest key."""
-    found = near_duplicates(df, key, text, words, percent)
-    gone = found.where(~F.col("kept")).select(F.col(key).alias("__gone")).distinct()
-    return df.join(gone, F.col(key).eqNullSafe(F.col("__gone")), "left_anti")
+    """``df`` with one row of each group of near duplicates: the one with the smallest key.
+
+    Rows that repeat a key and its text count as one; texts without words all stay.
+    """
+    found = Folder(df, "minhash-kept").put(_components(df, key, text, words, percent), "found")
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__mark"))
+
+    def marks(rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("key").alias("__key"), F.col("mark").alias("__mark")).distinct()
+
+    left = df.join(marks(found.where(~F.col("key").eqNullSafe(F.col("component")))), same, "left_anti")
+    again = found.where("n_shingles > 0").groupBy("key", "mark").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
+    if again.isEmpty():
+        return left
+    return left.join(marks(again), same, "left_anti").union(left.join(marks(again), same, "left_semi").dropDuplicates([key, text]))
