@@ -12,9 +12,11 @@ first. Every bucket's members are compared with its least one; the Jaccard
 estimate (corrected for registers that agree by chance) leaves out what is far
 below the threshold, and the rest is confirmed on the full sets. Links join
 classes to components. Buckets whose members are already one component are
-done; in the others the members of different components are compared too, in
-blocks of a bounded size, so a bucket may hold any number of texts, no link is given up
-for its size, and pairs within a component are never listed.
+done. In the others members of different components are compared too, in blocks
+of a bounded size, so a bucket may hold any number of texts: first every member
+names its few most similar ones, which joins most of what belongs together
+within some rounds; then all pairs of different components that the estimate does not rule
+out are confirmed, so no link is given up. Pairs within a component are never listed.
 
 A text without words links with nothing. Null and repeated keys are kept: rows
 of equal sets share a class whatever their keys. Work tables go to the shared
@@ -48,6 +50,11 @@ BOTH = DENSE * 4 // 5
 MARGIN = 0.17
 #: Members of a bucket that meet in one task.
 BLOCK = 512
+#: Hash groups in which small buckets share a task.
+PACKS = 4096
+#: Rounds in which a member names its best partners only, and how many.
+ROUNDS = 5
+BEST = 3
 
 _SEEDS = mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64))
 _DONORS = np.stack([np.random.default_rng(k).permutation(REGISTERS) for k in range(64)])
@@ -173,24 +180,36 @@ def _close_enough(share: float):
     return run
 
 
-def _block_pairs(share: float):
-    """Pairs of different components within a pair of blocks of one bucket that the estimate does not rule out."""
-    def run(rows: pd.DataFrame) -> pd.DataFrame:
-        regs = np.stack([np.frombuffer(b, dtype=np.uint16).reshape(2, REGISTERS) for b in rows["registers"]])
-        n, ids, label, block = rows["n_shingles"].to_numpy(np.float64), rows["set_id"].to_numpy(), rows["label"].to_numpy(), rows["block"].to_numpy()
+def _block_pairs(share: float, best: int | None):
+    """Pairs of different components, bucket by bucket, that the estimate does not rule out.
+
+    Of the pairs of each member only the ``best`` most similar, or all for None.
+    """
+    def one_bucket(rows: pd.DataFrame, out: list) -> None:
+        regs = np.frombuffer(b"".join(rows["registers"]), dtype=np.uint16).reshape(len(rows), 2, REGISTERS)
+        n, ids, block = rows["n_shingles"].to_numpy(np.float64), rows["set_id"].to_numpy(), rows["block"].to_numpy()
+        codes = pd.factorize(rows["label"])[0]
         low, high = block.min(), block.max()
-        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
-        codes = pd.factorize(label)[0]
-        a, b = [], []
-        for i in left:
-            others = right[(codes[right] != codes[i]) & (np.minimum(n[right], n[i]) >= share * np.maximum(n[right], n[i]))]
-            if low == high:
-                others = others[others > i]
+        for i in range(len(rows)):
+            there = codes != codes[i]
+            if low != high:
+                there &= block != block[i]
+            if best is None:
+                there[: i + 1] = False
+            others = np.flatnonzero(there & (np.minimum(n, n[i]) >= share * np.maximum(n, n[i])))
             if len(others):
-                good = others[estimated(regs[i][None], regs[others], n[i : i + 1], n[others]) >= share - MARGIN]
-                a += [max(ids[i], ids[j]) for j in good]
-                b += [min(ids[i], ids[j]) for j in good]
-        return pd.DataFrame({"a": a, "b": b})
+                guess = estimated(regs[i][None], regs[others], n[i : i + 1], n[others])
+                good = np.flatnonzero(guess >= share - MARGIN)
+                if best is not None and len(good) > best:
+                    good = good[np.argsort(-guess[good], kind="stable")[:best]]
+                out += [(max(ids[i], ids[j]), min(ids[i], ids[j])) for j in others[good]]
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[bytes, bytes]] = []
+        for _, own in rows.groupby("band", sort=False):
+            if own["label"].nunique() > 1:
+                one_bucket(own, out)
+        return pd.DataFrame(sorted(set(out)), columns=["a", "b"])
     return run
 
 
@@ -202,19 +221,42 @@ def _estimate(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_close_enough(share), "a binary, b binary")
 
 
-def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, folder: Folder, name: str, words: int, percent: int) -> DataFrame:
-    """Of pairs (a, b), those whose full sets reach the threshold."""
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    chosen = needed.join(classes, "set_id").select("set_id", F.col("rep.key").alias("__key"), F.col("rep.mark").alias("__mark"))
+def _sets(ids: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """Full sets (set_id, grams) of the classes ``ids``, each from one of its texts."""
+    chosen = ids.join(classes, "set_id").select("set_id", F.col("rep.key").alias("__key"), F.col("rep.mark").alias("__mark"))
     found = texts.join(chosen, F.col("key").eqNullSafe(F.col("__key")) & (F.col("mark") == F.col("__mark"))).select("set_id", "text")
     sets = found.mapInArrow(_full_sets(words), "set_id binary, grams array<long>")
-    sets = folder.put(sets.groupBy("set_id").agg(F.max("grams").alias("grams")), f"sets-{name}")  # repeated rows fold here
+    return sets.groupBy("set_id").agg(F.max("grams").alias("grams"))  # repeated rows fold here
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+
+
+def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of pairs (a, b), those whose full sets reach the threshold."""
     for side in "ab":
         pairs = pairs.join(sets.select(F.col("set_id").alias(side), F.col("grams").alias(f"g{side}")), side)
     both = F.size(F.array_intersect("ga", "gb"))
     return pairs.where(100 * both >= percent * (F.size("ga") + F.size("gb") - both)).select("a", "b")
 
 
+def _open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, share: float, best: int | None) -> DataFrame:
+    """Candidate pairs of the buckets that hold more than one component."""
+    named = members.join(labels, F.col("set_id") == F.col("node"), "left").select(
+        "band", "members", "set_id", F.coalesce("label", "set_id").alias("label"))
+    open_ = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
+    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
+    dealt = (
+        named.join(open_, "band").join(classes.select("set_id", "n_shingles", "registers"), "set_id")
+        .withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("pack", F.when(F.col("blocks") > 1, F.col("band")).otherwise(F.pmod("band", F.lit(PACKS))))
+        .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    )
+    return dealt.groupBy("pack", "low", "high").applyInPandas(_block_pairs(share, best), "a binary, b binary").distinct()
+
+
 def _components(df: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
     """key, mark (hash of the text), n_shingles and component of each row."""
     share = percent / 100
@@ -234,26 +276,31 @@ def _components(df: DataFrame, key: str, text: str, words: int, percent: int) ->
 
     stars = members.where("set_id <> head").select(F.col("set_id").alias("a"), F.col("head").alias("b")).distinct()
     tried = folder.put(_estimate(stars, classes, share), "tried")
-    links = folder.put(_confirm(tried, classes, texts, folder, "1", words, percent), "links-1")
-    labels = components(links, f"{folder.path}/components-1")
-
-    named = members.where("members > 2").join(labels, F.col("set_id") == F.col("node"), "left").select(
-        "band", "members", "set_id", F.coalesce("label", "set_id").alias("label"))
-    named = folder.put(named, "named")
-    open_ = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    mine = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
-    dealt = (
-        named.join(open_, "band").join(classes.select("set_id", "n_shingles", "registers"), "set_id")
-        .withColumn("blocks", blocks).withColumn("block", mine)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    )
-    more = dealt.groupBy("band", "low", "high").applyInPandas(_block_pairs(share), "a binary, b binary").distinct()
-    more = folder.put(more.join(tried, ["a", "b"], "left_anti"), "more")
-    if not more.isEmpty():
-        again = folder.put(_confirm(more, classes, texts, folder, "2", words, percent), "links-2")
-        labels = components(links.union(again), f"{folder.path}/components-2")
+    sets = folder.put(_sets(_ends(tried), classes, texts, words), "sets")
+    links = folder.put(_confirm(tried, sets, percent), "links")
+    labels = components(links, f"{folder.path}/components")
+
+    # a few rounds in which every member names its best partners of other components, then all that is left
+    members = members.where("members > 2")
+    best = BEST
+    for k in range(ROUNDS + 2):
+        if k >= ROUNDS:
+            best = None
+        pairs = folder.put(_open_pairs(members, labels, classes, share, best).join(tried, ["a", "b"], "left_anti"), f"pairs-{k}")
+        if pairs.isEmpty():
+            if best is None:
+                break
+            best = None
+            continue
+        # whoever is named in a later round is named in the first one too
+        missing = _ends(pairs).join(sets, "set_id", "left_anti")
+        if k == 0 or not missing.isEmpty():
+            sets = sets.union(folder.put(_sets(missing, classes, texts, words), f"sets-{k}"))
+        tried = tried.union(pairs)
+        found = folder.put(_confirm(pairs, sets, percent), f"links-{k}")
+        if not found.isEmpty():
+            links = links.union(found)
+            labels = components(links, f"{folder.path}/components-{k}")
 
     grouped = classes.join(labels, F.col("set_id") == F.col("node"), "left").select("set_id", F.coalesce("label", "set_id").alias("label"), "least")
     least = grouped.groupBy("label").agg(F.min("least").alias("component"))
