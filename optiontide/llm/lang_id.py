@@ -32,7 +32,7 @@ PER_LANGUAGE = 384
 LANDMARKS = 16
 RIDGE = 1e-2
 #: Hash ranges of a language that are sampled on their own.
-RANGES = 32
+RANGES = 128
 CHUNK = 1 << 18
 ROWS = 256
 UNKNOWN = "und"
@@ -139,7 +139,7 @@ def fit(df: DataFrame, key: str, text: str, label: str, per_language: int = PER_
     few = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= max(1, per_language // RANGES)).select("key", "lang")
     few = few.select(F.col("key").alias("__key"), F.col("lang").alias("__lang"))
     texts = df.where(has_letter(F.col(text))).select(F.col(key).alias("key"), F.col(label).alias("lang"), F.col(text).alias("text"))
-    texts = texts.join(few, (F.col("key") == F.col("__key")) & (F.col("lang") == F.col("__lang")))
+    texts = texts.join(few, F.col("key").eqNullSafe(F.col("__key")) & (F.col("lang") == F.col("__lang")))
     texts = texts.dropDuplicates(["key", "lang"])
     sets = texts.select("lang", F.xxhash64("key").alias("mark"), "text").mapInArrow(_packed, "lang string, mark long, bits binary")
     found = sets.toArrow().to_pydict()

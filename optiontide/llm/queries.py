@@ -174,6 +174,5 @@ def severity_grade() -> Column:
 def op9(spark, sf_dir):
     """Expected severity of every document, learnt from the labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labelled = docs.join(table(spark, sf_dir, "labels"), "doc_id")
-    model = toxicity.fit(labelled, "doc_id", "text", severity_grade(), 3)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", severity_grade(), 3)
     return toxicity.severity(docs, "text", model).select("doc_id", "severity", "grade", "toxic")

@@ -79,7 +79,7 @@ def _sets(hashes: np.ndarray, counts: np.ndarray, words: int) -> Iterator[np.nda
     weights = [mixed(np.array([k + 1], dtype=np.uint64))[0] | np.uint64(1) for k in range(words)]
     wide = np.zeros(max(0, len(hashes) - words + 1), dtype=np.uint64)
     for k in range(words):
-        wide += hashes[k : len(hashes) - words + 1 + k] * weights[k]
+        wide += hashes[k : k + len(wide)] * weights[k]
     wide = mixed(wide)
     at = 0
     for n in counts.tolist():

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from optiontide.llm import shingles
+from optiontide.llm.common import Folder
 from optiontide.llm.shingles import mixed
 
 SAMPLE = 6000
@@ -169,11 +170,16 @@ def fit_ordinal(rows: np.ndarray, grades: np.ndarray, levels: int, steps: int =
     return free[:width], free[width:]
 
 
-def fit(df: DataFrame, key: str, text: str, grade: Column, levels: int, sample: int = SAMPLE) -> SeverityModel | None:
-    """A model from at most ``sample`` rows with a grade from 0 to ``levels`` - 1; None if there is none."""
-    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text"), grade.cast("int").alias("grade")).where("grade is not null")
-    keys = rows.select("key").distinct().orderBy(F.xxhash64("key"), "key").limit(sample).select(F.col("key").alias("__key"))
-    few = rows.join(keys, F.col("key") == F.col("__key")).dropDuplicates(["key"]).select("grade", "text")
+def fit(df: DataFrame, labels: DataFrame, key: str, text: str, grade: Column, levels: int, sample: int = SAMPLE) -> SeverityModel | None:
+    """A model from at most ``sample`` rows of ``labels`` with a grade from 0 to ``levels`` - 1; None if there is none.
+
+    The sample is chosen from keys and grades alone and is small enough to be
+    broadcast to the texts. A key that repeats counts once, with its highest grade.
+    """
+    keys = labels.select(F.col(key).alias("__key"), grade.cast("int").alias("grade")).where("__key is not null and grade is not null")
+    keys = keys.groupBy("__key").agg(F.max("grade").alias("grade")).orderBy(F.xxhash64("__key"), "__key").limit(sample)
+    rows = df.select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(keys), F.col("key") == F.col("__key"))
+    few = Folder(df, "severity").put(rows.dropDuplicates(["key"]).select("grade", "text"), "sample")
     counts = few.mapInArrow(_frequencies, "feature long, grade int, texts long").groupBy("feature").agg(
         *[F.sum(F.when(F.col("grade") > g, F.col("texts")).otherwise(0)).alias(f"above{g}") for g in range(levels - 1)], F.sum("texts").alias("texts"))
     totals = few.groupBy("grade").count().collect()
