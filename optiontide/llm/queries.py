@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from optiontide.llm import bpe, lang_id, toxicity
+from optiontide.llm import bpe, lang_id, oracle_sql, toxicity
 from optiontide.llm.common import word_count
 from optiontide.llm.hyperminhash import near_duplicates
 from optiontide.llm.itq import near_vectors
@@ -56,7 +56,7 @@ def op4(spark, sf_dir):
         "grown_shard", rendezvous(F.col("doc_id"), {**equal, SHARDS: 1.0}))
 
 
-@query("op6_secret_scan")
+@query("op6_secret_scan", oracle_sql.SECRETS)
 def op6(spark, sf_dir):
     """Secrets of every whole text: counts of the base kinds, a digest of the base spans, and all spans."""
     found = find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -135,13 +135,13 @@ def op10(spark, sf_dir):
     return token_digest(table(spark, sf_dir, "documents"))
 
 
-@query("op8_minhash_near_dedup")
+@query("op8_minhash_near_dedup", oracle_sql.NEAR_DEDUP)
 def op8(spark, sf_dir):
     """Components of documents whose sets of 4-word shingles are 80 % alike or more."""
     return near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text", words=4)
 
 
-@query("op7_embedding_near_dedup")
+@query("op7_embedding_near_dedup", oracle_sql.NEAR_VECTORS)
 def op7(spark, sf_dir):
     """Components of embeddings with a cosine of 0.9 or more."""
     return near_vectors(table(spark, sf_dir, "embeddings"))
