@@ -268,8 +268,7 @@ def european_vols(mark, spot, strike, t, rate, is_call) -> np.ndarray:
             x[open_] = new
             out[open_[done]] = new[done]
             open_ = open_[~done]
-        out[open_] = x[open_]
-    return out
+    return out  # rows that did not settle stay NaN
 
 
 def american_vols(mark, spot, strike, t, rate, q, is_call, steps: int = TREE_STEPS) -> np.ndarray:
@@ -370,6 +369,7 @@ def _bracketed_root(gap, rows, a, fa, b, fb, tolerance: float = VOL_TOLERANCE /
         step = np.where(quadratic & np.isfinite(step), step, 0.5)
         frac[i] = np.clip(step, room, 1 - room)
         active = i[open_]
+    root[active] = np.nan  # not settled
     return root
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -69,15 +70,21 @@ def nth_from_end(df: DataFrame, keys: Sequence[str], order: Order, n: int) -> Da
     return ranked.filter(F.col("__rn") <= n).filter(F.col("__rn") == n).drop("__rn")
 
 
+def without_keys(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is not in ``other``; null keys are equal."""
+    gone = other.select(*[_col(k).alias(f"__{k}") for k in keys])
+    same = functools.reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in keys])
+    return df.join(gone, same, "left_anti")
+
+
 def upsert(staging: DataFrame, target: DataFrame, keys: Sequence[str], order: Order) -> DataFrame:
-    """Target with the newest staged row of each key in place of its old row.
+    """Target with the newest staged row of each key in place of its old row; a null is a key like others.
 
     Only the staged keys travel to the target: the anti join broadcasts them
     when they are small, so a small batch does not shuffle a large table.
     """
     fresh = latest_per_key(staging, keys, order)
-    kept = target.join(fresh.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(fresh, allowMissingColumns=True)
+    return without_keys(target, fresh, keys).unionByName(fresh, allowMissingColumns=True)
 
 
 def conform(df: DataFrame, schema: T.StructType, renames: Mapping[str, str] | None = None) -> DataFrame:

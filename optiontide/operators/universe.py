@@ -10,12 +10,6 @@ from pyspark.sql import functions as F
 from optiontide.functions.symbols import adapt_symbol, normalised_option_symbol
 from optiontide.operators.ordered import with_ordinal
 
-# Symbols a chain request cannot be made for.
-BLOCKED_SYMBOLS = """
-    $AAN $ALLG $ASLN $AUGX $BFA $BFB $BRKB BRK.B $CALT CHUY $CRDA $CWENA $DOMA $EFUT $GTHX $HA
-    $HEIA HEI.A $LGFA $LGFB $MACK $MOGA $MOR $NSTGQ $OLK $PBRA $PRFT $PWSC $TELL $UHALB $VGR $WKME
-""".split()
-
 # Fixed value: symbols one account may stream.
 STREAM_SYMBOLS_PER_ACCOUNT = 200
 
@@ -50,9 +44,9 @@ def equity_options(options: DataFrame, equities: DataFrame, adapt: bool = True)
     return out.select(adapt_symbol("symbol").alias("symbol")) if adapt else out
 
 
-def option_universe(options: DataFrame, equities: DataFrame, blocked: Sequence[str] = tuple(BLOCKED_SYMBOLS),
+def option_universe(options: DataFrame, equities: DataFrame, blocked: Sequence[str] = (),
                     adapt: bool = True) -> DataFrame:
-    """All option underlyings in request form, index ones with ``$``, minus the blocked ones."""
+    """All option underlyings in request form, index ones with ``$``, minus those the caller blocks."""
     known = equities.select(F.col("symbol").alias("__e")).distinct()
     flagged = options.select("symbol").distinct().join(known, F.col("symbol") == F.col("__e"), "left")
     name = adapt_symbol("symbol", F.col("__e").isNull()) if adapt else F.col("symbol")

@@ -136,11 +136,12 @@ QUOTES = (
     f" ORDER BY ts DESC, event_id DESC) AS rn FROM ({BARS}) b) q WHERE rn = 1"
 )
 
+# Holdings of all suppliers; two of twenty symbols have no quotes.
 POSITIONS = (
-    "SELECT concat('U', cast(s_suppkey % 20 AS string)) AS symbol, sum(1 + s_nationkey) AS quantity,"
+    "SELECT concat(CASE WHEN s_suppkey % 20 < 18 THEN 'U' ELSE 'X' END, cast(s_suppkey % 20 AS string)) AS symbol, sum(1 + s_nationkey) AS quantity,"
     " cast(floor(min(abs(s_acctbal))) AS double) / 20 + 1 AS purchase_price,"
     " CASE WHEN s_suppkey % 20 % 2 = 0 THEN 'equity' ELSE 'option' END AS asset_type"
-    " FROM {supplier} WHERE s_suppkey % 20 < 18 GROUP BY s_suppkey % 20"
+    " FROM {supplier} GROUP BY s_suppkey % 20"
 )
 
 # Maturities of the curves as (label, days, spread).
@@ -149,7 +150,9 @@ MATURITIES = (
     ("10 Yr", 3650, 7), ("30 Yr", 10950, 9),
 )
 
-CURVE_DATES = "SELECT DISTINCT cast(ts AS date) AS ref_date FROM {events} WHERE day(ts) % 3 = 1"
+CURVE_DATES = "SELECT DISTINCT cast(ts AS date) AS ref_date FROM {events}"
+# The same days with gaps: each moves back to the one before that is a multiple of three.
+GAPPED_DATES = "SELECT DISTINCT cast(ts AS date) - cast(day(ts) % 3 AS int) AS ref_date FROM {events}"
 
 CURVE_POINTS = (
     "SELECT d.ref_date, m.label, m.days, cast(m.days AS double) / 365 AS t,"

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from optiontide.operators.chain import attach_dividends
+from optiontide.operators.quality import observe_quality
 from optiontide.operators.tables import conform
 from optiontide.plans.enrich import enrich_contracts
 from optiontide.schemas import output_schema
-from optiontide.sources.chains import decode_chain_payload
+from optiontide.sources.chains import decode_chain_payload, gunzip
 from optiontide.streaming.job import epoch_sink, run_stream
 
 
@@ -27,7 +28,7 @@ def process_messages(
 ) -> DataFrame:
     """Stored contract rows of gzip chain messages.
 
-    Messages that cannot be read, or hold no symbol, give no rows. With
+    Messages that cannot be read, or hold no symbol, give no rows (``run_contract_job`` can keep them). With
     ``fundamentals`` the dividend amounts come from there instead of the chain.
     ``options`` go to ``enrich_contracts``.
     """
@@ -40,6 +41,17 @@ def process_messages(
     return conform(enrich_contracts(chains, schedule, params, close_equity, close_index, carry=("ticker",), **options), output_schema())
 
 
+def message_states(messages: DataFrame) -> DataFrame:
+    """Messages with ``state``: ok, unreadable, not_json, or no_symbol."""
+    text = messages.withColumn("__text", gunzip("value"))
+    symbol = F.get_json_object("__text", "$.symbol")
+    state = (
+        F.when(F.col("__text").isNull(), "unreadable").when(F.json_object_keys("__text").isNull(), "not_json")
+        .when(symbol.isNull(), "no_symbol").otherwise("ok")
+    )
+    return text.withColumn("state", state).drop("__text")
+
+
 def run_contract_job(
     source: DataFrame,
     path: str,
@@ -47,10 +59,28 @@ def run_contract_job(
     transform: Callable[[DataFrame], DataFrame],
     name: str = "contracts",
     trigger: str | None = None,
+    quarantine: str | None = None,
 ) -> StreamingQuery:
     """Stream messages through ``transform`` into the epoch table at ``path``.
 
     A replayed epoch replaces its rows, so a restart after a lost driver or
-    executor neither loses nor doubles contracts.
+    executor neither loses nor doubles contracts. With ``quarantine`` messages
+    that give no rows (see ``message_states``) are written as they came, with their state,
+    to an epoch table there; their share is observed as the metric ``messages``.
     """
-    return run_stream(source, epoch_sink(path, transform), checkpoint, name, trigger)
+    rows = epoch_sink(path, transform)
+    if quarantine is None:
+        return run_stream(source, rows, checkpoint, name, trigger)
+
+    def bad(batch: DataFrame) -> DataFrame:
+        states = message_states(batch)
+        problem = F.when(F.col("state") != "ok", F.col("state"))
+        return observe_quality(states.withColumn("__bad", problem), "__bad", "messages").drop("__bad").filter("state <> 'ok'")
+
+    kept = epoch_sink(quarantine, bad)
+
+    def both(batch: DataFrame, epoch: int) -> None:
+        kept(batch, epoch)
+        rows(batch, epoch)
+
+    return run_stream(source, both, checkpoint, name, trigger)

@@ -343,9 +343,7 @@ def _(spark, sf):
 )
 def _(spark, sf):
     t = F.col("daysToExpiration") / F.lit(365.0)
-    out = TB.compute_on_distinct(
-        contracts(spark, sf), ["fetchTime", "daysToExpiration"], {"t": t, "r": R.cc_rate(R.svensson(t, CURVE))}
-    )
+    out = CH.attach_time_and_rate(contracts(spark, sf), t, R.cc_rate(R.svensson(t, CURVE)))
     return rounded(out.select("symbol", "t", "r"), 10, "t", "r")
 
 
@@ -360,7 +358,8 @@ def _(spark, sf):
     return rounded(CH.attach_dividend_yield(c).select("symbol", "q"), 10, "q")
 
 
-_FUND = "SELECT concat('P', cast(p_partkey % 200 AS string)) AS symbol, max(cast(p_size % 7 AS double)) / 4 AS divAmount FROM part WHERE p_partkey % 200 < 150 GROUP BY 1"
+# part numbers of 150 and above have no chain
+_FUND = "SELECT concat(CASE WHEN p_partkey % 200 < 150 THEN 'P' ELSE 'Z' END, cast(p_partkey % 200 AS string)) AS symbol, max(cast(p_size % 7 AS double)) / 4 AS divAmount FROM part GROUP BY p_partkey % 200"
 
 
 @query(

@@ -387,9 +387,9 @@ def _(spark, sf):
 
 _HELD = f"SELECT symbol, quantity, purchase_price, asset_type, symbol <> 'U4' AS ownership_status FROM ({POSITIONS}) p"
 _NEW = (
-    "SELECT concat('U', cast(c_custkey % 25 AS string)) AS symbol, cast(c_nationkey AS bigint) AS quantity, cast(NULL AS double) AS"
+    "SELECT concat(CASE WHEN c_custkey % 25 > 9 THEN 'U' ELSE 'W' END, cast(c_custkey % 25 AS string)) AS symbol, cast(c_nationkey AS bigint) AS quantity, cast(NULL AS double) AS"
     " purchase_price, 'equity' AS asset_type, CASE WHEN c_nationkey % 2 = 0 THEN '2024-01-31' END AS purchase_date, c_custkey FROM"
-    " {customer} WHERE c_custkey % 25 > 9"
+    " {customer}"
 )
 
 
@@ -409,7 +409,7 @@ def _(spark, sf):
     return out.select("symbol", "quantity", "purchase_price", "ownership_status")
 
 
-_ASKED = "SELECT DISTINCT concat('U', cast(c_custkey % 30 AS string)) AS symbol FROM {customer} WHERE c_custkey % 30 > 12"
+_ASKED = "SELECT DISTINCT concat(CASE WHEN c_custkey % 30 > 12 THEN 'U' ELSE 'V' END, cast(c_custkey % 30 AS string)) AS symbol FROM {customer}"
 
 
 @query(

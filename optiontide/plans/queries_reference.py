@@ -80,28 +80,31 @@ def _(spark, sf):
 
 
 
-def _pick_sql(op: str, later: str) -> str:
+GAPPED = D.oracle_text(D.GAPPED_DATES)
+
+
+def _pick_sql(op: str, later: str, dates: str = POINTS) -> str:
     days = f"SELECT DISTINCT day FROM ({ASKED}) a"
     return (
-        f"WITH c AS (SELECT DISTINCT ref_date FROM ({POINTS}) p), d AS (SELECT a.day, coalesce(max(CASE WHEN c.ref_date {op}"
+        f"WITH c AS (SELECT DISTINCT ref_date FROM ({dates}) p), d AS (SELECT a.day, coalesce(max(CASE WHEN c.ref_date {op}"
         f" a.day THEN c.ref_date END), min(CASE WHEN c.ref_date {later} a.day THEN c.ref_date END)) AS curve_date FROM"
         f" ({days}) a, c GROUP BY a.day) SELECT q.event_id, cast(q.day AS varchar) AS day, cast(d.curve_date AS varchar) AS"
         f" curve_date FROM ({ASKED}) q JOIN d ON q.day = d.day"
     )
 
 
-def picked(spark, sf, policy="on_or_before"):
-    return K.pick_curve(D.derived(spark, sf, D.CURVE_QUERIES), D.derived(spark, sf, D.CURVE_DATES), "day", policy=policy)
+def picked(spark, sf, policy="on_or_before", dates=D.CURVE_DATES):
+    return K.pick_curve(D.derived(spark, sf, D.CURVE_QUERIES), D.derived(spark, sf, dates), "day", policy=policy)
 
 
-@query("join5_pick_curve", _pick_sql("<=", ">"))
+@query("join5_pick_curve", _pick_sql("<=", ">", GAPPED))
 def _(spark, sf):
-    return picked(spark, sf).select("event_id", "day", "curve_date")
+    return picked(spark, sf, dates=D.GAPPED_DATES).select("event_id", "day", "curve_date")
 
 
-@query("join5_pick_curve_strict", _pick_sql("<", ">"))
+@query("join5_pick_curve_strict", _pick_sql("<", ">", GAPPED))
 def _(spark, sf):
-    return picked(spark, sf, "strictly_before").select("event_id", "day", "curve_date")
+    return picked(spark, sf, "strictly_before", D.GAPPED_DATES).select("event_id", "day", "curve_date")
 
 
 _ON_CURVE = (

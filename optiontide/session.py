@@ -35,10 +35,14 @@ def _test_dir() -> str:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder from ``spark.checkpoint.dir``.
 
-    Only when the session names none (tests on one machine) it is a local
-    temporary folder, the same one for the whole process.
+    Only a local session that names none (tests on one machine) gets a
+    temporary folder, the same one for the whole process; elsewhere executors
+    would write to disks of their own, so that is an error.
     """
-    return (spark.conf.get("spark.checkpoint.dir", None) or _test_dir()).rstrip("/")
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.conf.get("spark.master", "local").split("[")[0] == "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (named or _test_dir()).rstrip("/")
 
 
 def run_dir(spark: SparkSession, name: str) -> str:

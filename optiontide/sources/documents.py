@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from optiontide.schemas import FUNDAMENTALS_DOCUMENT, MARKET_HOURS_DOCUMENT
 
+CELL_COLUMNS = ["page_id", "table_no", "row_no", "header", "cell"]
+CELLS_PER_SLICE = 20_000
 TABLE_CELLS = "page_id bigint, table_no int, row_no int, header string, cell string"
 
 
@@ -76,7 +78,8 @@ def extract_html_tables(pages: DataFrame, table_class: str | None = None, html:
     """Cells (page_id, table_no, row_no, header, cell) of the tables of ``table_class``, or of all.
 
     Pages are independent, so the work is spread by page; only pages that hold
-    a table tag at all are handed to Python.
+    a table tag at all are handed to Python. Rows of a table inside a table
+    count as rows of the outer one.
     """
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -86,7 +89,10 @@ def extract_html_tables(pages: DataFrame, table_class: str | None = None, html:
                 reader.feed(text)
                 reader.close()
                 rows += [(page_id, *cell) for cell in reader.cells]
-            yield pd.DataFrame(rows, columns=["page_id", "table_no", "row_no", "header", "cell"])
+                if len(rows) >= CELLS_PER_SLICE:
+                    yield pd.DataFrame(rows, columns=CELL_COLUMNS)
+                    rows = []
+            yield pd.DataFrame(rows, columns=CELL_COLUMNS)
 
     candidates = pages.select("page_id", html).filter(F.col(html).rlike("(?i)<table"))
     return candidates.mapInPandas(read, TABLE_CELLS)
@@ -109,9 +115,24 @@ def parse_fundamentals(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def read_fundamentals(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document per line, or per file where it spans lines."""
-    return parse_fundamentals(spark.read.text(path, wholetext=True).filter("trim(value) <> ''"))
+def read_documents(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """JSON documents as ``value``: one per line, or with ``whole_files`` one per file that may span lines.
+
+    Blank lines and empty files are skipped. A whole file whose first line is a
+    document of its own with more below it would lose the others, so it fails the job.
+    """
+    text = spark.read.text(path, wholetext=whole_files).filter("trim(value) <> ''")
+    if not whole_files:
+        return text
+    first = F.regexp_extract("value", r"^\s*([^\r\n]*)", 1)
+    more = F.col("value").rlike(r"^\s*[^\r\n]*[\r\n]+\s*\S") & F.json_object_keys(first).isNotNull()
+    refused = F.raise_error(F.lit(f"several documents in one file below {path}: read it line by line"))
+    return text.select(F.when(more, refused.cast("string")).otherwise(F.col("value")).alias("value"))
+
+
+def read_fundamentals(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Fundamentals of all documents under ``path``; see ``read_documents``."""
+    return parse_fundamentals(read_documents(spark, path, whole_files))
 
 
 def parse_market_hours(df: DataFrame, value: str = "value") -> DataFrame:
@@ -137,5 +158,6 @@ def _instant(text: Column) -> Column:
     return text.try_cast("timestamp")
 
 
-def read_market_hours(spark: SparkSession, path: str) -> DataFrame:
-    return parse_market_hours(spark.read.text(path, wholetext=True))
+def read_market_hours(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Market hours of all documents under ``path``; see ``read_documents``."""
+    return parse_market_hours(read_documents(spark, path, whole_files))

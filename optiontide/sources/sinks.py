@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
@@ -9,7 +10,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from optiontide.operators.tables import latest_per_key
+from optiontide.operators.ordered import with_ordinal
+from optiontide.operators.tables import latest_per_key, without_keys
 from optiontide.session import shuffle_width
 
 JDBC_DEFAULTS = {"batchsize": "5000", "useBulkCopyForBatchInsert": "true", "cacheBulkCopyMetadata": "true"}
@@ -20,53 +22,129 @@ def write_jdbc_append(df: DataFrame, url: str, table: str, props: Mapping[str, s
     df.write.jdbc(url, table, mode="append", properties={**JDBC_DEFAULTS, **(props or {})})
 
 
-def write_epoch(df: DataFrame, path: str, epoch: int) -> None:
-    """Write one epoch of an epoch table; writing the same epoch again replaces it."""
-    df.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+def write_epoch(df: DataFrame, path: str, epoch: int, run: str = "default") -> None:
+    """Write one epoch of one run into an epoch table; writing it again replaces it.
+
+    Epoch numbers start anew with every checkpoint, so ``run`` has to tell
+    checkpoints (days, topics) apart.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/run={run}/epoch={epoch}")
 
 
 def read_epochs(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of an epoch table with their epoch."""
-    return spark.read.parquet(path)
+    """All rows of an epoch table with their ``run`` and ``epoch``."""
+    return spark.read.parquet(path).withColumn("run", F.col("run").cast("string"))
 
 
 def read_merged(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
-    """Newest row per key over all epochs: the merge is done on reading."""
-    return latest_per_key(read_epochs(spark, path), keys, [*order, "epoch"])
+    """Newest row per key over all runs and epochs, merged on reading; see ``merge_epochs`` for a stored merge."""
+    return latest_per_key(read_epochs(spark, path), keys, [*order, "epoch", "run"]).drop("run", "epoch")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
 
 
-def write_with_fallback(df: DataFrame, primary: Callable[[DataFrame], None], fallback_dir: str, day: str, epoch: int) -> bool:
-    """Write with ``primary``; when that fails, keep the rows as parquet under ``errors/day/epoch``.
+def merge_epochs(spark: SparkSession, epochs: str, table: str, keys: Sequence[str], order: Sequence[Column | str],
+                 day: Column, buckets: int = 16) -> int:
+    """Merge the epochs that ``table`` has not taken yet into it; returns how many there were.
 
-    Returns whether the primary write succeeded. The fallback folder is per
-    epoch and replaced on a replay.
+    The table is partitioned by ``day`` and a hash of the first key. Only
+    partitions that new rows touch are read and rewritten, from a staged copy.
+    Taken epochs are noted last: a merge that broke off is done again, and
+    merging the same rows twice changes nothing. Read with ``read_table``.
+    """
+    seen = f"{table}/taken"
+    epochs_ = read_epochs(spark, epochs)
+    all_ids = epochs_.select("run", "epoch").distinct()
+    new = all_ids.join(spark.read.parquet(seen), ["run", "epoch"], "left_anti") if _exists(spark, seen) else all_ids
+    new = new.persist()
+    try:
+        count = new.count()
+        if not count:
+            return 0
+        place = {"part_day": day.cast("string"), "part": F.pmod(F.xxhash64(keys[0]), F.lit(buckets)).cast("int")}
+        fresh = epochs_.join(F.broadcast(new), ["run", "epoch"])  # one row per epoch
+        fresh = latest_per_key(fresh, keys, [*order, "epoch", "run"]).drop("run", "epoch").withColumns(place)
+        staged = f"{table}/staged/{uuid.uuid4().hex}"
+        fresh.write.parquet(f"{staged}/fresh")
+        fresh = spark.read.schema(fresh.schema).parquet(f"{staged}/fresh")
+        merged = fresh
+        if _exists(spark, f"{table}/rows"):
+            touched = fresh.select("part_day", "part").distinct()
+            old = _rows(spark, table, fresh.schema).join(touched, ["part_day", "part"], "left_semi")
+            merged = latest_per_key(old.unionByName(fresh), keys, order)
+        merged.write.parquet(f"{staged}/merged")
+        again = spark.read.schema(fresh.schema).parquet(f"{staged}/merged").repartition("part_day", "part")
+        again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part_day", "part").parquet(f"{table}/rows")
+        new.coalesce(1).write.mode("append").parquet(seen)
+        return count
+    finally:
+        new.unpersist()
+
+
+def _rows(spark: SparkSession, table: str, schema) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{table}/rows")
+
+
+def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """Rows of a table that ``merge_epochs`` keeps."""
+    return spark.read.parquet(f"{table}/rows").drop("part_day", "part")
+
+
+def write_with_fallback(df: DataFrame, primary: Callable[[DataFrame], None], fallback_dir: str, day: str, epoch: int,
+                        run: str = "default") -> bool:
+    """Write with ``primary``; when that fails, keep the rows as parquet under ``errors/day/run/epoch``.
+
+    Returns whether the primary write succeeded. The fallback folder is per run
+    and epoch and replaced on a replay. A primary write that failed half-way
+    may have stored some of the rows: ``pending_rows`` leaves those out.
     """
     try:
         primary(df)
         return True
     except (PySparkException, Py4JJavaError, OSError) as error:
         tagged = df.withColumn("write_error", F.lit(type(error).__name__))
-        tagged.write.mode("overwrite").parquet(f"{fallback_dir}/errors/{day}/{epoch}")
+        tagged.write.mode("overwrite").parquet(f"{fallback_dir}/errors/{day}/run={run}/epoch={epoch}")
         return False
 
 
+def pending_rows(spark: SparkSession, fallback_dir: str, day: str, stored: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Fallback rows of a day whose key the primary table does not hold yet."""
+    kept = spark.read.parquet(f"{fallback_dir}/errors/{day}")
+    return without_keys(kept, stored, keys).drop("run", "epoch", "write_error")
+
+
 def append_order_log(df: DataFrame, path: str) -> None:
     """Append orders as JSON lines; earlier files are not read or rewritten."""
     df.write.mode("append").json(path)
 
 
 def rows_to_json_documents(df: DataFrame, keys: Sequence[str] = (), metadata: Mapping[str, Column] | None = None,
-                           name: str = "json", rows_per_document: int = 1000) -> DataFrame:
+                           name: str = "json", order: Sequence[str] = (), rows_per_document: int | None = None,
+                           bucket: Column | None = None) -> DataFrame:
     """JSON array documents of all rows per ``keys``, with metadata columns.
 
-    A group is split into documents of at most ``rows_per_document`` rows
-    (``part`` tells them apart), so no group is gathered whole. Dates become ISO text.
+    One document per key, rows by ``order``; or, with ``rows_per_document``,
+    parts of that many rows (the last one shorter) counted along ``order``. Then
+    no group is gathered whole: rows are numbered bucket by bucket, where
+    ``bucket`` grows with the first column of ``order``. Parts do not depend on
+    how the rows are partitioned if ``order`` tells rows apart. Dates become ISO text.
     """
-    part = F.expr(f"monotonically_increasing_id() div {int(rows_per_document)}")
     body = [c for c in df.columns if c not in keys]
-    placed = df.select(*keys, F.struct(*body).alias("__row"), part.alias("part"))
+    row = F.struct(*body).alias("__row")
+    if rows_per_document is None:
+        at = F.struct(*order) if order else F.lit(0)
+        placed = df.select(*keys, row, F.lit(0).cast("long").alias("part"), at.alias("__at"))
+    else:
+        if not order or bucket is None:
+            raise ValueError("parts need an order and its buckets")
+        lined = with_ordinal(df, list(keys), list(order), bucket, "__n")
+        placed = lined.select(*keys, row, F.expr(f"(__n - 1) div {int(rows_per_document)}").alias("part"), F.col("__n").alias("__at"))
     documents = placed.groupBy(*keys, "part").agg(
-        F.to_json(F.collect_list("__row")).alias(name), F.count(F.lit(1)).alias("rows")
+        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("__at", "__row"))), lambda x: x["__row"])).alias(name),
+        F.count(F.lit(1)).alias("rows"),
     )
     return documents.withColumns(dict(metadata or {}))
 

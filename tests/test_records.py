@@ -76,7 +76,8 @@ def test_universe(spark):
         return spark.createDataFrame([(v,) for v in values], "symbol string")
 
     options, equities = names("SPX", "AAPL", "BRK B", "CHUY"), names("AAPL", "BRK B", "CHUY", "IBM")
-    assert sorted(r.symbol for r in U.option_universe(options, equities).collect()) == ["$SPX", "AAPL"]  # BRK.B, CHUY blocked
+    assert sorted(r.symbol for r in U.option_universe(options, equities).collect()) == ["$SPX", "AAPL", "BRK.B", "CHUY"]
+    assert sorted(r.symbol for r in U.option_universe(options, equities, ["BRK.B", "CHUY"]).collect()) == ["$SPX", "AAPL"]
     assert sorted(r.symbol for r in U.index_options(options, equities).collect()) == ["$SPX"]
     assert sorted(r.symbol for r in U.equity_options(options, equities).collect()) == ["AAPL", "BRK.B", "CHUY"]
     master = spark.createDataFrame([("nan", "N"), (None, "N"), ("A", "N"), ("A", "N"), ("T", "Y")], "underlying string, test_issue_flag string")

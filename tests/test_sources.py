@@ -63,6 +63,12 @@ def test_delimited_rows(spark, tmp_path):
         with pytest.raises(ValueError):
             ids(max_errors=0)
         assert ids(max_errors=0, last_row=5000)[-1] == 4999
+        bad = SD.parse_delimited(spark, str(tmp_path / "big.csv"), "id int, v double").filter("bad_line is not null")
+        assert bad.count() == 1
+        assert SD.load_delimited(spark, str(tmp_path / "big.csv"), "id int, v double", str(tmp_path / "a"), max_errors=1) == (5000, 1)
+        with pytest.raises(ValueError):
+            SD.load_delimited(spark, str(tmp_path / "big.csv"), "id int, v double", str(tmp_path / "b"), max_errors=0)
+        assert spark.read.parquet(str(tmp_path / "b")).filter("bad = 'true'").count() == 1
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
@@ -70,10 +76,14 @@ def test_delimited_rows(spark, tmp_path):
 def test_fundamentals_file(spark, tmp_path):
     doc = {"A": {"symbol": "A", "ssid": 7, "fundamental": {"divAmount": 5.2, "divFreq": 4}}, "B": {"symbol": "B"}}
     (tmp_path / "f.json").write_text(json.dumps(doc, indent=1))
-    rows = {r.symbol: r for r in DOC.read_fundamentals(spark, str(tmp_path / "f.json")).collect()}
+    rows = {r.symbol: r for r in DOC.read_fundamentals(spark, str(tmp_path / "f.json"), whole_files=True).collect()}
     assert (rows["A"].divAmount, rows["A"].divFreq, rows["A"].ssid, rows["B"].divAmount) == (5.2, 4, 7, 0.0)
     (tmp_path / "empty.json").write_text("")
-    assert DOC.read_fundamentals(spark, str(tmp_path / "empty.json")).count() == 0
+    assert DOC.read_fundamentals(spark, str(tmp_path / "empty.json"), whole_files=True).count() == 0
+    (tmp_path / "lines.json").write_text(json.dumps({"A": {"ssid": 1}}) + "\n\n" + json.dumps({"B": {"ssid": 2}}) + "\n")
+    assert sorted(r.symbol for r in DOC.read_fundamentals(spark, str(tmp_path / "lines.json")).collect()) == ["A", "B"]
+    with pytest.raises(Exception, match="several documents"):
+        DOC.read_fundamentals(spark, str(tmp_path / "lines.json"), whole_files=True).collect()
 
 
 def test_market_hours_file(spark, tmp_path):
@@ -86,7 +96,9 @@ def test_market_hours_file(spark, tmp_path):
         "date": "2024-08-10",
     }
     (tmp_path / "h.json").write_text(json.dumps(doc, indent=1))
-    rows = DOC.read_market_hours(spark, str(tmp_path / "h.json")).collect()
+    rows = DOC.read_market_hours(spark, str(tmp_path / "h.json"), whole_files=True).collect()
+    (tmp_path / "h2.json").write_text("\n".join([json.dumps(doc), "", json.dumps(doc)]))
+    assert DOC.read_market_hours(spark, str(tmp_path / "h2.json")).count() == 2 * len(rows)
     assert sorted((r.market, r.phase or "") for r in rows) == [("equity", "preMarket"), ("equity", "regularMarket"), ("forex", ""), ("option", "")]
     assert str(next(r for r in rows if r.phase == "regularMarket").end) == "2024-08-10 20:00:00"
     df = spark.createDataFrame([(json.dumps(doc),), (json.dumps({**doc, "isOpen": True}),)], "doc string")

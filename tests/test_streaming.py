@@ -24,12 +24,48 @@ def landed(spark, tmp_path):
 
 def test_epochs_are_replaced_and_merged(spark, landed, tmp_path):
     out = str(tmp_path / "out")
-    for attempt in ("a", "b"):  # a second run from scratch replays the same epochs
-        run_stream(landed, epoch_sink(out), str(tmp_path / attempt), trigger=None).awaitTermination()
-        assert SK.read_epochs(spark, out).count() == 24
+    sink = epoch_sink(out)
+
+    def replayed(batch, epoch):
+        sink(batch, epoch)
+        sink(batch, epoch)
+
+    run_stream(landed, replayed, str(tmp_path / "a"), trigger=None).awaitTermination()
+    assert SK.read_epochs(spark, out).count() == 24
+    run_stream(landed, sink, str(tmp_path / "a"), trigger=None).awaitTermination()  # nothing new below this checkpoint
+    assert SK.read_epochs(spark, out).count() == 24
     merged = SK.read_merged(spark, out, list(MERGE_KEYS), ["v"])
     assert merged.count() == 12
     assert {r.v % 100 for r in merged.filter("symbol = 'S0'").collect()} == {4}
+    run_stream(landed, sink, str(tmp_path / "b"), trigger=None).awaitTermination()  # a checkpoint of its own: rows of its own
+    assert SK.read_epochs(spark, out).count() == 48
+
+
+def test_merge_into_a_stored_table(spark, tmp_path):
+    epochs, table = str(tmp_path / "e"), str(tmp_path / "t")
+
+    def rows(*values):
+        return spark.createDataFrame(values, "k string, day string, v int")
+
+    def merge():
+        return SK.merge_epochs(spark, epochs, table, ["k", "day"], ["v"], F.col("day"), buckets=2)
+
+    SK.write_epoch(rows(("a", "d1", 1), (None, "d1", 5), ("b", "d2", 1)), epochs, 0, "x")
+    assert merge() == 1
+    SK.write_epoch(rows(("a", "d1", 2), (None, "d1", 4)), epochs, 0, "y")
+    SK.write_epoch(rows(("c", "d3", 1)), epochs, 1, "x")
+    assert merge() == 2 and merge() == 0
+    got = sorted((r.k or "", r.day, r.v) for r in SK.read_table(spark, table).collect())
+    assert got == [("", "d1", 5), ("a", "d1", 2), ("b", "d2", 1), ("c", "d3", 1)]
+
+
+def test_quarantine(spark, tmp_path):
+    publish_chains(parse_chain(spark.createDataFrame([('{"symbol":"Q"}',), ("{}",)], "text string"), "text"), str(tmp_path / "in"))
+    spark.createDataFrame([(b"x", b"broken"), (b"y", None)], "key binary, value binary").write.mode("append").parquet(str(tmp_path / "in"))
+    stream = read_chain_stream(spark, "parquet", str(tmp_path / "in"), 10)
+    out, bad = str(tmp_path / "out"), str(tmp_path / "bad")
+    run_contract_job(stream, out, str(tmp_path / "cp"), lambda b: b.select("key"), quarantine=bad).awaitTermination()
+    assert sorted(r.state for r in SK.read_epochs(spark, bad).collect()) == ["no_symbol", "unreadable", "unreadable"]
 
 
 def test_contract_job_end_to_end(spark, tmp_path):
@@ -67,7 +103,7 @@ def test_fallback(spark, landed, tmp_path):
         kept.append(df.count())
 
     run_stream(landed, fallback_sink(primary, str(tmp_path / "fb"), "20240102"), str(tmp_path / "c"), trigger=None).awaitTermination()
-    errors = spark.read.parquet(str(tmp_path / "fb/errors/20240102/*"))
+    errors = spark.read.parquet(str(tmp_path / "fb/errors/20240102"))
     assert sum(kept) == 8 and errors.count() == 16 and {r.write_error for r in errors.collect()} == {"OSError"}
 
 
@@ -108,10 +144,17 @@ def test_malformed_ratio(spark):
 
 def test_json_documents_are_bounded_and_whole(spark):
     df = spark.range(0, 1000, 1, 3).select(F.lit("k").alias("key"), "id", F.lit("2024-01-01").cast("date").alias("d"))
-    docs = SK.rows_to_json_documents(df, ["key"], {"origin": F.lit("t")}, rows_per_document=100).collect()
-    assert max(d["rows"] for d in docs) <= 100 and sum(d["rows"] for d in docs) == 1000
-    ids = [item["id"] for d in docs for item in json.loads(d["json"])]
-    assert sorted(ids) == list(range(1000)) and json.loads(docs[0]["json"])[0]["d"] == "2024-01-01" and docs[0]["origin"] == "t"
+    for parts in (1, 7):
+        docs = SK.rows_to_json_documents(df.repartition(parts), ["key"], {"origin": F.lit("t")}, order=["id"], rows_per_document=300,
+                                         bucket=F.floor(F.col("id") / 64)).collect()
+        assert sorted((d["part"], d["rows"]) for d in docs) == [(0, 300), (1, 300), (2, 300), (3, 100)]
+        for d in docs:
+            assert [item["id"] for item in json.loads(d["json"])] == list(range(300 * d["part"], 300 * d["part"] + d["rows"]))
+    assert json.loads(docs[0]["json"])[0]["d"] == "2024-01-01" and docs[0]["origin"] == "t"
+    (whole,) = SK.rows_to_json_documents(df, ["key"], order=["id"]).collect()
+    assert whole["rows"] == 1000 and [item["id"] for item in json.loads(whole["json"])] == list(range(1000))
+    with pytest.raises(ValueError):
+        SK.rows_to_json_documents(df, rows_per_document=10)
 
 
 def test_snapshots(spark, tmp_path):
@@ -135,13 +178,15 @@ def test_jdbc_options(monkeypatch, spark):
 
 
 class _Session:
-    def __init__(self, value):
-        self.conf = {"spark.checkpoint.dir": value} if value else {}
+    def __init__(self, value, master="local[2]"):
+        self.conf = {"spark.checkpoint.dir": value, "spark.master": master} if value else {"spark.master": master}
 
 
 def test_shared_dir_prefers_the_session_setting():
     assert shared_dir(_Session("/shared/place/")) == "/shared/place"
     assert shared_dir(_Session(None)) == shared_dir(_Session(None)) != ""
+    with pytest.raises(ValueError):
+        shared_dir(_Session(None, "spark://host:7077"))
 
 
 def test_spread_for_write(spark):
