@@ -6,6 +6,7 @@ import operator
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from optiontide.operators.ordered import fit_bucket_seconds, rolling_rows, time_bucket, with_previous
@@ -110,6 +111,19 @@ def last_rows(bars: DataFrame, by: Sequence[str] = ("symbol",), ts: str = "ts",
     return latest_per_key(bars, by, [ts, *tie])
 
 
+def last_rolled(bars: DataFrame, outputs: dict[str, tuple[str, int, str]], by: Sequence[str] = ("symbol",), ts: str = "ts",
+                tie: Sequence[str] = ()) -> DataFrame:
+    """The last row of each symbol with the rolling columns ``outputs``, from its last rows alone.
+
+    A row-number filter keeps as many rows per symbol and task as the widest
+    window asks for, so the history is not rolled for one row.
+    """
+    widest = max(n for _, n, _ in outputs.values())
+    order = W.partitionBy(*by).orderBy(*[F.col(c).desc() for c in (ts, *tie)])
+    recent = bars.withColumn("__rn", F.row_number().over(order)).filter(F.col("__rn") <= widest).drop("__rn")
+    return last_rows(rolling_rows(recent, by, [ts, *tie], F.lit(0), outputs), by, ts, tie)
+
+
 def current_bar(bars: DataFrame, symbol: str, ts: str = "ts", tie: Sequence[str] = ()) -> DataFrame:
     """Last bar of one symbol, matched by equality."""
     return bars.filter(F.col("symbol") == symbol).orderBy(*[F.col(c).desc() for c in (ts, *tie)]).limit(1)

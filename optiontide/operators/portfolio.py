@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from optiontide.functions.orders import is_profitable
 from optiontide.operators.tables import upsert
+from optiontide.session import run_dir
 
 
 # --------------------------------------------------------------------------- positions
@@ -133,28 +134,38 @@ def return_stats(returns: DataFrame, ret: str = "ret", by: Sequence[str] = ("sym
 _PAIR_SUMS = "symbol_a string, symbol_b string, n bigint, sa double, sb double, sab double"
 
 
-def return_covariance(returns: DataFrame, ret: str = "ret", symbol: str = "symbol", ts: str = "ts", tiles: int = 4) -> DataFrame:
-    """Sample covariance of every ordered symbol pair over their common times.
+# Symbols of a tile, and rows of a tile pair that one task sums.
+TILE_SYMBOLS = 512
+SLICE_ROWS = 2_000_000
 
-    No row pairs are formed. Symbols fall into ``tiles`` hash tiles; each row
-    is sent to the tile pairs it belongs to, hashed by (tile pair, time), and a
-    task sums matrix products over the times it streams through, keeping only
-    one tile-by-tile block. Block sums are then added per symbol pair. With one
-    row per symbol and time no (tile pair, time) group exceeds two tiles of
-    symbols; repeated rows of a symbol and time are averaged first. Values are
+
+def return_covariance(returns: DataFrame, ret: str = "ret", symbol: str = "symbol", ts: str = "ts", tiles: int | None = None,
+                      slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """Sample covariance of every ordered symbol pair over their common times: symbols squared, by definition.
+
+    No row pairs are formed. Symbols fall into hash tiles of about
+    ``TILE_SYMBOLS`` (counted first, unless ``tiles`` is given); each row is sent
+    to the tile pairs it belongs to. A task takes one tile pair in one slice of
+    the times and sums matrix products, keeping only a tile-by-tile block; block
+    sums are then added per symbol pair. Repeated rows of a symbol and time are averaged first. Values are
     centred on the symbol mean before any product is taken.
     """
     clean = returns.select(F.col(symbol).alias("symbol"), F.col(ts).alias("ts"), F.col(ret).cast("double").alias("x"))
     clean = clean.dropna().groupBy("symbol", "ts").agg(F.avg("x").alias("x"))
-    means = clean.groupBy("symbol").agg(F.avg("x").alias("__m"))
+    means = clean.groupBy("symbol").agg(F.avg("x").alias("__m"), F.count(F.lit(1)).alias("__n"))
+    symbols, rows = means.agg(F.count(F.lit(1)), F.coalesce(F.sum("__n"), F.lit(0))).first()
+    tiles = tiles or max(1, -(-symbols // TILE_SYMBOLS))
+    # every row goes to `tiles` tile pairs, of which there are tiles * (tiles + 1) / 2
+    slices = max(1, -(-2 * rows // ((tiles + 1) * slice_rows)))
     centred = clean.join(means, "symbol").select("symbol", "ts", (F.col("x") - F.col("__m")).alias("x"))
     tile = F.pmod(F.xxhash64("symbol"), F.lit(tiles)).cast("int")
     partners = F.sequence(F.lit(0), F.lit(tiles - 1))
     spread = centred.withColumn("tile", tile).select("*", F.explode(partners).alias("other"))
     keyed = spread.select(
-        F.least("tile", "other").alias("ta"), F.greatest("tile", "other").alias("tb"), "tile", "ts", "symbol", "x"
+        F.least("tile", "other").alias("ta"), F.greatest("tile", "other").alias("tb"), "tile",
+        F.pmod(F.xxhash64("ts"), F.lit(slices)).cast("int").alias("part"), "ts", "symbol", "x",
     )
-    placed = keyed.repartition("ta", "tb", "ts").sortWithinPartitions("ta", "tb", "ts")
+    placed = keyed.repartition("ta", "tb", "part").sortWithinPartitions("ta", "tb", "part", "ts")
     sums = placed.mapInPandas(_pair_sums, _PAIR_SUMS)
     pairs = sums.groupBy("symbol_a", "symbol_b").agg(
         F.sum("n").alias("n"), F.sum("sa").alias("sa"), F.sum("sb").alias("sb"), F.sum("sab").alias("sab")
@@ -170,35 +181,60 @@ def return_covariance(returns: DataFrame, ret: str = "ret", symbol: str = "symbo
     return half.select(F.inline(both), "n", "cov").select("symbol_a", "symbol_b", "n", "cov")
 
 
-class _Block:
-    """Running sums of one tile pair: counts, sums and products by symbol pair."""
+class _Side:
+    """The symbols of one side of a block and their places."""
 
     def __init__(self) -> None:
         self.index: dict[str, int] = {}
+
+    def places(self, names: pd.Series) -> np.ndarray:
+        for name in names.unique():
+            self.index.setdefault(name, len(self.index))
+        return names.map(self.index).to_numpy(dtype=np.int64)
+
+
+def _grown(block: np.ndarray, shape: tuple[int, int]) -> np.ndarray:
+    """The block with room for ``shape``; sides double, so a block is copied a few times only."""
+    if block.shape[0] >= shape[0] and block.shape[1] >= shape[1]:
+        return block
+    room = tuple(have if have >= need else max(64, 2 * have, need) for have, need in zip(block.shape, shape))
+    out = np.zeros(room)
+    out[: block.shape[0], : block.shape[1]] = block
+    return out
+
+
+class _Block:
+    """Running sums of one tile pair: counts, sums and products of (symbol of the lower tile, symbol of the higher one)."""
+
+    def __init__(self, same: bool) -> None:
+        self.left = _Side()
+        self.right = self.left if same else _Side()
+        self.same = same
         self.sums: list[np.ndarray] = [np.zeros((0, 0))] * 4
 
-    def add(self, rows: pd.DataFrame) -> None:
-        for s in rows["symbol"].unique():
-            self.index.setdefault(s, len(self.index))
-        size, old = len(self.index), self.sums[0].shape[0]
-        if size > old:
-            self.sums = [np.pad(m, ((0, size - old), (0, size - old))) for m in self.sums]
-        times, row = np.unique(rows["ts"].to_numpy(), return_inverse=True)
-        column = rows["symbol"].map(self.index).to_numpy()
-        x, seen = np.zeros((len(times), size)), np.zeros((len(times), size))
-        x[row, column], seen[row, column] = rows["x"].to_numpy(), 1.0
-        for m, (a, b) in zip(self.sums, ((seen, seen), (x, seen), (seen, x), (x, x))):
-            m += a.T @ b
-
-    def rows(self, tile_of: dict[str, int], same: bool) -> pd.DataFrame:
-        names = np.array(list(self.index), dtype=object)
-        tiles = np.array([tile_of[n] for n in names])
+    def add(self, rows: pd.DataFrame, low: int) -> None:
+        times, line = np.unique(rows["ts"].to_numpy(), return_inverse=True)
+        on_left = (rows["tile"] == low).to_numpy()
+        parts = []
+        for side, own in ((self.left, on_left),) if self.same else ((self.left, on_left), (self.right, ~on_left)):
+            place = side.places(rows["symbol"][own])
+            x, seen = np.zeros((len(times), len(side.index))), np.zeros((len(times), len(side.index)))
+            x[line[own], place], seen[line[own], place] = rows["x"].to_numpy()[own], 1.0
+            parts.append((seen, x))
+        (seen_a, a), (seen_b, b) = parts[0], parts[-1]
+        shape = len(self.left.index), len(self.right.index)
+        self.sums = [_grown(m, shape) for m in self.sums]
+        for m, (p, q) in zip(self.sums, ((seen_a, seen_b), (a, seen_b), (seen_a, b), (a, b))):
+            m[: shape[0], : shape[1]] += p.T @ q
+
+    def rows(self) -> pd.DataFrame:
+        lefts, rights = (np.array(list(side.index), dtype=object) for side in (self.left, self.right))
         i, j = np.nonzero(self.sums[0] > 0)
-        # every unordered pair once: across tiles from the lower tile to the higher one
-        keep = (names[i] <= names[j]) if same else (tiles[i] < tiles[j])
-        i, j = i[keep], j[keep]
-        a, b = names[i], names[j]
-        swap = a > b
+        if self.same:  # every unordered pair once
+            keep = lefts[i] <= rights[j] if len(i) else np.zeros(0, dtype=bool)
+            i, j = i[keep], j[keep]
+        a, b = lefts[i], rights[j]
+        swap = (a > b) if len(i) else np.zeros(0, dtype=bool)
         n, sa, sb, sab = (m[i, j] for m in self.sums)
         return pd.DataFrame({
             "symbol_a": np.where(swap, b, a), "symbol_b": np.where(swap, a, b), "n": n.astype("int64"),
@@ -207,31 +243,26 @@ class _Block:
 
 
 def _pair_sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    pair, block, tile_of, held = None, _Block(), {}, None
-
-    def finish():
-        return block.rows(tile_of, pair[0] == pair[1])
-
+    """Sums of each (tile pair, slice) of a partition sorted by them and by time."""
+    group, block, held = None, None, None
     for batch in batches:
         batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
         held = None
-        for key, rows in batch.groupby(["ta", "tb"], sort=True):
-            if pair is not None and key != pair:
-                yield finish()
-                block, tile_of = _Block(), {}
-            pair = key
-            last = rows["ts"].iloc[-1]
+        for key, rows in batch.groupby(["ta", "tb", "part"], sort=True):
+            if key != group:
+                if block is not None:
+                    yield block.rows()
+                group, block = key, _Block(key[0] == key[1])
             if rows.index[-1] == batch.index[-1]:  # the last time may go on in the next batch
+                last = rows["ts"].iloc[-1]
                 held = rows[rows["ts"] == last]
                 rows = rows[rows["ts"] != last]
             if len(rows):
-                tile_of.update(zip(rows["symbol"], rows["tile"]))
-                block.add(rows)
+                block.add(rows, key[0])
     if held is not None and len(held):
-        tile_of.update(zip(held["symbol"], held["tile"]))
-        block.add(held)
-    if pair is not None and block.index:
-        yield finish()
+        block.add(held, group[0])
+    if block is not None:
+        yield block.rows()
 
 
 def portfolio_variance(weight_table: DataFrame, covariance: DataFrame) -> DataFrame:
@@ -244,8 +275,11 @@ def portfolio_variance(weight_table: DataFrame, covariance: DataFrame) -> DataFr
 
 def portfolio_metrics(positions: DataFrame, quotes: DataFrame, returns: DataFrame) -> DataFrame:
     """Weight, mean, weighted mean, deviation and variance per symbol, with the portfolio variance on each row."""
-    w = weights(positions, quotes)
-    held = returns.join(w.select("symbol"), "symbol", "left_semi")
+    spark, path = returns.sparkSession, run_dir(returns.sparkSession, "portfolio")
+    weights(positions, quotes).write.parquet(f"{path}/weights")  # each input is computed once
+    w = spark.read.parquet(f"{path}/weights")
+    returns.join(w.select("symbol"), "symbol", "left_semi").write.parquet(f"{path}/returns")
+    held = spark.read.parquet(f"{path}/returns")
     variance = portfolio_variance(w, return_covariance(held)).scalar()
     return (
         return_stats(held).drop("observations").join(w, "symbol")

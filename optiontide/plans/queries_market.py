@@ -137,8 +137,7 @@ _SIGNALS = (
 
 
 def last_with_mean(spark, sf):
-    rolled = B.rolling(bars(spark, sf), "close", 5, "mean", tie=["event_id"], name="mean5")
-    return B.last_rows(rolled, tie=["event_id"])
+    return B.last_rolled(bars(spark, sf), {"mean5": ("close", 5, "mean")}, tie=["event_id"])
 
 
 @query("win6_check_signals", _SIGNALS)

@@ -41,6 +41,29 @@ def test_covariance_is_pairwise_complete(spark, returns, tiles):
     assert {(r.symbol_a, r.symbol_b) for r in rows} == met
 
 
+def test_covariance_of_many_symbols(spark, monkeypatch):
+    monkeypatch.setattr(PF, "TILE_SYMBOLS", 100)
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((5, 700))
+    rows = [(f"S{j:04d}", i, float(x[i, j])) for i in range(5) for j in range(700)]
+    cov = PF.return_covariance(spark.createDataFrame(rows, "symbol string, ts int, ret double"), slice_rows=500)
+    assert cov.count() == 700 * 700
+    want = np.cov(x.T)
+    for r in cov.filter("symbol_a in ('S0003', 'S0500') and n = 5").collect():
+        assert np.isclose(r.cov, want[int(r.symbol_a[1:]), int(r.symbol_b[1:])])
+
+
+def test_covariance_blocks_are_bounded():
+    frames = [pd.DataFrame({"ta": 0, "tb": 1, "part": 0, "tile": [0] * 40 + [1] * 30, "ts": t, "symbol": [f"s{i}" for i in range(70)],
+                            "x": np.arange(70.0)}) for t in range(3)]
+    block = PF._Block(same=False)
+    for frame in frames:
+        block.add(frame, 0)
+    assert len(block.rows()) == 40 * 30 and max(m.shape[0] * m.shape[1] for m in block.sums) <= 64 * 64
+    (whole,) = list(PF._pair_sums(iter(frames)))
+    assert set(whole["n"]) == {3}
+
+
 def test_variance_and_weights(spark, returns):
     df, local = returns
     cov = PF.return_covariance(df.filter("symbol in ('S01', 'S02', 'S03')"))
