@@ -17,6 +17,14 @@ BAR_VALUES = ("open", "close", "high", "low", "volume")
 # Candle frequencies.
 FREQUENCIES = ("minute1", "minute5", "minute10", "minute15", "minute30", "daily", "weekly", "monthly")
 
+# Number of periods allowed and default, and default frequency, by period type.
+PERIODS = {
+    "day": ((1, 2, 3, 4, 5, 10), 10, "minute1"),
+    "month": ((1, 2, 3, 6), 1, "weekly"),
+    "year": ((1, 2, 3, 5, 10, 15, 20), 1, "monthly"),
+    "ytd": ((1,), 1, "weekly"),
+}
+
 _OPERATORS: dict[str, Callable] = {
     "gt": operator.gt,
     "ge": operator.ge,
@@ -61,6 +69,60 @@ def ohlcv(ticks: DataFrame, freq: str, price: str = "close", volume: str = "volu
     )
 
 
+def history_window(sessions: DataFrame, period_type: str = "day", period: int | None = None, start: str | None = None,
+                   end: str | None = None, as_of: str | None = None) -> DataFrame:
+    """The times (start, end) of a price history, as one row.
+
+    Without ``end`` it is the close of the last session before ``as_of``. Without
+    ``start`` the window holds the last ``period`` sessions, months or years up to the end, or the year so far.
+    A period beside both a start and an end is refused.
+    """
+    allowed, default, _ = PERIODS[period_type]
+    if start and end and period:
+        raise ValueError("no period beside a start and an end")
+    if period is not None and period not in allowed:
+        raise ValueError(f"period {period} is not one of {allowed} for {period_type}")
+    if not end and not as_of:
+        raise ValueError("an end, or a day to look back from")
+    n = period or default
+    last = F.lit(end).cast("timestamp") if end else F.max(F.when(F.col("iso_date") < F.lit(as_of).cast("date"), F.col("market_close")))
+    bounds = sessions.agg(last.alias("end"), F.array_sort(F.collect_set("iso_date")).alias("__days"))  # one row per session
+    day = F.col("end").cast("date")
+    if start:
+        first = F.lit(start).cast("timestamp")
+    elif period_type == "day":
+        past = F.filter("__days", lambda d: d <= day)
+        first = F.get(past, F.greatest(F.size(past) - n, F.lit(0))).cast("timestamp")
+    elif period_type == "ytd":
+        first = F.date_trunc("year", day)
+    else:
+        first = F.add_months(day, -n * (12 if period_type == "year" else 1)).cast("timestamp")
+    return bounds.select(first.alias("start"), "end")
+
+
+def price_history(ticks: DataFrame, sessions: DataFrame, period_type: str = "day", period: int | None = None,
+                  freq: str | None = None, start: str | None = None, end: str | None = None, as_of: str | None = None,
+                  extended: bool = True, previous_close: bool = True, price: str = "close", volume: str = "volume",
+                  ts: str = "ts", by: Sequence[str] = ("symbol",), tie: Sequence[str] = ()) -> DataFrame:
+    """Candles of a window, see ``history_window``; with ``extended=False`` of session hours only.
+
+    ``previous_close`` adds the last price before the window per symbol, null where there is none.
+    """
+    window = history_window(sessions, period_type, period, start, end, as_of).first()
+    low, high = F.lit(window["start"]), F.lit(window["end"])
+    inside = ticks.filter((F.col(ts) >= low) & (F.col(ts) <= high))
+    if not extended:
+        hours = sessions.select(F.col("iso_date").cast("date").alias("__day"), "market_open", "market_close")
+        regular = (F.col(ts).cast("date") == F.col("__day")) & (F.col(ts) >= F.col("market_open")) & (F.col(ts) < F.col("market_close"))
+        inside = inside.join(hours, regular, "left_semi")
+    out = ohlcv(inside, freq or PERIODS[period_type][2], price, volume, ts, by, tie)
+    if not previous_close:
+        return out
+    order = F.struct(ts, *tie) if tie else F.col(ts)
+    before = ticks.filter(F.col(ts) < low).groupBy(*by).agg(F.max_by(price, order).alias("previous_close"))
+    return out.join(before, list(by), "left")
+
+
 def upsert_bars(bars: DataFrame, new: DataFrame, order: Sequence[str] = ("ts",)) -> DataFrame:
     """New values at (symbol, ts), added where missing."""
     return upsert(new, bars, ["symbol", "ts"], order)

@@ -9,6 +9,7 @@ from optiontide.functions import pricing as P
 from optiontide.functions import rates as R
 from optiontide.operators import chain as CH
 from optiontide.operators import schedule as S
+from optiontide.operators import sessions as SS
 from optiontide.operators import tables as TB
 from optiontide.plans import derived as D
 from optiontide.plans import oracle_sql as O
@@ -337,6 +338,29 @@ def _(spark, sf):
     return rounded(out.select("symbol", "isIndex", "T_eqo", "T_ind"), 8, "T_eqo", "T_ind")
 
 
+# Fetch dates are all ship dates, expiries some weeks later; sessions are closed on the 25th and short on the 24th.
+_TRADING_TIME = """
+WITH li AS (SELECT l_orderkey, l_linenumber, CAST(l_shipdate AS date) AS f, CAST(l_shipdate AS date) + CAST(l_linenumber * 20 + l_quantity AS int) AS x FROM lineitem),
+days AS (SELECT CAST(unnest(generate_series(min(f), max(x), INTERVAL 1 DAY)) AS date) AS day FROM li),
+h AS (SELECT day, isodow(day) < 6 AND day(day) <> 25 AS is_session, CASE WHEN NOT is_session THEN 0 WHEN day(day) = 24 THEN 3.5::double ELSE 6.5 END AS e,
+             CASE WHEN NOT is_session THEN 0 WHEN day(day) = 24 THEN 3.75::double ELSE 6.75 END AS i FROM days),
+c AS (SELECT day, is_session, sum(e) OVER (ORDER BY day) AS e, sum(i) OVER (ORDER BY day) AS i FROM h)
+SELECT l_orderkey, l_linenumber, round(CASE WHEN b.is_session AND x > f THEN (b.e - a.e) / (252 * 6.5) END, 10) + 0.0 AS T_eqo,
+       round(CASE WHEN b.is_session AND x > f THEN (b.i - a.i) / (252 * 6.75) END, 10) + 0.0 AS T_ind
+FROM li LEFT JOIN c a ON a.day = f LEFT JOIN c b ON b.day = x"""
+
+
+@query("fn15_trading_time_by_fetch_date", _TRADING_TIME)
+def _(spark, sf):
+    fetched = F.col("l_shipdate").cast("date")
+    expiry = F.date_add(fetched, (F.col("l_linenumber") * 20 + F.col("l_quantity")).cast("int"))
+    li = D.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", fetched.alias("f"), expiry.alias("x"))
+    days = li.agg(F.min("f").alias("lo"), F.max("x").alias("hi")).select(F.explode(F.sequence("lo", "hi")).alias("day"))
+    sessions = SS.session_table(days, days.filter("day(day) = 25"), days.filter("day(day) = 24"))
+    out = SS.attach_trading_time(li, sessions, "f", "x")
+    return rounded(out.select("l_orderkey", "l_linenumber", "T_eqo", "T_ind"), 10, "T_eqo", "T_ind")
+
+
 @query(
     "join2_attach_time_and_rate",
     f"WITH x AS ({_T}) SELECT symbol, round(t, 10) AS t, round(ln(1 + {O.svensson('t', CURVE)}), 10) AS r FROM x",

@@ -9,6 +9,7 @@ from optiontide.operators import bars as B
 from optiontide.operators import capacity as Q
 from optiontide.operators import portfolio as PF
 from optiontide.operators import ranking as RK
+from optiontide.operators import schedule as S
 from optiontide.operators import tables as TB
 from optiontide.plans import derived as D
 from optiontide.plans import oracle_sql as O
@@ -185,6 +186,49 @@ def _(spark, sf):
     return B.ohlcv(bars(spark, sf), "monthly", tie=["event_id"])
 
 
+def _history_sql(where: str, candle: str, low: str, extra: str = "") -> str:
+    ticks = f"SELECT symbol, ts, event_id, close, volume FROM ({BARS}) b"
+    return (
+        f"WITH t AS ({ticks}), p AS (SELECT symbol, max_by(close, struct_pack(a := ts, b := event_id)) AS previous_close FROM t WHERE ts < {low} GROUP BY 1),"
+        f" c AS (SELECT symbol, {candle} AS period, min_by(close, struct_pack(a := t.ts, b := event_id)) AS open, min(close) AS low, max(close) AS high,"
+        f" max_by(close, struct_pack(a := t.ts, b := event_id)) AS close, sum(volume)::bigint AS volume FROM t WHERE {where} GROUP BY 1, 2)"
+        f" SELECT c.symbol, {O.ts_text('c.period')} AS period, open, low, high, close, volume, previous_close FROM c LEFT JOIN p USING (symbol)"
+    )
+
+
+def _weekdays(spark, sf):
+    """Sessions of every weekday of the events from 14:30 to 21:00."""
+    days = S.calendar_days(D.table(spark, sf, "events"), "ts").filter("weekday(day) < 5")
+    return days.select(F.col("day").alias("iso_date"), *[
+        F.to_timestamp(F.concat(F.col("day").cast("string"), F.lit(c))).alias(n)
+        for n, c in (("market_open", " 14:30:00"), ("market_close", " 21:00:00"), ("index_close", " 21:15:00"))])
+
+
+@query("win7_history_month", _history_sql("ts >= timestamp '2023-12-19' AND ts <= timestamp '2024-01-19 21:00:00'",
+                                          "date_trunc('day', ts)::timestamp", "timestamp '2023-12-19'"))
+def _(spark, sf):
+    return B.price_history(bars(spark, sf), _weekdays(spark, sf), "month", 1, "daily", as_of="2024-01-22", tie=["event_id"])
+
+
+@query("win7_history_two_sessions", _history_sql(
+    "ts >= timestamp '2024-01-18' AND ts <= timestamp '2024-01-19 21:00:00' AND ts::time >= time '14:30:00' AND ts::time < time '21:00:00'",
+    "time_bucket(INTERVAL 30 MINUTE, ts)", "timestamp '2024-01-18'"))
+def _(spark, sf):
+    return B.price_history(bars(spark, sf), _weekdays(spark, sf), "day", 2, "minute30", as_of="2024-01-22", extended=False, tie=["event_id"])
+
+
+@query("win7_history_between", _history_sql("ts >= timestamp '2024-01-05 06:00:00' AND ts <= timestamp '2024-01-25'",
+                                            "date_trunc('week', ts)::timestamp", "timestamp '2024-01-05 06:00:00'"))
+def _(spark, sf):
+    return B.price_history(bars(spark, sf), _weekdays(spark, sf), "month", start="2024-01-05 06:00:00", end="2024-01-25", tie=["event_id"])
+
+
+@query("win7_history_ytd", _history_sql("ts >= timestamp '2024-01-01' AND ts <= timestamp '2024-01-19 21:00:00'",
+                                        "date_trunc('week', ts)::timestamp", "timestamp '2024-01-01'"))
+def _(spark, sf):
+    return B.price_history(bars(spark, sf), _weekdays(spark, sf), "ytd", as_of="2024-01-22", tie=["event_id"])
+
+
 @query(
     "win12_latest_per_key",
     "SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate"
