@@ -50,6 +50,17 @@ def test_bpe_against_the_library(reference_encoding):
         assert b"".join(bpe.decode_slice(own, at, i, words) for i in range(len(at))) == text.encode()
 
 
+def test_decoding_in_arrays():
+    words = bpe.word_table(bpe.read_ranks(queries.RANK_FILE))
+    ids = pa.array([[1, 2, 300], None, [], [4]], pa.list_(pa.int32()))
+    ranks = {v: k for k, v in bpe.read_ranks(queries.RANK_FILE).items()}
+    want = [None if own is None else b"".join(ranks[i] for i in own) for own in ids.to_pylist()]
+    assert bpe.decode_ids(ids, words).to_pylist() == want
+    assert bpe.decode_ids(ids.slice(2), words).to_pylist() == want[2:] and bpe.decode_ids(ids.slice(0, 0), words).to_pylist() == []
+    with pytest.raises((ValueError, IndexError)):
+        bpe.decode_ids(pa.array([[60000]], pa.list_(pa.int32())), words)
+
+
 def test_bpe_query(odd, tmp_path, spark, reference_encoding):
     texts = {r.doc_id: r.text for r in odd.collect()}
     rows = queries.op10(spark, saved(odd, tmp_path / "d")).collect()
