@@ -35,16 +35,23 @@ def _content_rows(messages: DataFrame, service: str, item: str, value: str) -> D
     )
 
 
-def decode_feed(messages: DataFrame, service: str, value: str = "value") -> DataFrame:
-    """One row per content item of ``service`` with named, typed columns.
+def parse_feed(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Content items (service, timestamp, content) of all services: each message is parsed once."""
+    shape = "data array<struct<service: string, timestamp: bigint, command: string, content: array<map<string,string>>>>"
+    parsed = messages.select(F.explode(F.from_json(F.col(value).cast("string"), shape)["data"]).alias("d"))
+    return parsed.select(F.col("d.service").alias("service"), F.col("d.timestamp").alias("timestamp"), F.explode("d.content").alias("content"))
+
+
+def feed_fields(items: DataFrame, service: str) -> DataFrame:
+    """Named, typed columns of the items of one service from ``parse_feed``.
 
     A field that does not fit its type is null. Fields without a name are kept
-    in the map column ``other_fields``.
+    in the map column ``other_fields``. To take several services out of a large feed, write the parsed items
+    partitioned by service first.
     """
     if service not in SERVICE_FIELDS:
         raise ValueError(f"unknown service {service!r}")
     mapping = service_mapping(service)
-    rows = _content_rows(messages, service, "map<string,string>", value)
     fields = []
     for number, name in mapping.items():
         raw = F.try_element_at("content", F.lit(number))
@@ -52,7 +59,12 @@ def decode_feed(messages: DataFrame, service: str, value: str = "value") -> Data
         fields.append((raw if kind == "string" else raw.try_cast(kind)).alias(name))
     numbers = list(mapping)
     other = F.map_filter("content", lambda k, _: ~k.isin(numbers)).alias("other_fields")
-    return rows.select("service", "timestamp", *fields, other)
+    return items.filter(F.col("service") == service).select("service", "timestamp", *fields, other)
+
+
+def decode_feed(messages: DataFrame, service: str, value: str = "value") -> DataFrame:
+    """One row per content item of ``service``, see ``feed_fields``."""
+    return feed_fields(parse_feed(messages, value), service)
 
 
 def decode_book(messages: DataFrame, service: str, value: str = "value") -> DataFrame:

@@ -551,6 +551,22 @@ def _(spark, sf):
     return FD.decode_feed(feed_messages(spark, sf), "LEVELONE_OPTIONS").select("SYMBOL", "BID_PRICE", "OPEN_INTEREST")
 
 
+@query(
+    "str7_services_parsed_once",
+    "SELECT 'LEVELONE_EQUITIES' AS service, count(*) AS items, count(DISTINCT user_id % 20) AS symbols FROM events"
+    " UNION ALL SELECT 'LEVELONE_OPTIONS', 2 * count(*), count(*) FROM events",
+)
+def _(spark, sf):
+    path = run_dir(spark, "feed")
+    FD.parse_feed(feed_messages(spark, sf)).write.partitionBy("service").parquet(path)
+    items = spark.read.parquet(path)
+    counts = [
+        FD.feed_fields(items, s).groupBy("service").agg(F.count(F.lit(1)).alias("items"), F.countDistinct("SYMBOL").alias("symbols"))
+        for s in ("LEVELONE_EQUITIES", "LEVELONE_OPTIONS")
+    ]
+    return counts[0].union(counts[1])
+
+
 @query(
     "prj5_relabel_fields",
     "SELECT event_id, concat('U', user_id % 20) AS SYMBOL, CASE WHEN event_id % 7 = 0 THEN 'kept' ELSE 'named' END AS extra_key FROM events",
