@@ -8,15 +8,15 @@ sets take a least value per register of 128 hashes. Sets near the border carry
 both, so that any two sets that may be similar share a kind.
 
 Registers are banded, 25 bands of 5. Texts with equal sets fold to one class
-first. Every bucket's members are compared with its least one; the Jaccard
-estimate (corrected for registers that agree by chance) leaves out what is far
-below the threshold, and the rest is confirmed on the full sets. Links join
-classes to components. Buckets whose members are already one component are
-done. In the others members of different components are compared too, in blocks
-of a bounded size, so a bucket may hold any number of texts: first every member
-names its few most similar ones, which joins most of what belongs together
-within some rounds; then all pairs of different components that the estimate does not rule
-out are confirmed, so no link is given up. Pairs within a component are never listed.
+first. Every bucket's members are compared with its least one by the Jaccard
+estimate (corrected for registers that agree by chance); pairs that it does not
+rule out join classes to clusters. In buckets that hold several clusters every member names its few most
+similar ones of other clusters, round by round until no pair crosses clusters;
+the number of pairs stays in proportion to the members. Each cluster is then
+solved on the full sets: pairs of blocks of bounded size meet, pairs that are joined
+already or that the estimate rules out are passed over, and a task returns no more links
+than a tree needs. So a bucket or cluster may hold any number of texts, no link is given up, and pairs
+are never listed. Links join classes to components.
 
 A text without words links with nothing. Null and repeated keys are kept: rows
 of equal sets share a class whatever their keys. Work tables go to the shared
@@ -46,15 +46,15 @@ BANDS, ROWS = 25, 5
 #: Sets of more shingles use buckets of one hash; from 80 % of that on, both kinds.
 DENSE = 256
 BOTH = DENSE * 4 // 5
-#: Estimates this far below the threshold (about five standard errors) are not confirmed.
-MARGIN = 0.17
+#: Estimates this far below the threshold (four standard errors) are not confirmed.
+MARGIN = 0.14
 #: Members of a bucket that meet in one task.
 BLOCK = 512
-#: Hash groups in which small buckets share a task.
-PACKS = 4096
-#: Rounds in which a member names its best partners only, and how many.
-ROUNDS = 5
+#: Rows of small buckets or clusters that share a task.
+PACK = 1024
+#: Partners that a member names in a round, and more rounds than clusters can be halved.
 BEST = 3
+ROUNDS = 64
 
 _SEEDS = mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64))
 _DONORS = np.stack([np.random.default_rng(k).permutation(REGISTERS) for k in range(64)])
@@ -144,8 +144,8 @@ def _full_sets(words: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                grams = [g.view(np.int64) for g in shingle_sets(part.column("text"), words)]
-                yield pa.RecordBatch.from_arrays([part.column("set_id"), pa.array(grams, pa.list_(pa.int64()))], ["set_id", "grams"])
+                grams = [g.tobytes() for g in shingle_sets(part.column("text"), words)]
+                yield pa.RecordBatch.from_arrays([part.column("set_id"), pa.array(grams, pa.binary())], ["set_id", "grams"])
     return run
 
 
@@ -180,28 +180,24 @@ def _close_enough(share: float):
     return run
 
 
-def _block_pairs(share: float, best: int | None):
-    """Pairs of different components, bucket by bucket, that the estimate does not rule out.
+def _registers_of(rows: pd.DataFrame) -> np.ndarray:
+    return np.frombuffer(b"".join(rows["registers"]), dtype=np.uint16).reshape(len(rows), 2, REGISTERS)
 
-    Of the pairs of each member only the ``best`` most similar, or all for None.
-    """
+
+def _named(share: float):
+    """Bucket by bucket, each member with its most similar partners in other clusters that the estimate does not rule out."""
     def one_bucket(rows: pd.DataFrame, out: list) -> None:
-        regs = np.frombuffer(b"".join(rows["registers"]), dtype=np.uint16).reshape(len(rows), 2, REGISTERS)
-        n, ids, block = rows["n_shingles"].to_numpy(np.float64), rows["set_id"].to_numpy(), rows["block"].to_numpy()
+        regs, n, ids, block = _registers_of(rows), rows["n_shingles"].to_numpy(np.float64), rows["set_id"].to_numpy(), rows["block"].to_numpy()
         codes = pd.factorize(rows["label"])[0]
-        low, high = block.min(), block.max()
         for i in range(len(rows)):
             there = codes != codes[i]
-            if low != high:
+            if block.min() != block.max():
                 there &= block != block[i]
-            if best is None:
-                there[: i + 1] = False
             others = np.flatnonzero(there & (np.minimum(n, n[i]) >= share * np.maximum(n, n[i])))
             if len(others):
                 guess = estimated(regs[i][None], regs[others], n[i : i + 1], n[others])
                 good = np.flatnonzero(guess >= share - MARGIN)
-                if best is not None and len(good) > best:
-                    good = good[np.argsort(-guess[good], kind="stable")[:best]]
+                good = good[np.argsort(-guess[good], kind="stable")[:BEST]]
                 out += [(max(ids[i], ids[j]), min(ids[i], ids[j])) for j in others[good]]
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
@@ -213,6 +209,41 @@ def _block_pairs(share: float, best: int | None):
     return run
 
 
+def _linked(percent: int):
+    """Cluster by cluster, links that join what the full sets confirm: no more than a tree needs."""
+    share = percent / 100
+
+    def one_cluster(rows: pd.DataFrame, out: list) -> None:
+        regs, n, ids, block = _registers_of(rows), rows["n_shingles"].to_numpy(np.float64), rows["set_id"].to_numpy(), rows["block"].to_numpy()
+        sets = [np.frombuffer(g, dtype=np.uint64) for g in rows["grams"]]
+        root, low, high = np.arange(len(rows)), block.min(), block.max()
+        for i in np.flatnonzero(block == low):
+            there = (root != root[i]) & (block == high) & (np.minimum(n, n[i]) >= share * np.maximum(n, n[i]))
+            if low == high:
+                there[: i + 1] = False
+            others = np.flatnonzero(there)
+            if not len(others):
+                continue
+            others = others[estimated(regs[i][None], regs[others], n[i : i + 1], n[others]) >= share - MARGIN]
+            for at in range(0, len(others), 256):
+                part = others[at : at + 256]
+                joined = np.concatenate([sets[j] for j in part])
+                place = np.minimum(np.searchsorted(sets[i], joined), len(sets[i]) - 1)
+                both = np.add.reduceat((sets[i][place] == joined).astype(np.int64), np.concatenate([[0], np.cumsum(n[part])[:-1]]).astype(np.int64))
+                for j in part[100 * both >= percent * (n[i] + n[part] - both)]:
+                    if root[j] != root[i]:
+                        out.append((max(ids[i], ids[j]), min(ids[i], ids[j])))
+                        root[root == root[j]] = root[i]
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[bytes, bytes]] = []
+        for _, own in rows.groupby("label", sort=False):
+            if len(own) > 1:
+                one_cluster(own, out)
+        return pd.DataFrame(out, columns=["a", "b"])
+    return run
+
+
 def _estimate(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
     """Of pairs (a, b), those that the estimate does not rule out."""
     for side in "ab":
@@ -225,36 +256,30 @@ def _sets(ids: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -> D
     """Full sets (set_id, grams) of the classes ``ids``, each from one of its texts."""
     chosen = ids.join(classes, "set_id").select("set_id", F.col("rep.key").alias("__key"), F.col("rep.mark").alias("__mark"))
     found = texts.join(chosen, F.col("key").eqNullSafe(F.col("__key")) & (F.col("mark") == F.col("__mark"))).select("set_id", "text")
-    sets = found.mapInArrow(_full_sets(words), "set_id binary, grams array<long>")
+    sets = found.mapInArrow(_full_sets(words), "set_id binary, grams binary")
     return sets.groupBy("set_id").agg(F.max("grams").alias("grams"))  # repeated rows fold here
 
 
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-
-
-def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of pairs (a, b), those whose full sets reach the threshold."""
-    for side in "ab":
-        pairs = pairs.join(sets.select(F.col("set_id").alias(side), F.col("grams").alias(f"g{side}")), side)
-    both = F.size(F.array_intersect("ga", "gb"))
-    return pairs.where(100 * both >= percent * (F.size("ga") + F.size("gb") - both)).select("a", "b")
+def _blocked(rows: DataFrame, members: str, key: str) -> DataFrame:
+    """Rows of a bucket or cluster (``key``, with its number of ``members``) dealt to groups of pairs of blocks; small ones share groups."""
+    packs = max(1, rows.count() // PACK)
+    blocks = F.ceil(F.col(members) / BLOCK).cast("int")
+    return (
+        rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("pack", F.when(F.col("blocks") > 1, F.xxhash64(key)).otherwise(F.pmod(F.xxhash64(key), F.lit(packs))))
+        .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    )
 
 
-def _open_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame, share: float, best: int | None) -> DataFrame:
-    """Candidate pairs of the buckets that hold more than one component."""
+def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, share: float, folder: Folder, name: str) -> DataFrame:
+    """Pairs that members of different clusters name in the buckets that hold more than one cluster."""
     named = members.join(labels, F.col("set_id") == F.col("node"), "left").select(
         "band", "members", "set_id", F.coalesce("label", "set_id").alias("label"))
     open_ = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = (
-        named.join(open_, "band").join(classes.select("set_id", "n_shingles", "registers"), "set_id")
-        .withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("pack", F.when(F.col("blocks") > 1, F.col("band")).otherwise(F.pmod("band", F.lit(PACKS))))
-        .withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    )
-    return dealt.groupBy("pack", "low", "high").applyInPandas(_block_pairs(share, best), "a binary, b binary").distinct()
+    rows = folder.put(named.join(open_, "band"), f"open-{name}")
+    rows = _blocked(rows, "members", "band").join(classes.select("set_id", "n_shingles", "registers"), "set_id")
+    return folder.put(rows.groupBy("pack", "low", "high").applyInPandas(_named(share), "a binary, b binary").distinct(), f"pairs-{name}")
 
 
 def _components(df: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
@@ -275,32 +300,22 @@ def _components(df: DataFrame, key: str, text: str, words: int, percent: int) ->
     members = folder.put(members.join(heads, "band"), "buckets")
 
     stars = members.where("set_id <> head").select(F.col("set_id").alias("a"), F.col("head").alias("b")).distinct()
-    tried = folder.put(_estimate(stars, classes, share), "tried")
-    sets = folder.put(_sets(_ends(tried), classes, texts, words), "sets")
-    links = folder.put(_confirm(tried, sets, percent), "links")
-    labels = components(links, f"{folder.path}/components")
-
-    # a few rounds in which every member names its best partners of other components, then all that is left
+    pairs = folder.put(_estimate(stars, classes, share), "stars")
+    clusters = components(pairs, f"{folder.path}/clusters")
     members = members.where("members > 2")
-    best = BEST
-    for k in range(ROUNDS + 2):
-        if k >= ROUNDS:
-            best = None
-        pairs = folder.put(_open_pairs(members, labels, classes, share, best).join(tried, ["a", "b"], "left_anti"), f"pairs-{k}")
-        if pairs.isEmpty():
-            if best is None:
-                break
-            best = None
-            continue
-        # whoever is named in a later round is named in the first one too
-        missing = _ends(pairs).join(sets, "set_id", "left_anti")
-        if k == 0 or not missing.isEmpty():
-            sets = sets.union(folder.put(_sets(missing, classes, texts, words), f"sets-{k}"))
-        tried = tried.union(pairs)
-        found = folder.put(_confirm(pairs, sets, percent), f"links-{k}")
-        if not found.isEmpty():
-            links = links.union(found)
-            labels = components(links, f"{folder.path}/components-{k}")
+    for k in range(ROUNDS):  # every round at least halves the clusters that a pair still crosses
+        more = _across(members, clusters, classes, share, folder, str(k))
+        if more.isEmpty():
+            break
+        pairs = pairs.union(more)
+        clusters = components(pairs, f"{folder.path}/clusters-{k}")
+
+    sizes = clusters.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
+    inside = folder.put(clusters.select(F.col("node").alias("set_id"), "label").join(sizes, "label"), "inside")
+    sets = folder.put(_sets(inside.select("set_id"), classes, texts, words), "sets")
+    rows = _blocked(inside, "members", "label").join(classes.select("set_id", "n_shingles", "registers"), "set_id").join(sets, "set_id")
+    links = folder.put(rows.groupBy("pack", "low", "high").applyInPandas(_linked(percent), "a binary, b binary"), "links")
+    labels = components(links, f"{folder.path}/components")
 
     grouped = classes.join(labels, F.col("set_id") == F.col("node"), "left").select("set_id", F.coalesce("label", "set_id").alias("label"), "least")
     least = grouped.groupBy("label").agg(F.min("least").alias("component"))
