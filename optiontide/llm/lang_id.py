@@ -5,14 +5,21 @@ spectrum, presence only), hashed to ``BITS`` places. The kernel of two texts is
 the size of their sets' intersection over the root of the sizes' product. A few
 landmark texts per language span a Nyström feature space; one kernel ridge
 regression per language against the rest is solved there. Scoring is three
-matrix products per block of texts: presence by landmarks, by the feature map,
+matrix products per block of windows: presence by landmarks, by the feature map,
 by the regressions.
 
+A text of more than ``WINDOW`` characters is cut into windows of equal size that
+overlap by an n-gram, each with a set of its own, so no set fills up however long
+the text is. Its shares are the mean of all windows' shares, weighted by how far
+a window's best share is above chance (to the power ``CLEARNESS``): windows that
+look alike in all languages (ids, tables, other scripts) count little beside
+prose, and a text and its repetition score the same.
+
 Fitting takes at most ``per_language`` labelled texts of each language (spread
-over hash ranges, so no language is gathered in one task); only packed n-gram
-sets of these reach the driver, ``BITS / 8`` bytes each. Prediction covers every
-whole text: long ones are read in chunks that overlap by an n-gram. Null texts
-and texts without a letter are ``und`` with score 0.
+over hash ranges, so no language is gathered in one task), of each text up to
+``LEARNT`` windows spread evenly; only packed n-gram sets of these reach the
+driver, ``BITS / 8`` bytes each. Prediction covers every whole text, window by
+window. Null texts and texts without a letter are ``und`` with score 0.
 """
 
 from __future__ import annotations
@@ -33,7 +40,10 @@ LANDMARKS = 16
 RIDGE = 1e-2
 #: Hash ranges of a language that are sampled on their own.
 RANGES = 128
-CHUNK = 1 << 18
+#: Most characters of a window, and most windows of a text that are learnt from.
+WINDOW = 4096
+LEARNT = 4
+CLEARNESS = 4
 ROWS = 256
 UNKNOWN = "und"
 
@@ -56,12 +66,21 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
 
 
+def window_starts(length: int) -> np.ndarray:
+    """Borders of the windows of a text: even steps from 0 to ``length``, of at most ``WINDOW`` characters."""
+    count = max(1, -(-length // WINDOW))
+    return np.arange(count + 1, dtype=np.int64) * length // count
+
+
+def window(text: str, borders: np.ndarray, k: int) -> str:
+    """Window ``k`` with the characters that complete its last n-grams."""
+    return text[borders[k] : borders[k + 1] + SIZES[-1] - 1]
+
+
 def presence(text: str, row: np.ndarray) -> None:
-    """Mark the n-grams of a text, chunk by chunk."""
-    step = CHUNK - (SIZES[-1] - 1)
-    for at in range(0, max(1, len(text) - SIZES[-1] + 1), step):
-        for places in ngram_places(code_points(text[at : at + CHUNK])):
-            row[places] = 1
+    """Mark the n-grams of a text."""
+    for places in ngram_places(code_points(text)):
+        row[places] = 1
 
 
 @dataclass
@@ -89,6 +108,30 @@ class LanguageModel:
         raw = np.exp(raw - raw.max(axis=1, keepdims=True))
         return raw / raw.sum(axis=1, keepdims=True)
 
+    def text_scores(self, texts: list[str]) -> np.ndarray:
+        """Shares of the languages in whole texts, over all their windows, of which ``ROWS`` are held at a time."""
+        sums, weights = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
+        sets, owners = np.zeros((ROWS, BITS), dtype=np.float32), []
+
+        def add() -> None:
+            shares = self.scores(sets[: len(owners)])
+            clear = (shares.max(axis=1) - 1 / len(self.languages) + 1e-3) ** CLEARNESS
+            np.add.at(sums, owners, shares * clear[:, None])
+            np.add.at(weights, owners, clear)
+            sets[: len(owners)] = 0
+            owners.clear()
+
+        for i, text in enumerate(texts):
+            borders = window_starts(len(text))
+            for k in range(len(borders) - 1):
+                presence(window(text, borders, k), sets[len(owners)])
+                owners.append(i)
+                if len(owners) == ROWS:
+                    add()
+        if owners:
+            add()
+        return sums / weights[:, None]
+
 
 def fit_sets(packed: np.ndarray, languages: np.ndarray, ridge: float = RIDGE, landmarks: int = LANDMARKS) -> LanguageModel:
     """Nyström map and one-versus-rest ridge regressions from packed n-gram sets."""
@@ -115,13 +158,22 @@ def _texts(batch: pa.RecordBatch, name: str) -> list[str | None]:
 
 
 def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sets of up to ``LEARNT`` windows of each text, spread over the whole of it, with their number."""
     for batch in batches:
-        bits = []
-        for text in _texts(batch, "text"):
-            row = np.zeros(BITS, dtype=np.uint8)
-            presence(text or "", row)
-            bits.append(np.packbits(row).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], ["lang", "mark", "bits"])
+        owners, numbers, bits = [], [], []
+        for i, text in enumerate(_texts(batch, "text")):
+            borders = window_starts(len(text or ""))
+            few = np.unique(np.linspace(0, len(borders) - 2, LEARNT).astype(np.int64))
+            for number, k in enumerate(few.tolist()):
+                row = np.zeros(BITS, dtype=np.uint8)
+                presence(window(text or "", borders, k), row)
+                owners.append(i)
+                numbers.append(number)
+                bits.append(np.packbits(row).tobytes())
+        own = pa.array(owners, pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0).take(own), batch.column(1).take(own), pa.array(numbers, pa.int32()), pa.array(bits, pa.binary())],
+            ["lang", "mark", "number", "bits"])
 
 
 def has_letter(text: Column) -> Column:
@@ -131,7 +183,7 @@ def has_letter(text: Column) -> Column:
 def fit(df: DataFrame, key: str, text: str, label: str, per_language: int = PER_LANGUAGE) -> LanguageModel | None:
     """A model from at most ``per_language`` labelled texts of each language; None if there is no such text.
 
-    The driver holds ``BITS / 8`` bytes for each of them.
+    The driver holds ``BITS / 8`` bytes for each of their windows, ``LEARNT`` a text at most.
     """
     mark = F.xxhash64(key)
     rows = df.where(F.col(label).isNotNull()).select(F.col(key).alias("key"), F.col(label).alias("lang"), mark.alias("mark")).distinct()
@@ -141,13 +193,13 @@ def fit(df: DataFrame, key: str, text: str, label: str, per_language: int = PER_
     texts = df.where(has_letter(F.col(text))).select(F.col(key).alias("key"), F.col(label).alias("lang"), F.col(text).alias("text"))
     texts = texts.join(few, F.col("key").eqNullSafe(F.col("__key")) & (F.col("lang") == F.col("__lang")))
     texts = texts.dropDuplicates(["key", "lang"])
-    sets = texts.select("lang", F.xxhash64("key").alias("mark"), "text").mapInArrow(_packed, "lang string, mark long, bits binary")
+    sets = texts.select("lang", F.xxhash64("key").alias("mark"), "text").mapInArrow(_packed, "lang string, mark long, number int, bits binary")
     found = sets.toArrow().to_pydict()
     if not found["lang"]:
         return None
     packed = np.stack([np.frombuffer(b, dtype=np.uint8) for b in found["bits"]])
     languages = np.array(found["lang"], dtype=object)
-    order = np.lexsort((np.array(found["mark"]), languages.astype(str)))
+    order = np.lexsort((np.array(found["mark"]), np.array(found["number"]), languages.astype(str)))
     return fit_sets(packed[order], languages[order].astype(str))
 
 
@@ -165,10 +217,7 @@ def predict(df: DataFrame, text: str, model: LanguageModel | None) -> DataFrame:
                 names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
                 known = [i for i, t in enumerate(texts) if model and t and any(map(str.isalpha, t))]
                 if known:
-                    sets = np.zeros((len(known), BITS), dtype=np.float32)
-                    for j, i in enumerate(known):
-                        presence(texts[i], sets[j])
-                    shares = model.scores(sets)
+                    shares = model.text_scores([texts[i] for i in known])
                     best = shares.argmax(axis=1)
                     for j, i in enumerate(known):
                         names[i], scores[i] = model.languages[best[j]], shares[j, best[j]]

@@ -102,6 +102,40 @@ def test_language_kernel_is_the_presence_kernel():
     assert np.allclose(model.kernel(sets), want, atol=1e-6)
 
 
+@pytest.fixture(scope="module")
+def long_texts(spark):
+    """Languages and clean texts in them: joined to megabytes, and beside many ids or letters of another script."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    random.seed(6)
+    ids = " ".join(f"{random.getrandbits(128):032x}" for _ in range(30000))
+    han = "".join(chr(random.randrange(0x4E00, 0x9FA5)) for _ in range(8000))
+    texts = {}
+    for r in docs.where("lang IS NOT NULL AND text IS NOT NULL").orderBy("doc_id").collect():
+        texts.setdefault(r.lang, []).append(r.text)
+    cases = []
+    for lang, own in texts.items():
+        one = next(t for t in own if 4000 < len(t) < 8000)
+        cases += [(lang, one), (lang, f"{one} {ids}"), (lang, f"{ids} {one}"), (lang, one + han), (lang, " ".join(own * (8_000_000 // sum(map(len, own)) + 1)))]
+    return docs, cases
+
+
+def test_language_of_long_and_symbol_rich_texts(long_texts, spark):
+    docs, cases = long_texts
+    rows = spark.createDataFrame([(k, lang, t) for k, (lang, t) in enumerate(cases)], "k int, lang string, text string")
+    got = lang_id.predict(rows, "text", queries.language_model(docs)).collect()
+    assert len(got) == len(cases) and [(r.k, r.lang_pred) for r in got if r.lang_pred != r.lang] == []
+
+
+def test_windows_hold_every_ngram(monkeypatch):
+    monkeypatch.setattr(lang_id, "WINDOW", 7)
+    for length in (0, 1, 7, 8, 50, 99):
+        text = "".join(chr(97 + k % 26) if k % 9 else " " for k in range(length))
+        borders = lang_id.window_starts(length)
+        cut = [lang_id.window(text, borders, k) for k in range(len(borders) - 1)]
+        grams = [{t[i : i + n] for n in lang_id.SIZES for i in range(len(t) - n + 1)} for t in (*cut, text)]
+        assert set().union(*grams[:-1]) == grams[-1] and max(map(len, cut)) <= 9
+
+
 def sets_of(texts, words):
     def lowered(t):
         return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "").replace("\x0b", " ").split(" ")
