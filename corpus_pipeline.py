@@ -19,7 +19,8 @@ from optiontide.llm.secrets import redacted, secret_spans
 from optiontide.session import run_dir
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: Texts without a letter, and those whose best language has a lower score, are rejected.
+#: Texts without a letter, and those whose best language has a lower score, are rejected. Scores are combined from
+#: windows of bounded size, the clear ones first, so neither length nor ids beside the prose lower them much.
 LEAST_SCORE = 0.4
 
 

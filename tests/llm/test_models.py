@@ -104,19 +104,20 @@ def test_language_kernel_is_the_presence_kernel():
 
 @pytest.fixture(scope="module")
 def long_texts(spark):
-    """Languages and clean texts in them: joined to megabytes, and beside many ids or letters of another script."""
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    """Documents to learn from, and clean texts: joined to megabytes, and beside many ids or letters of another script."""
     random.seed(6)
-    ids = " ".join(f"{random.getrandbits(128):032x}" for _ in range(30000))
-    han = "".join(chr(random.randrange(0x4E00, 0x9FA5)) for _ in range(8000))
+    signs = "abcdefghijklmnopqrstuvwxyz0123456789-_"
+    ids = " ".join("".join(random.choices(signs, k=16)) for _ in range(30000))
+    han = "".join(chr(random.randrange(0x4E00, 0x9FA5)) for _ in range(100000))
     texts = {}
-    for r in docs.where("lang IS NOT NULL AND text IS NOT NULL").orderBy("doc_id").collect():
+    for r in spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("lang IS NOT NULL AND text IS NOT NULL").orderBy("doc_id").collect():
         texts.setdefault(r.lang, []).append(r.text)
     cases = []
     for lang, own in texts.items():
-        one = next(t for t in own if 4000 < len(t) < 8000)
-        cases += [(lang, one), (lang, f"{one} {ids}"), (lang, f"{ids} {one}"), (lang, one + han), (lang, " ".join(own * (8_000_000 // sum(map(len, own)) + 1)))]
-    return docs, cases
+        one = next(t for t in own if 4000 < len(t) < 6000)
+        cases += [(lang, one), (lang, f"{one} {ids}"), (lang, f"{ids} {one}"), (lang, one + han), (lang, " ".join(own))]
+    assert max(len(t) for _, t in cases) > 10_000_000
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), cases
 
 
 def test_language_of_long_and_symbol_rich_texts(long_texts, spark):
@@ -126,6 +127,16 @@ def test_language_of_long_and_symbol_rich_texts(long_texts, spark):
     assert len(got) == len(cases) and [(r.k, r.lang_pred) for r in got if r.lang_pred != r.lang] == []
 
 
+def test_pipeline_keeps_long_and_id_heavy_documents(long_texts, spark):
+    docs, cases = long_texts
+    clean = spark.createDataFrame([(-1 - k, t, None, "long", len(t)) for k, (_, t) in enumerate(cases)], DOCS)
+    junk = spark.createDataFrame([(-100, "0123456789 " * 500000, None, "junk", 5500000)], DOCS)
+    learnt = docs.where("lang IS NOT NULL").select(*corpus_pipeline.COLUMNS)
+    kept = corpus_pipeline.identify_language(spark, learnt.union(clean).union(junk), "")
+    found = {r.doc_id: r.lang for r in kept.where("doc_id < 0").select("doc_id", "lang").collect()}
+    assert found == {-1 - k: lang for k, (lang, _) in enumerate(cases)}
+
+
 def test_windows_hold_every_ngram(monkeypatch):
     monkeypatch.setattr(lang_id, "WINDOW", 7)
     for length in (0, 1, 7, 8, 50, 99):
