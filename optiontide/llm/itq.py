@@ -3,8 +3,10 @@
 A rotation of the centred principal axes is learnt so that the signs of the
 rotated vectors lose least (iterative quantisation), on at most ``SAMPLE``
 vectors per dimension; every vector is coded and indexed. A code is cut into
-substrings, one table each; ``ROTATIONS`` rotations from different starts give
-more tables. Vectors that share a substring meet, and their cosine is taken in double
+substrings, one table each; rotations from different starts give more tables.
+Where vectors share a common direction a pair's angle grows with centring, so
+tables and rotations are fitted: pairs at the least cosine are made from the
+sample, and the first setting in which ``RECALL`` of them meet is taken. Vectors that share a substring meet, and their cosine is taken in double
 precision from the original vectors. A pair counts in the first table that
 holds it, so link counts need no list of pairs: a task gives one count and one
 link to a local root per vector.
@@ -32,8 +34,11 @@ from optiontide.llm.shingles import mixed
 
 COSINE = 0.9
 BITS = 64
-TABLES = 6
-ROTATIONS = 2
+#: Tables of a rotation and numbers of rotations, tried in this order until RECALL of PAIRS pairs at the least cosine meet.
+TABLES = (6, 8, 11, 16, 22, 32, 64)
+ROTATIONS = range(2, 9)
+RECALL = 0.95
+PAIRS = 2048
 SAMPLE = 4096
 ROUNDS = 40
 #: Vectors of a bucket that meet in one task, and of small buckets that share a task.
@@ -44,7 +49,7 @@ PACK = 4096
 def learn(sample: np.ndarray, seed: int, bits: int = BITS, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """(mean, projection) whose signs are the code of a unit vector."""
     mean = sample.mean(axis=0)
-    _, _, axes = np.linalg.svd(sample - mean, full_matrices=True)
+    _, _, axes = np.linalg.svd(sample - mean, full_matrices=len(sample) < sample.shape[1])
     axes = axes[: min(bits, sample.shape[1])].T
     flat = (sample - mean) @ axes
     rotation = np.linalg.qr(np.random.default_rng(seed).standard_normal((axes.shape[1],) * 2))[0]
@@ -54,7 +59,7 @@ def learn(sample: np.ndarray, seed: int, bits: int = BITS, rounds: int = ROUNDS)
     return mean, axes @ rotation
 
 
-def substrings(unit: np.ndarray, models: list[tuple[np.ndarray, np.ndarray]], tables: int = TABLES) -> np.ndarray:
+def substrings(unit: np.ndarray, models: list[tuple[np.ndarray, np.ndarray]], tables: int = TABLES[0]) -> np.ndarray:
     """Substring of every table of every rotation, one column each."""
     out = []
     for mean, projection in models:
@@ -64,6 +69,44 @@ def substrings(unit: np.ndarray, models: list[tuple[np.ndarray, np.ndarray]], ta
     return np.stack(out, axis=1)
 
 
+def partners(unit: np.ndarray, cosine: float, seed: int = 0) -> np.ndarray:
+    """For each vector one at the given cosine to it (or as far as it goes): its centred part turned towards another vector's."""
+    rng = np.random.default_rng(seed)
+    mean = unit.mean(axis=0)
+    own = unit - mean
+    size = np.linalg.norm(own, axis=1, keepdims=True)
+    along = own / np.maximum(size, 1e-12)
+    other = own[rng.permutation(len(own))] + 1e-6 * rng.standard_normal(own.shape)
+    other -= (other * along).sum(axis=1, keepdims=True) * along
+    other *= size / np.maximum(np.linalg.norm(other, axis=1, keepdims=True), 1e-12)
+
+    def turned(angle: np.ndarray) -> np.ndarray:
+        return _unit(mean + np.cos(angle) * own + np.sin(angle) * other)
+
+    low, high = np.zeros((len(unit), 1)), np.full((len(unit), 1), np.pi)
+    for _ in range(40):
+        middle = (low + high) / 2
+        near = (unit * turned(middle)).sum(axis=1, keepdims=True) >= cosine
+        low, high = np.where(near, middle, low), np.where(near, high, middle)
+    return turned(low)
+
+
+def fitted(sample: np.ndarray, cosine: float) -> tuple[list[tuple[np.ndarray, np.ndarray]], int]:
+    """Rotations and tables of each, so many that ``RECALL`` of pairs at ``cosine`` share a table."""
+    step = max(1, len(sample) // PAIRS)
+    other = partners(sample, cosine)[::step]
+    own, models = sample[::step], []
+    for tables in TABLES:
+        met = np.zeros(len(own), dtype=bool)
+        for k in range(ROTATIONS[-1]):
+            if k == len(models):
+                models.append(learn(sample, k))
+            met |= (substrings(own, models[k : k + 1], tables) == substrings(other, models[k : k + 1], tables)).any(axis=1)
+            if k + 1 in ROTATIONS and met.mean() >= RECALL:
+                return models[: k + 1], tables
+    return models, TABLES[-1]
+
+
 def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Class, dimension and bytes of every vector that may link; nulls for the others."""
     for batch in batches:
@@ -86,14 +129,14 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _coded(models: dict[int, list]):
+def _coded(models: dict[int, tuple[list, int]]):
     """One row per class and table: bucket, table, class and all substrings."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims).tolist():
                 part = batch.filter(pa.array(dims == dim))
-                codes = substrings(_unit(_matrix(part.column("vector").to_pylist())), models[dim])
+                codes = substrings(_unit(_matrix(part.column("vector").to_pylist())), *models[dim])
                 n, width = codes.shape
                 table = np.tile(np.arange(width, dtype=np.int64), n)
                 place = mixed((codes.ravel() * width + table).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(dim)).view(np.int64)
@@ -160,7 +203,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     for (dim,) in classes.select("dim").distinct().collect():
         sample = classes.where(F.col("dim") == dim).orderBy("cls").limit(SAMPLE).select("vector").collect()
         unit = _unit(_matrix([r[0] for r in sample]))
-        models[dim] = [learn(unit, seed) for seed in range(ROTATIONS)]
+        models[dim] = fitted(unit, cosine)
     coded = folder.put(classes.select("cls", "dim", "vector").mapInArrow(_coded(models), "bucket long, tab int, cls binary, codes binary"), "coded")
     sizes = coded.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     packs = max(1, coded.count() // PACK)

@@ -287,6 +287,25 @@ def test_near_vectors(spark, tmp_path, block, monkeypatch):
     assert queries.op7(spark, saved(spark.createDataFrame([], VECTORS), tmp_path / "none", "embeddings")).count() == 0
 
 
+@pytest.mark.parametrize("common", [0.5, 0.8])
+def test_near_vectors_with_a_common_direction(spark, common):
+    rng = np.random.default_rng(4)
+    own = rng.standard_normal((1500, 63))
+    own /= np.linalg.norm(own, axis=1, keepdims=True)
+    turn = rng.standard_normal(own.shape)
+    turn -= (turn * own).sum(axis=1, keepdims=True) * own
+    turn /= np.linalg.norm(turn, axis=1, keepdims=True)
+    cosine = (0.901 - common**2) / (1 - common**2)
+    rest = np.concatenate([own, cosine * own + np.sqrt(1 - cosine**2) * turn]) * np.sqrt(1 - common**2)
+    vectors = np.column_stack([np.full(3000, common), rest])
+    near = vectors @ vectors.T >= 0.9
+    np.fill_diagonal(near, False)
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    links = {r.vec_id: r.n_links for r in itq.near_vectors(rows).collect()}
+    assert near.sum() >= 3000 and all(links[k] <= n for k, n in enumerate(near.sum(axis=1)))
+    assert sum(links.values()) >= 0.9 * near.sum()
+
+
 @pytest.mark.parametrize("slice_rows,part,pivots", [(16384, 1024, 128), (37, 3, 2)])
 def test_top_k(spark, tmp_path, slice_rows, part, pivots, monkeypatch):
     monkeypatch.setattr(voronoi, "SLICE", slice_rows)
