@@ -283,7 +283,7 @@ def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, share: fl
 
 
 def _components(df: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """key, mark (hash of the text), n_shingles and component of each row."""
+    """key, mark (hash of the text), n_shingles, component and first of each row: ``first`` is whether key and mark are the component's least."""
     share = percent / 100
     folder = Folder(df, "minhash")
     texts = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
@@ -293,7 +293,7 @@ def _components(df: DataFrame, key: str, text: str, words: int, percent: int) ->
     classes = folder.put(
         signed.where("n_shingles > 0").groupBy("set_id").agg(
             F.max("n_shingles").alias("n_shingles"), F.max("registers").alias("registers"), F.min(F.struct("key", "mark")).alias("rep"),
-            F.min("key").alias("least")), "classes")
+            F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark")).alias("least")), "classes")
 
     members = folder.put(classes.select("set_id", "registers").mapInArrow(_band_keys, "band long, set_id binary"), "members")
     heads = members.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.min("set_id").alias("head")).where("members > 1")
@@ -321,7 +321,10 @@ def _components(df: DataFrame, key: str, text: str, words: int, percent: int) ->
     least = grouped.groupBy("label").agg(F.min("least").alias("component"))
     owner = folder.put(grouped.join(least, "label").select(F.col("set_id").alias("__set"), "component"), "owner")
     rows = signed.select("key", "mark", "n_shingles", "set_id").join(owner, F.col("set_id") == F.col("__set"), "left")
-    return rows.select("key", "mark", "n_shingles", F.when(F.col("__set").isNull(), F.col("key")).otherwise(F.col("component")).alias("component"))
+    alone = F.col("__set").isNull()
+    first = F.col("key").eqNullSafe(F.col("component.key")) & (F.col("mark") == F.col("component.mark"))
+    return rows.select(
+        "key", "mark", "n_shingles", F.when(alone, F.col("key")).otherwise(F.col("component.key")).alias("component"), (alone | first).alias("first"))
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -339,6 +342,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
 def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """``df`` with one row of each group of near duplicates: the one with the smallest key.
 
+    Among texts that repeat that key, the one with the smallest hash; null keys come last.
     Rows that repeat a key and its text count as one; texts without words all stay.
     """
     found = Folder(df, "minhash-kept").put(_components(df, key, text, words, percent), "found")
@@ -347,7 +351,7 @@ def one_of_each(df: DataFrame, key: str = "doc_id", text: str = "text", words: i
     def marks(rows: DataFrame) -> DataFrame:
         return rows.select(F.col("key").alias("__key"), F.col("mark").alias("__mark")).distinct()
 
-    left = df.join(marks(found.where(~F.col("key").eqNullSafe(F.col("component")))), same, "left_anti")
+    left = df.join(marks(found.where(~F.col("first"))), same, "left_anti")
     again = found.where("n_shingles > 0").groupBy("key", "mark").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
     if again.isEmpty():
         return left

@@ -214,6 +214,17 @@ def test_near_duplicates_of_odd_tables(odd, spark):
     assert hyperminhash.near_duplicates(odd.where("false")).count() == 0
 
 
+def test_one_of_each_of_repeated_and_null_keys(spark):
+    base = [f"w{i}" for i in range(200)]
+    near = [" ".join([*base[:k], "x", *base[k + 1 :]]) for k in (199, 198, 197)]
+    other = [" ".join(reversed(t.split())) for t in near]
+    rows = [(7, near[0]), (7, near[1]), (7, near[1]), (9, near[2]), (None, near[2]), (None, other[0]), (None, other[1]), (None, None), (None, "")]
+    docs = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in rows], DOCS)
+    left = [(r.doc_id, r.text) for r in hyperminhash.one_of_each(docs).collect()]
+    assert len([r for r in left if r[1] in near]) == 1 and {k for k, t in left if t in near} == {7}
+    assert len([r for r in left if r[1] in other]) == 1 and len(left) == 4
+
+
 def test_registers_estimate():
     rng = np.random.default_rng(1)
     for n in (100, 230, 3000):
