@@ -76,3 +76,68 @@ g AS (
   FROM every GROUP BY doc_id)
 SELECT doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
 FROM documents LEFT JOIN g USING (doc_id)"""
+
+
+def _dearer(value: str, cost: str, letter: str) -> str:
+    """A state's ``cost audit`` with more cost and one more letter; null stays null."""
+    return f"lpad(CAST(CAST({value}[1:8] AS BIGINT) + {cost} AS VARCHAR), 8, '0') || {value}[9:] || '{letter}'"
+
+
+def _inserted(u: str, a: str, rest: tuple[str, ...]) -> tuple[str, str]:
+    """States u and a after at most one inserted row."""
+    return (f"least({', '.join([u, *[_dearer(x, '3', 'I') for x in (a, *rest)]])})", f"least({a}, {_dearer(u, '3', 'I')})")
+
+
+# Left to right over the rows: the least cost and audit that end in nothing (b), after s (y), after user (u), after assistant (a).
+REPAIR = rf"""
+WITH RECURSIVE k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(list_reduce(list_concat([4294967295], list_transform(string_split(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+           lambda c, x: list_reduce(list_concat([xor(c, x)], range(8)), lambda v, i: xor(v >> 1, 3988292384 * (v & 1)))), 4294967295) % 20 AS kind
+  FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS again
+  FROM k WHERE kind <> 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM d),
+f AS (
+  SELECT *, NOT regexp_matches(text, '[^ 	-
+]') AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again_seen,
+         NOT regexp_matches(text, '[.!?][ 	-
+]*$') AS unended, role[1:1] || lead(role[1:1]) OVER (PARTITION BY conv_id ORDER BY i) AS pair
+  FROM n),
+c AS (
+  SELECT *, blank OR again_seen AS gone, CASE WHEN unended THEN 3 ELSE 0 END AS more, role[1:1] AS initial FROM f),
+s AS (
+  SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (blank) AS blank, count(*) FILTER (NOT blank AND again_seen) AS duplicate,
+         count(*) FILTER (NOT gone AND unended) AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS rows
+  FROM c GROUP BY conv_id),
+walk(conv_id, i, b, y, u, a) AS (
+  SELECT conv_id, CAST(0 AS BIGINT), '00000000', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM s
+  UNION ALL
+  SELECT w.conv_id, w.i + 1, {_dearer('b', '4', 'D')},
+         least({_dearer('y', '4', 'D')}, CASE WHEN initial = 's' AND NOT gone THEN {_dearer('b', 'more', 'K')} END),
+         least({_dearer('u2', '4', 'D')}, CASE WHEN NOT gone THEN least({', '.join(f"CASE WHEN initial = 'u' THEN {_dearer(x, 'more', 'K')} ELSE {_dearer(x, '3 + more', 'R')} END" for x in ('b', 'y', 'a2'))}) END),
+         least({_dearer('a2', '4', 'D')}, CASE WHEN NOT gone THEN CASE WHEN initial = 'a' THEN {_dearer('u2', 'more', 'K')} ELSE {_dearer('u2', '3 + more', 'R')} END END)
+  FROM (SELECT *, {_inserted('u1', 'a1', ('b', 'y'))[0]} AS u2, {_inserted('u1', 'a1', ())[1]} AS a2
+        FROM (SELECT *, {_inserted('u', 'a', ('b', 'y'))[0]} AS u1, {_inserted('u', 'a', ())[1]} AS a1 FROM walk)) w
+  JOIN c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.i = w.i + 1),
+ended AS (
+  SELECT s.*, least(w.b, a, {_dearer('u', '3', 'I')}, {_dearer('(' + _dearer('y', '3', 'I') + ')', '3', 'I')}) AS best
+  FROM s JOIN walk w ON w.conv_id IS NOT DISTINCT FROM s.conv_id AND w.i = s.rows),
+letters AS (
+  SELECT conv_id, CAST(best[1:8] AS BIGINT) AS cost, best[9:] AS audit, unnest(string_split(best[9:], '')) AS letter, unnest(range(1, length(best) - 7)) AS spot FROM ended),
+l AS (
+  SELECT *, sum((letter <> 'I')::INT) OVER (PARTITION BY conv_id ORDER BY spot) AS i, sum((letter <> 'D')::INT) OVER (PARTITION BY conv_id ORDER BY spot) AS k
+  FROM letters),
+o AS (
+  SELECT l.conv_id, l.spot, l.letter, c.role, c.text, l.k - (min(CASE WHEN k = 1 AND letter = 'K' AND initial = 's' THEN 1 ELSE 2 END) OVER (PARTITION BY l.conv_id) = 1)::INT AS k
+  FROM l LEFT JOIN c ON c.conv_id IS NOT DISTINCT FROM l.conv_id AND c.i = l.i AND l.letter <> 'I'),
+t AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN k % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY spot) AS lines
+  FROM o WHERE letter IN ('I', 'K', 'R') GROUP BY conv_id)
+SELECT q.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(CAST(best[1:8] AS BIGINT), 0) AS cost, coalesce(best[9:], '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) q
+LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM q.conv_id"""

@@ -13,6 +13,7 @@ from optiontide.llm.common import word_count
 from optiontide.llm.hyperminhash import near_duplicates
 from optiontide.llm.itq import near_vectors
 from optiontide.llm.mixing import mix
+from optiontide.llm.repair import repair, transcripts
 from optiontide.llm.secrets import BASE, find_secrets, listing
 from optiontide.llm.sharding import rendezvous, shard_records
 from optiontide.llm.token_rollup import commit_batch, nothing, side, totals
@@ -176,3 +177,29 @@ def op9(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "doc_id", "text", severity_grade(), 3)
     return toxicity.severity(docs, "text", model).select("doc_id", "severity", "grade", "toxic")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Rows of conversations, damaged by the CRC-32 of conversation and turn: dropped, emptied, without full stops, repeated, or given to the user."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    kind = F.crc32(key) % 20
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    return rows.where(kind != 0).select(
+        "conv_id", "turn", F.when(kind == 4, F.lit("user")).otherwise(role).alias("role"),
+        F.when(kind == 1, F.lit("")).when(kind == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        F.explode(F.when(kind == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("col")
+
+
+@query("op13_conversation_repair", oracle_sql.REPAIR)
+def op13(spark, sf_dir):
+    """The cheapest repair of every conversation after damage to some of its rows."""
+    conversations = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    found = repair(damaged(conversations))
+    digests = transcripts(found.rows).withColumnRenamed("conv", "__digest")
+    every = conversations.select(F.col("conv_id").alias("__every")).distinct()
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    out = every.join(found.conversations, F.col("__every").eqNullSafe(F.col("conv_id")), "left").drop("conv_id")
+    out = out.join(digests, F.col("__every").eqNullSafe(F.col("__digest")), "left")
+    return out.select(
+        F.col("__every").alias("conv_id"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
