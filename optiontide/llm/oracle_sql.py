@@ -141,3 +141,19 @@ SELECT q.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        coalesce(illegal, 0) AS illegal, coalesce(CAST(best[1:8] AS BIGINT), 0) AS cost, coalesce(best[9:], '') AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) q
 LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM q.conv_id LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM q.conv_id"""
+
+
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+RANKED = rf"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS terms FROM documents),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark)),
+c AS (SELECT count(*) AS N, CAST(sum(len(terms)) AS BIGINT) AS L FROM d WHERE len(terms) > 0),
+o AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * any_value(N) + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w FROM o, c GROUP BY term),
+m AS (SELECT row, doc_id, 50 + (50 * len(terms) * N) // L AS m FROM d, c WHERE len(terms) > 0),
+s AS (
+  SELECT item_id, row, any_value(doc_id) AS doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+  FROM q JOIN w USING (term) JOIN o USING (term) JOIN m USING (row) GROUP BY item_id, row),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 50"""

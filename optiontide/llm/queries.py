@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from optiontide.llm import bpe, lang_id, oracle_sql, toxicity
+from optiontide.llm import bpe, lang_id, oracle_sql, quality, toxicity
 from optiontide.llm.common import word_count
 from optiontide.llm.hyperminhash import near_duplicates
 from optiontide.llm.itq import near_vectors
+from optiontide.llm.lexical import search
 from optiontide.llm.mixing import mix
 from optiontide.llm.repair import repair, transcripts
 from optiontide.llm.secrets import BASE, find_secrets, listing
@@ -203,3 +204,24 @@ def op13(spark, sf_dir):
     return out.select(
         F.col("__every").alias("conv_id"), *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
+#: From this score on a text is predicted to be of quality.
+GOOD = 0.3
+
+
+@query("op11_quality_compression")
+def op11(spark, sf_dir):
+    """Quality of every whole text, by a model that has not seen the labels of the held-out fifth."""
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5, F.lit(1))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(fold != 0)
+    model = quality.fit(docs, labels, "doc_id", "text", "quality")
+    scored = quality.score(docs.select("doc_id", (fold == 0).alias("held_out"), "text"), "text", model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= GOOD).cast("int").alias("predicted"))
+
+
+@query("op12_lexical_search", oracle_sql.RANKED)
+def op12(spark, sf_dir):
+    """The 50 highest-scoring documents of every benchmark item."""
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
