@@ -1,5 +1,7 @@
 """Sharding, secret scans, rollups and mixing against plain versions."""
 
+import random
+import time
 import hashlib
 import math
 import re
@@ -80,6 +82,46 @@ def test_redaction_and_clash(docs, spark):
     assert out[0] is None and out[5] == 'x [assign]" y' and out[9] == "f" * 31 + " [hex]"
 
 
+def _plainly_redacted(text, spans):
+    """Spans by start, kind as listed; what overlaps an earlier one goes with it."""
+    out, at = "", 0
+    for s in spans:
+        if s["start"] >= at:
+            out += text[at : s["start"]] + f"[{s['kind']}]"
+        at = max(at, s["end"])
+    return out + text[at:]
+
+
+@pytest.mark.parametrize("piece", [7, 1024])
+def test_redaction_in_pieces(spark, monkeypatch, piece):
+    monkeypatch.setattr(secrets, "PIECE", piece)
+    rng = random.Random(piece)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    parts = [
+        lambda: f'password = "{hexes(40)}"', lambda: "AKIA" + hexes(24).upper(), lambda: hexes(64), lambda: "é\n" * rng.randint(0, 9),
+        lambda: f"token:{hexes(8)}", lambda: "plain words " * rng.randint(0, 5), lambda: "\U0001F600" * 3, lambda: "secret=" + "Aa0Bb1Cc2" * 6]
+    texts = [" ".join(rng.choice(parts)() for _ in range(rng.randint(0, 30))) for _ in range(25)] + ["", None, hexes(5000), "password=" + "k9" * 3000]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").withColumn("spans", secrets.secret_spans(F.col("text")))
+    rows = df.withColumn("out", secrets.redacted(F.col("text"), F.col("spans"))).collect()
+    for r in rows:
+        assert r["out"] == (_plainly_redacted(r["text"], r["spans"]) if r["spans"] else r["text"])
+
+
+def test_work_grows_with_a_text_full_of_keys(spark):
+    """Eight times the text takes far less than the square of that in time."""
+    rng = random.Random(1)
+    line = lambda: f"token: {''.join(rng.choice('ABCDEFGHJK0123456789abcdef') for _ in range(30))} é\n"
+    seconds = []
+    for n in (1000, 1000, 8000):
+        text = "".join(line() for _ in range(n))
+        df = spark.createDataFrame([(text,)], "text string").withColumn("spans", secrets.secret_spans(F.col("text")))
+        start = time.perf_counter()
+        found = df.select(F.size("spans").alias("n"), secrets.redacted(F.col("text"), F.col("spans")).alias("out")).first()
+        seconds.append(time.perf_counter() - start)
+        assert found["n"] >= n and found["out"].count("[assign]") == n and "token" not in found["out"]
+    assert seconds[2] < 20 * max(seconds[1], 0.3), seconds
+
+
 def test_allow_list(spark):
     df = spark.createDataFrame([("k9Xv2QpLr8ZtW4mBn7Ys3Jd",)], "text string")
     assert secrets.find_secrets(df, allow=("^k9Xv",)).first()["secrets"] == []
