@@ -1,12 +1,14 @@
 """Option prices and implied volatility.
 
-``bs_price`` is a plain Column, so a price stays inside whole-stage codegen.
-The binomial tree and the root finders need loops that a Column cannot
-express; they run as numpy over whole Arrow batches, never row by row.
+``bs_price`` is a plain Column, so a price stays inside whole-stage codegen; the European root is a fold in Columns.
+The binomial tree needs loops that a Column cannot express; it and its root finder
+run as numpy over whole Arrow batches, never row by row.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -42,6 +44,8 @@ CDF_ROOT_TWO_PI = 2.506628274631
 VOL_LOW = 0.01
 VOL_HIGH = 10.0
 VOL_TOLERANCE = 1e-6
+SETTLED = 1e-12
+ROOT_STEPS = 100
 TREE_STEPS = 100
 
 _TREE_ROWS = 400  # rows priced together: keeps the working set in cache
@@ -117,6 +121,76 @@ def _bs_value(spot: Column, strike: Column, t: Column, rate: Column, sign: Colum
     return F.when(t == 0, F.greatest(sign * (spot - strike), F.lit(0.0))).when(t > 0, price)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _fixed_terms(mark: Column, spot: Column, strike: Column, t: Column, rate: Column, sign: Column) -> Column:
+    """What a European price needs beside the volatility."""
+    return F.struct(
+        mark.alias("mark"), spot.alias("spot"), sign.alias("sign"), (strike * F.exp(-rate * t)).alias("discounted"),
+        (F.ln(spot / strike) + rate * t).alias("drift"), t.alias("t"), F.sqrt(t).alias("root_t"))
+
+
+def _gap_and_vega(c: Column, vol: Column) -> Column:
+    """Price less mark, and the slope of the price, at a volatility."""
+    def weights(d: Column) -> Column:
+        return let(F.struct(d.alias("d"), F.abs(d).alias("a"), F.exp(-d * d / 2).alias("e")), lambda w: F.struct(
+            w["e"].alias("e"), let(_tail_weight(w["a"], w["e"]), lambda low: F.when(w["d"] > 0, 1 - low).otherwise(low)).alias("n")))
+
+    d1 = c["drift"] / (vol * c["root_t"]) + vol * c["root_t"] / 2
+
+    def valued(d: Column) -> Column:
+        ahead, behind = weights(c["sign"] * d), weights(c["sign"] * (d - vol * c["root_t"]))
+        return let(F.struct(ahead.alias("one"), behind["n"].alias("two")), lambda w: F.struct(
+            (c["sign"] * (c["spot"] * w["one"]["n"] - c["discounted"] * w["two"]) - c["mark"]).alias("gap"),
+            (c["spot"] * w["one"]["e"] * c["root_t"] / F.lit(CDF_ROOT_TWO_PI)).alias("vega")))
+
+    return let(d1, valued)
+
+
+def european_vol(
+    mark: Column | str, spot: Column | str, strike: Column | str, t: Column | str, rate: Column | str | float, put_call: Column | str,
+) -> Column:
+    """Volatility at which the Black-Scholes price meets ``mark``; null without a sign change on the interval.
+
+    A fold over a fixed number of steps: Newton steps kept inside a shrinking bracket, the middle of the bracket where one leaves it. Steps after a
+    row has settled pass its state on, so a row costs as many prices as it needs. No Python is involved.
+    """
+    mark, spot, strike, t, rate = (_col(c).cast("double") for c in (mark, spot, strike, t, rate))
+
+    def solved(c: Column) -> Column:
+        guess = F.sqrt(2 * F.abs(c["drift"]) / c["t"])
+        first = F.greatest(F.least(F.when(guess > VOL_LOW, guess).otherwise(F.lit(0.5)), F.lit(5.0)), F.lit(0.05))
+        start = F.struct(first.alias("x"), F.lit(VOL_LOW).alias("lo"), F.lit(VOL_HIGH).alias("hi"), F.lit(False).alias("done"))
+
+        def moved(state: Column, g: Column) -> Column:
+            below = g["gap"] < 0
+            bracket = F.struct(
+                F.when(below, state["x"]).otherwise(state["lo"]).alias("lo"), F.when(below, state["hi"]).otherwise(state["x"]).alias("hi"),
+                (state["x"] - F.try_divide(g["gap"], g["vega"])).alias("newton"))
+
+            def next_(b: Column) -> Column:
+                inside = (b["newton"] > b["lo"]) & (b["newton"] < b["hi"])
+                new = F.when(g["gap"] == 0, state["x"]).when(inside, b["newton"]).otherwise((b["lo"] + b["hi"]) / 2)
+                return let(new, lambda x: F.struct(
+                    x.alias("x"), b["lo"].alias("lo"), b["hi"].alias("hi"),
+                    ((F.abs(x - state["x"]) < SETTLED) | (b["hi"] - b["lo"] < SETTLED)).alias("done")))
+
+            return let(bracket, next_)
+
+        def step(state: Column, _: Column) -> Column:
+            return F.when(state["done"], state).otherwise(let(_gap_and_vega(c, state["x"]), lambda g: moved(state, g)))
+
+        root = F.aggregate(F.sequence(F.lit(1), F.lit(ROOT_STEPS)), start, step, lambda s: F.when(s["done"], s["x"]))
+        changes = _gap_and_vega(c, F.lit(VOL_LOW))["gap"] * _gap_and_vega(c, F.lit(VOL_HIGH))["gap"] <= 0
+        return F.when(changes, root)
+
+    usable = mark.isNotNull() & rate.isNotNull() & (spot > 0) & (strike > 0) & (t > 0) & ~F.isnan(mark) & ~F.isnan(rate)
+    return F.when(usable, let(_fixed_terms(mark, spot, strike, t, rate, _sign(_col(put_call))), solved))
+
+
 def with_bs_price(
     df: DataFrame,
     spot: str = "underlyingPrice",
@@ -391,19 +465,15 @@ def _tree_price_udf(
 
 
 @pandas_udf(DoubleType())
-def _implied_vol_udf(
-    mark: pd.Series, spot: pd.Series, strike: pd.Series, t: pd.Series, rate: pd.Series,
-    q: pd.Series, put_call: pd.Series, exercise: pd.Series, steps: pd.Series,
+def _american_vol_udf(
+    mark: pd.Series, spot: pd.Series, strike: pd.Series, t: pd.Series, rate: pd.Series, q: pd.Series, put_call: pd.Series, steps: pd.Series,
 ) -> pd.Series:
     levels = int(steps.iloc[0]) if len(steps) else TREE_STEPS
     mark, spot, strike, t, rate, q = (s.to_numpy(dtype=float) for s in (mark, spot, strike, t, rate, q))
     is_call = _calls(put_call)
-    european = (exercise.fillna("") == "E").to_numpy(dtype=bool)
     out = np.full(len(mark), np.nan)
-    usable = np.isfinite(mark) & np.isfinite(rate) & (spot > 0) & (strike > 0) & (t > 0)
-    pick = np.flatnonzero(usable & european)
-    out[pick] = european_vols(mark[pick], spot[pick], strike[pick], t[pick], rate[pick], is_call[pick])
-    pick = np.flatnonzero(usable & ~european & np.isfinite(q))
+    usable = np.isfinite(mark) & np.isfinite(rate) & (spot > 0) & (strike > 0) & (t > 0) & np.isfinite(q)
+    pick = np.flatnonzero(usable)
     out[pick] = american_vols(mark[pick], spot[pick], strike[pick], t[pick], rate[pick], q[pick], is_call[pick], levels)
     return pd.Series(out)
 
@@ -424,8 +494,11 @@ def implied_vol(
 ) -> Column:
     """Volatility at which the model price meets ``mark``; null without a sign change.
 
-    Exercise type E uses Black-Scholes (which leaves q out), all others the
-    tree of ``steps`` levels.
+    Exercise type E uses Black-Scholes (which leaves q out) and stays in Columns, all others the
+    tree of ``steps`` levels in arrays. With a literal E no Python is planned.
     """
-    numbers = [_col(c).cast("double") for c in (mark, spot, strike, t, rate, q)]
-    return _implied_vol_udf(*numbers, _col(put_call), _col(exercise), F.lit(int(steps)))
+    european = F.coalesce(_col(exercise) == "E", F.lit(False))
+    numbers = [_col(c).cast("double") for c in (spot, strike, t, rate, q)]
+    other = F.when(~european, _col(mark).cast("double"))  # European rows cost the tree solver nothing
+    tree = _american_vol_udf(other, *numbers, _col(put_call), F.lit(int(steps)))
+    return F.when(european, european_vol(mark, spot, strike, t, rate, put_call)).otherwise(F.when(~F.isnan(tree), tree))

@@ -10,9 +10,11 @@ from optiontide.functions import calendar as C
 
 # Exchange holidays. Dated ones move from a Saturday to the Friday before (New Year does not) and from a
 # Sunday to the Monday after; the others fall on the n-th given weekday of a month (1 = Monday). Good Friday and the last Monday of May are
-# closed too.
-DATED_CLOSURES = ((1, 1), (6, 19), (7, 4), (12, 25))
-FLOATING_CLOSURES = ((1, 1, 3), (2, 1, 3), (9, 1, 1), (11, 4, 4))
+# closed too. The last number is the first year of a rule; rules without one hold in all years that are asked for, which should be
+# 1971 or later. Single closures (mourning, storms, attacks) are no rules: give them as a table.
+DATED_CLOSURES = ((1, 1, None), (6, 19, 2022), (7, 4, None), (12, 25, None))
+FLOATING_CLOSURES = ((1, 1, 3, 1998), (2, 1, 3, None), (9, 1, 1, None), (11, 4, 4, None))
+EARLY_CLOSES_FROM = 1993
 # Local clocks.
 ZONE = "America/New_York"
 OPEN, CLOSE, INDEX_CLOSE, EARLY_CLOSE, EARLY_INDEX_CLOSE = "09:30:00", "16:00:00", "16:15:00", "13:00:00", "13:15:00"
@@ -40,12 +42,17 @@ def is_exchange_holiday(day: Column | str) -> Column:
     d = (day if isinstance(day, Column) else F.col(day)).cast("date")
     weekday = F.weekday(d) + 1
     closed = (d == F.date_sub(easter(F.year(d)), 2)) | ((F.month(d) == 5) & (weekday == 1) & (F.day(d) > 24))
-    for month, number in DATED_CLOSURES:
-        closed = closed | _on(d, month, number) | ((weekday == 1) & _on(F.date_sub(d, 1), month, number))
+
+    def since(rule: Column, first: int | None) -> Column:
+        return rule if first is None else rule & (F.year(d) >= first)
+
+    for month, number, first in DATED_CLOSURES:
+        rule = _on(d, month, number) | ((weekday == 1) & _on(F.date_sub(d, 1), month, number))
         if (month, number) != (1, 1):
-            closed = closed | ((weekday == 5) & _on(F.date_add(d, 1), month, number))
-    for month, which, n in FLOATING_CLOSURES:
-        closed = closed | ((F.month(d) == month) & (weekday == which) & (F.ceil(F.day(d) / 7) == n))
+            rule = rule | ((weekday == 5) & _on(F.date_add(d, 1), month, number))
+        closed = closed | since(rule, first)
+    for month, which, n, first in FLOATING_CLOSURES:
+        closed = closed | since((F.month(d) == month) & (weekday == which) & (F.ceil(F.day(d) / 7) == n), first)
     return closed
 
 
@@ -55,14 +62,15 @@ def closes_early(day: Column | str) -> Column:
     weekday = F.weekday(d) + 1
     thanks = (F.month(d) == 11) & (weekday == 5) & (F.ceil((F.day(d) - 1) / 7) == 4) & (F.day(d) > 1)
     eve = ((F.month(d) == 7) & (F.day(d) == 3)) | ((F.month(d) == 12) & (F.day(d) == 24))
-    return thanks | (eve & (weekday <= 4))
+    return (thanks | (eve & (weekday <= 4))) & (F.year(d) >= EARLY_CLOSES_FROM)
 
 
-def session_table(days: DataFrame, closures: DataFrame | None = None, early: DataFrame | None = None, zone: str = ZONE) -> DataFrame:
+def session_table(days: DataFrame, closures: DataFrame | None = None, early: DataFrame | None = None, zone: str = ZONE,
+                  also_closed: DataFrame | None = None) -> DataFrame:
     """Sessions (iso_date, market_open, market_close, index_close) of the weekdays of ``days`` that are no closures.
 
     ``closures`` and ``early`` are tables with a ``day``; without them the
-    exchange's rules hold. Clocks are local, so the times follow daylight saving.
+    exchange's rules hold. ``also_closed`` adds single days to either. Clocks are local, so the times follow daylight saving.
     """
     rows = days.select(F.col("day").cast("date").alias("day")).distinct()
     if closures is None:
@@ -70,6 +78,9 @@ def session_table(days: DataFrame, closures: DataFrame | None = None, early: Dat
     else:
         off = closures.select(F.col("day").cast("date").alias("day"), F.lit(True).alias("__closed")).distinct()
         rows = rows.join(off, "day", "left")
+    if also_closed is not None:
+        single = also_closed.select(F.col("day").cast("date").alias("day"), F.lit(True).alias("__single")).distinct()
+        rows = rows.join(single, "day", "left").withColumn("__closed", F.coalesce("__closed", F.lit(False)) | F.coalesce("__single", F.lit(False)))
     if early is None:
         rows = rows.withColumn("__early", closes_early("day"))
     else:
@@ -123,3 +134,19 @@ def attach_trading_time(contracts: DataFrame, sessions: DataFrame, fetched: str,
     return out.withColumns({
         "T_eqo": years("__e0", "__e1", C.EQUITY_HOURS_PER_YEAR), "T_ind": years("__i0", "__i1", C.INDEX_HOURS_PER_YEAR),
     }).drop("__from", "__e0", "__i0", "__to", "__e1", "__i1")
+
+
+def fetch_day(fetched: Column | str, zone: str = ZONE) -> Column:
+    """The exchange's date at an instant."""
+    at = fetched if isinstance(fetched, Column) else F.col(fetched)
+    return F.from_utc_timestamp(at.cast("timestamp"), zone).cast("date")
+
+
+def attach_session_left(chains: DataFrame, sessions: DataFrame, fetched: str = "fetchTime", is_index: str = "isIndex", name: str = "time_remaining",
+                        zone: str = ZONE, reference_least: bool = False) -> DataFrame:
+    """``fetch_day`` and what is left of that day's session in years of trading time (0 on a day without one), whatever the day."""
+    closes = sessions.select(F.col("iso_date").cast("date").alias("__day"), F.col("market_close").alias("__close"), F.col("index_close").alias("__index"))
+    out = chains.withColumn("fetch_day", fetch_day(fetched, zone)).join(closes, F.col("fetch_day") == F.col("__day"), "left")
+    left = C.session_time_left(fetched, "__close", "__index", is_index, reference_least)
+    known = F.col(fetched).isNotNull()
+    return out.withColumn(name, F.when(F.col("__day").isNotNull(), left).when(known, F.lit(0.0))).drop("__day", "__close", "__index")

@@ -58,6 +58,10 @@ SELECT concat('P', cast(l_partkey % 200 AS string)) AS ticker,
 FROM {{lineitem}} JOIN {{part}} ON l_partkey = p_partkey
 """
 
+# The same chains, fetched over 40 days from the morning to the evening; late ones are of the next day in UTC.
+_FETCHED = "timestamp '2024-01-02 13:00:00' + INTERVAL '1' MINUTE * cast(1440 * (l_orderkey % 40) + 97 * l_linenumber AS int)"
+FETCH_DAYS_BASE = CHAIN_BASE.replace("timestamp '2024-01-02 19:30:00'", _FETCHED)
+
 AS_OF = "2024-01-02"
 CLOSE_EQUITY = "2024-01-02 21:00:00"
 CLOSE_INDEX = "2024-01-02 21:15:00"
@@ -108,9 +112,12 @@ CONTRACT_PAIRS = (
 )
 
 
-def chains(spark: SparkSession, sf_dir: str) -> DataFrame:
+FETCH_DAYS_PAIRS = CONTRACT_PAIRS.replace(CHAIN_BASE, FETCH_DAYS_BASE)
+
+
+def chains(spark: SparkSession, sf_dir: str, base_sql: str = CHAIN_BASE) -> DataFrame:
     """A chain document per lineitem with one call and one put, nested by expiry and strike."""
-    base = derived(spark, sf_dir, CHAIN_BASE, wide=("lineitem",))
+    base = derived(spark, sf_dir, base_sql, wide=("lineitem",))
 
     def side(name: str):
         fields = contract_fields(f"'{name}'")

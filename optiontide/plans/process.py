@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from optiontide.operators.chain import attach_dividends
 from optiontide.operators.quality import observe_quality
 from optiontide.operators.tables import conform
-from optiontide.plans.enrich import enrich_contracts
+from optiontide.plans.enrich import enrich_fetch_day
 from optiontide.schemas import output_schema
 from optiontide.sources.chains import decode_chain_payload, gunzip
 from optiontide.streaming.job import epoch_sink, run_stream
@@ -30,7 +30,7 @@ def process_messages(
 
     Messages that cannot be read, or hold no symbol, give no rows (``run_contract_job`` can keep them). With
     ``fundamentals`` the dividend amounts come from there instead of the chain.
-    ``options`` go to ``enrich_contracts``.
+    ``options`` go to ``enrich_fetch_day``.
     """
     chains = decode_chain_payload(messages).withColumnRenamed("symbol", "ticker")
     # Emptied rather than filtered out: a filter would be pushed below the parser and parse each chain twice.
@@ -38,7 +38,7 @@ def process_messages(
     chains = chains.withColumns({side: F.when(named, F.col(side)) for side in ("callExpDateMap", "putExpDateMap")})
     if fundamentals is not None:
         chains = attach_dividends(chains, fundamentals, "ticker")
-    return conform(enrich_contracts(chains, schedule, params, close_equity, close_index, carry=("ticker",), **options), output_schema())
+    return conform(enrich_fetch_day(chains, schedule, params, close_equity, close_index, carry=("ticker",), **options), output_schema())
 
 
 def message_states(messages: DataFrame) -> DataFrame:

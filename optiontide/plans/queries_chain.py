@@ -13,7 +13,7 @@ from optiontide.operators import sessions as SS
 from optiontide.operators import tables as TB
 from optiontide.plans import derived as D
 from optiontide.plans import oracle_sql as O
-from optiontide.plans.enrich import enrich_contracts, volatility_by_month
+from optiontide.plans.enrich import PARAMS, enrich_contracts, enrich_fetch_day, volatility_by_month
 from optiontide.plans.registry import query, rounded
 from optiontide.schemas import output_schema
 
@@ -501,7 +501,7 @@ def _(spark, sf):
 
 
 def enriched(spark, sf, **options):
-    return enrich_contracts(
+    return enrich_fetch_day(
         D.chains(spark, sf), schedule(spark, sf), CURVE, F.lit(D.CLOSE_EQUITY), F.lit(D.CLOSE_INDEX), **options
     )
 
@@ -532,6 +532,47 @@ def _(spark, sf):
     return rounded(rounded(rounded(out, 7, "t"), 8, "r", "q"), 5, "max_iv", "min_iv")
 
 
+# Curves of three days; a fetch day takes the newest one up to it.
+CURVES = (("2024-01-01", 0.04), ("2024-01-15", 0.045), ("2024-02-01", 0.035))
+_FETCH_DAYS = (
+    "p AS MATERIALIZED (SELECT *, CAST(fetchTime - INTERVAL 5 HOUR AS date) AS f, CAST(substr(expirationDate, 1, 10) AS date) AS x FROM ("
+    + D.oracle_text(D.FETCH_DAYS_PAIRS) + ") p0), days AS (SELECT CAST(unnest(generate_series(min(f), max(x), INTERVAL 1 DAY)) AS date) AS day FROM p),"
+    " h AS (SELECT day, isodow(day) < 6 AND day(day) <> 25 AS is_session, CASE WHEN NOT is_session THEN 0 WHEN day(day) = 24 THEN 3.5::double ELSE 6.5"
+    " END AS e, CASE WHEN NOT is_session THEN 0 WHEN day(day) = 24 THEN 3.75::double ELSE 6.75 END AS i FROM days),"
+    " s AS (SELECT day, is_session, epoch(day + INTERVAL '14 hours 30 minutes') AS opened, e, i, sum(e) OVER (ORDER BY day) AS ce, sum(i) OVER (ORDER BY day) AS ci FROM h),"
+    " k AS (SELECT CAST(day AS date) AS since, b0, coalesce(lead(CAST(day AS date)) OVER (ORDER BY day), date '9999-01-01') AS until FROM (VALUES "
+    + ", ".join(f"('{d}', {b}::double)" for d, b in CURVES) + ") v(day, b0)),"
+    " tt AS (SELECT p.*, k.b0, CASE WHEN b.is_session AND x > f THEN CASE WHEN NOT a.is_session THEN 0 WHEN isIndex THEN greatest(a.opened + 3600 * a.i -"
+    " epoch(fetchTime), 0) / 6123600 ELSE greatest(a.opened + 3600 * a.e - epoch(fetchTime), 0) / 5896800 END + CASE WHEN isIndex THEN (b.ci - a.ci)"
+    " / 1701 ELSE (b.ce - a.ce) / 1638 END END AS t FROM p LEFT JOIN s a ON a.day = f LEFT JOIN s b ON b.day = x LEFT JOIN k ON f >= since AND f < until),"
+    " c AS MATERIALIZED (SELECT *, ln(1 + " + O.svensson("t", CURVE) + " + b0 - 0.04::double) AS r FROM tt)"
+)
+
+
+@query(
+    "fn15_enrich_fetch_days",
+    f"WITH RECURSIVE {_FETCH_DAYS}, q AS (SELECT symbol, putCall, underlyingPrice, strikePrice, mark, t, r, fetchTime, dividendAmount, isIndex FROM c WHERE"
+    " mark > intrinsicValue AND exerciseType = 'E' AND t IS NOT NULL), " + O.implied_vols("SELECT * FROM q", "symbol, fetchTime, dividendAmount, isIndex")
+    + ", every AS (SELECT symbol, fetchTime, dividendAmount, isIndex, count(*) AS contracts, count(CASE WHEN mark > intrinsicValue THEN t END) AS"
+    " with_t, round(max(CASE WHEN mark > intrinsicValue THEN t END), 9) AS t, round(max(CASE WHEN mark > intrinsicValue THEN r END), 9) AS r FROM c GROUP BY ALL),"
+    " solved AS (SELECT symbol, fetchTime, dividendAmount, isIndex, count(iv) AS solved, round(max(iv), 5) AS max_iv, round(min(iv), 5) AS min_iv FROM vols"
+    " GROUP BY ALL) SELECT e.symbol, strftime(e.fetchTime, '%Y-%m-%d %H:%M:%S.%f') AS fetched, e.dividendAmount, e.isIndex, e.contracts, e.with_t, e.t, e.r,"
+    " coalesce(s.solved, 0) AS european_solved, s.max_iv, s.min_iv FROM every e LEFT JOIN solved s ON e.symbol = s.symbol AND e.fetchTime = s.fetchTime AND"
+    " e.dividendAmount = s.dividendAmount AND e.isIndex = s.isIndex",
+)
+def _(spark, sf):
+    chains = D.chains(spark, sf, D.FETCH_DAYS_BASE)
+    span = D.table(spark, sf, "lineitem").agg(F.max(F.expr(D.EXPIRY_DAY)).alias("hi"))
+    days = span.select(F.explode(F.sequence(F.lit(D.AS_OF).cast("date"), "hi")).alias("day"))
+    sessions = SS.session_table(days, days.filter("day(day) = 25"), days.filter("day(day) = 24"))
+    curves = spark.createDataFrame([(d, *{**CURVE, "beta0": b}.values()) for d, b in CURVES], f"day string, {', '.join(f'{p} double' for p in PARAMS)}")
+    rows = enrich_contracts(chains, sessions, curves, european_only=True)
+    out = rows.groupBy("symbol", F.col("fetchTime").alias("fetched"), "dividendAmount", "isIndex").agg(
+        F.count(F.lit(1)).alias("contracts"), F.count("t").alias("with_t"), F.max("t").alias("t"), F.max("r").alias("r"),
+        F.count("iv_mark").alias("european_solved"), F.max("iv_mark").alias("max_iv"), F.min("iv_mark").alias("min_iv"))
+    return rounded(rounded(out, 9, "t", "r"), 5, "max_iv", "min_iv")
+
+
 @query("fn15_volatility_by_month")
 def _(spark, sf):
     return volatility_by_month(enriched(spark, sf))

@@ -9,7 +9,9 @@ from optiontide import schemas as SCH
 from optiontide.operators import chain as CH
 from optiontide.operators import tables as TB
 from optiontide.plans import derived as D
-from optiontide.plans.enrich import enrich_contracts
+from optiontide.operators import schedule as S
+from optiontide.operators import sessions as SS
+from optiontide.plans.enrich import PARAMS, enrich_contracts, enrich_fetch_day
 from optiontide.plans.process import process_messages
 from optiontide.sources import chains as SC
 
@@ -152,7 +154,7 @@ def test_enrich_rows(spark):
     chains = SC.parse_chain(spark.createDataFrame([(json.dumps(d),) for d in docs], "text string"), "text")
     schedule = spark.createDataFrame([("2024-01-19", 0.05, 0.06)], "iso_date string, T_eqo double, T_ind double")
     params = {"beta0": 0.04, "beta1": 0.0, "beta2": 0.0, "beta3": 0.0, "tau1": 1.0, "tau2": 2.0}
-    out = enrich_contracts(chains, schedule, params, F.lit("2024-01-02 21:00:00"), F.lit("2024-01-02 21:15:00"))
+    out = enrich_fetch_day(chains, schedule, params, F.lit("2024-01-02 21:00:00"), F.lit("2024-01-02 21:15:00"))
     rows = {r.symbol: r for r in out.collect()}
     assert rows["A1"].iv_mark > 0 and abs(rows["A1"].t - (0.05 + 5400 / 5896800)) < 1e-12
     assert json.loads(rows["A1"].extra).keys() == {"q", "r", "t", "dividendAmount", "isIndex"}
@@ -161,6 +163,35 @@ def test_enrich_rows(spark):
         assert json.loads(rows[s].extra).keys() == {"q", "dividendAmount", "isIndex"}
 
 
+def test_enrichment_over_fetch_days_is_that_of_each_day(spark):
+    def chains(fetched):
+        docs = [document(name, {"e": {"k": [contract(f"{name}{k}", "CALL", 90.0 + k, intrinsicValue=10.0 - k, mark=11.0 - k / 2, expirationDate=day)]}}, {})
+                for name in "AB" for k, day in enumerate(("2024-01-19T21:00:00.000+00:00", "2024-03-15T20:00:00.000+00:00", "2024-01-20T21:00:00.000+00:00"))]
+        parsed = SC.parse_chain(spark.createDataFrame([(json.dumps(d),) for d in docs], "text string"), "text")
+        return parsed.withColumn("fetchTime", F.lit(fetched).cast("timestamp"))
+
+    days = spark.sql("SELECT explode(sequence(date'2024-01-01', date'2024-03-31')) AS day")
+    sessions = SS.session_table(days)
+    curves = [("2024-01-02", 0.04), ("2024-01-09", 0.05)]
+    rest = {"beta1": 0.01, "beta2": 0.0, "beta3": 0.002, "tau1": 1.0, "tau2": 2.0}
+    table = spark.createDataFrame([(d, b, *rest.values()) for d, b in curves], f"day string, {', '.join(f'{p} double' for p in PARAMS)}")
+    fetched = {"2024-01-03 15:00:00": (0.04, "2024-01-03"), "2024-01-10 20:59:00": (0.05, "2024-01-10"), "2024-01-17 22:00:00": (0.05, "2024-01-17")}
+    parts = [chains(f) for f in fetched]
+    together = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    keys = ("symbol", "fetchTime", "t", "r", "iv_mark", "extra", "q")
+    plain = lambda rows: sorted([tuple(round(v, 12) if isinstance(v, float) else v for v in r) for r in rows], key=str)
+    got = plain(enrich_contracts(together, sessions, table).select(*keys).collect())
+    want = []
+    for f, (beta0, day) in fetched.items():
+        one = enrich_fetch_day(chains(f), S.expiry_schedule(sessions, day), {"beta0": beta0, **rest}, F.lit(f"{day} 21:00:00"), F.lit(f"{day} 21:15:00"))
+        want += one.select(*keys).collect()
+    no_json = lambda rows: [r[:5] + r[6:] for r in rows]
+    assert no_json(got) == no_json(plain(want)) and len(got) == 18
+    assert sum(r[4] is not None for r in got) >= 8 and sum(r[2] is None for r in got) >= 6
+    before = enrich_contracts(chains("2024-01-03 15:00:00"), sessions, table.filter("day > '2024-01-05'")).collect()
+    assert all(r.r is None and r.iv_mark is None for r in before) and any(r.t is not None for r in before)
+
+
 def test_topic_and_limits():
     assert SC.topic_name(dt.date(2024, 1, 2)) == "option_chain_topic_20240102"
     assert SC.max_per_trigger(3) == 6 and SC.max_per_trigger(1, per_minute=90) == 2

@@ -149,3 +149,28 @@ def test_crr_column(frame):
     out = frame.withColumn("p", P.crr_price("S", "K", "t", "r", "q", "sigma", "putCall", steps=60)).toPandas()
     want = P.american_prices(out.S, out.K, out.t, out.r, out.q, out.sigma, out.putCall == "CALL", 60)
     assert np.allclose(out.p, want)
+
+
+def test_european_root_in_columns(spark):
+    """The fold against the array solver, over wide ranges; no Python in the plan."""
+    rng = np.random.default_rng(8)
+    n = 3000
+    rows = [(float(a), float(b), float(t), float(r), float(v), bool(c), float(e)) for a, b, t, r, v, c, e in zip(
+        rng.uniform(1, 500, n), rng.uniform(1, 500, n), np.exp(rng.uniform(-7, 1.5, n)), rng.uniform(-0.02, 0.1, n), np.exp(rng.uniform(-5, 2.5, n)),
+        rng.integers(0, 2, n), rng.normal(0, 1e-3, n), strict=True)]
+    df = spark.createDataFrame(rows, "S double, K double, t double, r double, vol double, call boolean, noise double").withColumn(
+        "putCall", F.when(F.col("call"), "CALL").otherwise("PUT"))
+    frame = df.toPandas()
+    frame["mark"] = P.european_prices(frame.S.values, frame.K.values, frame.t.values, frame.r.values, frame.vol.values, frame.call.values)[0] + frame.noise
+    priced = spark.createDataFrame(frame)
+    found = priced.withColumn("iv", P.implied_vol("mark", "S", "K", "t", "r", F.lit(0.0), "putCall", F.lit("E")))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+    out = found.toPandas()
+    want = P.european_vols(out.mark.values, out.S.values, out.K.values, out.t.values, out.r.values, out.call.values)
+    assert (np.isfinite(want) == out.iv.notna().values).all()
+    both = np.isfinite(want)
+    price = lambda v: P.european_prices(out.S.values, out.K.values, out.t.values, out.r.values, v, out.call.values)[0][both]
+    close = np.abs(out.iv.values[both] - want[both]) < 1e-7
+    same_price = np.abs(price(out.iv.values) - out.mark.values[both]) < 1e-9 * out.S.values[both] + 1e-9  # where the price is flat, any volatility fits
+    assert (close | same_price).all() and close.mean() > 0.9

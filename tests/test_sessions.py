@@ -51,3 +51,28 @@ def test_history_windows(spark, year):
     for bad in (dict(period=7, as_of="2024-01-16"), dict(period=1, start="2024-01-01", end="2024-01-02"), dict()):
         with pytest.raises(ValueError):
             B.history_window(sessions, "day", **bad)
+
+
+def test_rules_begin_with_a_year_and_single_days_are_added(spark):
+    days = spark.createDataFrame(
+        [(d,) for d in ("2020-06-19", "2021-06-18", "2022-06-20", "1997-01-20", "1998-01-19", "2012-10-29", "1990-11-23", "2024-11-29")], "day string")
+    got = {r.day: r.h for r in days.select("day", SS.is_exchange_holiday(F.col("day").cast("date")).alias("h")).collect()}
+    assert got == {"2020-06-19": False, "2021-06-18": False, "2022-06-20": True, "1997-01-20": False, "1998-01-19": True, "2012-10-29": False,
+                   "1990-11-23": False, "2024-11-29": False}
+    early = {r.day: r.e for r in days.select("day", SS.closes_early(F.col("day").cast("date")).alias("e")).collect()}
+    assert not early["1990-11-23"] and early["2024-11-29"]
+    storm = spark.createDataFrame([("2012-10-29",), ("2012-10-29",)], "day string")
+    open_days = {str(r.iso_date) for r in SS.session_table(days, also_closed=storm).collect()}
+    assert open_days == {"2020-06-19", "2021-06-18", "1997-01-20", "1990-11-23", "2024-11-29"}
+    none = spark.createDataFrame([], "day string")
+    assert SS.session_table(days, closures=none, also_closed=storm).count() == 7
+
+
+def test_session_left_by_fetch_day(spark, year):
+    rows = [("2024-01-02 19:30:00", False, 1.5 / 1638), ("2024-01-02 19:30:00", True, 1.75 / 1701), ("2024-01-03 02:00:00", False, 0.0),
+            ("2024-01-06 15:00:00", False, 0.0), ("2024-07-03 16:00:00", False, 1 / 1638), (None, False, None)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "id int, f string, isIndex boolean, want double").withColumn("fetchTime", F.col("f").cast("timestamp"))
+    out = {r.id: r for r in SS.attach_session_left(df, SS.session_table(year)).collect()}
+    for i, (_, _, want) in enumerate(rows):
+        assert out[i].time_remaining == (None if want is None else pytest.approx(want))
+    assert str(out[2].fetch_day) == "2024-01-02"  # nine in the evening at the exchange
