@@ -192,11 +192,28 @@ def _(spark, sf):
     epochs, target = run_dir(spark, "epochs"), run_dir(spark, "stored")
     for run in ("a", "b"):
         J.run_stream(_line_stream(spark, sf), J.epoch_sink(epochs, run=run), run_dir(spark, "checkpoint"), trigger=None).awaitTermination()
-        SK.merge_epochs(spark, epochs, target, ["order_id"], ["line", "price"], F.lit("all"))
-    assert SK.merge_epochs(spark, epochs, target, ["order_id"], ["line", "price"], F.lit("all")) == 0
+        SK.merge_epochs(spark, epochs, target, ["order_id"], ["line", "price"])
+    assert SK.merge_epochs(spark, epochs, target, ["order_id"], ["line", "price"]) == 0
     return SK.read_table(spark, target)
 
 
+@query(
+    "str3_merge_changing_days",
+    "SELECT l_orderkey AS order_id, strftime(arg_max(l_shipdate, l_linenumber), '%Y-%m-%d') AS day, max(l_linenumber) AS line FROM lineitem GROUP BY 1",
+)
+def _(spark, sf):
+    # lines of an order come on days of their own, in runs "1" and "01"; each merge leaves one row of an order, with the last line's day
+    epochs, target = run_dir(spark, "epochs"), run_dir(spark, "stored")
+    lines = D.table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("order_id"), F.date_format("l_shipdate", "yyyy-MM-dd").alias("day"), F.col("l_linenumber").cast("int").alias("line"))
+    for epoch, parts in enumerate((("1", "line % 3 = 0"), ("01", "line % 3 = 1"), ("1", "line % 3 = 2"))):
+        SK.write_epoch(lines.filter(parts[1]), epochs, epoch, parts[0])
+        assert SK.merge_epochs(spark, epochs, target, ["order_id"], ["line"], buckets=8) == 1
+    first = SK.read_table(spark, target, version=1)  # readers of an earlier version still see it whole
+    given = lines.filter("line % 3 = 0").select("order_id").distinct().count()
+    return SK.read_table(spark, target).filter(F.lit(first.count() == given))
+
+
 @query(
     "str1_quarantined_messages",
     "SELECT CASE WHEN l_orderkey % 9 = 0 THEN 'unreadable' WHEN l_orderkey % 10 = 0 THEN 'not_json' WHEN l_orderkey % 11 = 0 THEN 'no_symbol'"

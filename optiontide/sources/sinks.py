@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from optiontide.operators.ordered import with_ordinal
 from optiontide.operators.tables import latest_per_key, without_keys
 from optiontide.session import shuffle_width
+from optiontide.sources.versions import merge_folders, read_version
 
 JDBC_DEFAULTS = {"batchsize": "5000", "useBulkCopyForBatchInsert": "true", "cacheBulkCopyMetadata": "true"}
 
@@ -26,14 +28,23 @@ def write_epoch(df: DataFrame, path: str, epoch: int, run: str = "default") -> N
     """Write one epoch of one run into an epoch table; writing it again replaces it.
 
     Epoch numbers start anew with every checkpoint, so ``run`` has to tell
-    checkpoints (days, topics) apart.
+    checkpoints (days, topics) apart. It names a folder, so it is letters, digits, dots, dashes and underscores.
     """
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", run):
+        raise ValueError(f"a run can't be called {run!r}")
     df.write.mode("overwrite").parquet(f"{path}/run={run}/epoch={epoch}")
 
 
-def read_epochs(spark: SparkSession, path: str) -> DataFrame:
-    """All rows of an epoch table with their ``run`` and ``epoch``."""
-    return spark.read.parquet(path).withColumn("run", F.col("run").cast("string"))
+def read_epochs(spark: SparkSession, path: str, ids: Sequence[tuple[str, int]] | None = None) -> DataFrame:
+    """All rows of an epoch table (or of the given runs and epochs) with their ``run`` and ``epoch``.
+
+    Runs are read as text, so ``1`` and ``01`` stay apart.
+    """
+    folders = [path] if ids is None else [f"{path}/run={run}/epoch={epoch}" for run, epoch in ids]
+    found = spark.read.option("basePath", path).parquet(*folders).schema
+    kinds = {"run": T.StringType(), "epoch": T.LongType()}
+    typed = T.StructType([T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found])
+    return spark.read.schema(typed).option("basePath", path).parquet(*folders)
 
 
 def read_merged(spark: SparkSession, path: str, keys: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -41,56 +52,29 @@ def read_merged(spark: SparkSession, path: str, keys: Sequence[str], order: Sequ
     return latest_per_key(read_epochs(spark, path), keys, [*order, "epoch", "run"]).drop("run", "epoch")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    there = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return there.getFileSystem(spark._jsc.hadoopConfiguration()).exists(there)
+#: Epochs that one version takes.
+MOST_EPOCHS = 10_000
 
 
-def merge_epochs(spark: SparkSession, epochs: str, table: str, keys: Sequence[str], order: Sequence[Column | str],
-                 day: Column, buckets: int = 16) -> int:
+def merge_epochs(spark: SparkSession, epochs: str, table: str, keys: Sequence[str], order: Sequence[Column | str], buckets: int = 64) -> int:
     """Merge the epochs that ``table`` has not taken yet into it; returns how many there were.
 
-    The table is partitioned by ``day`` and a hash of the first key. Only
-    partitions that new rows touch are read and rewritten, from a staged copy.
-    Taken epochs are noted last: a merge that broke off is done again, and
-    merging the same rows twice changes nothing. Read with ``read_table``.
+    The table is kept in versions (see ``versions``), its rows dealt to ``buckets`` by a hash of the whole key; the
+    number is fixed by the first merge and should leave a few GB in a bucket. Epochs whose write has not ended wait for a later
+    merge. A merge that broke off changes nothing and is done again. Read with ``read_table``.
     """
-    seen = f"{table}/taken"
-    epochs_ = read_epochs(spark, epochs)
-    all_ids = epochs_.select("run", "epoch").distinct()
-    new = all_ids.join(spark.read.parquet(seen), ["run", "epoch"], "left_anti") if _exists(spark, seen) else all_ids
-    new = new.persist()
-    try:
-        count = new.count()
-        if not count:
-            return 0
-        place = {"part_day": day.cast("string"), "part": F.pmod(F.xxhash64(keys[0]), F.lit(buckets)).cast("int")}
-        fresh = epochs_.join(F.broadcast(new), ["run", "epoch"])  # one row per epoch
-        fresh = latest_per_key(fresh, keys, [*order, "epoch", "run"]).drop("run", "epoch").withColumns(place)
-        staged = f"{table}/staged/{uuid.uuid4().hex}"
-        fresh.write.parquet(f"{staged}/fresh")
-        fresh = spark.read.schema(fresh.schema).parquet(f"{staged}/fresh")
-        merged = fresh
-        if _exists(spark, f"{table}/rows"):
-            touched = fresh.select("part_day", "part").distinct()
-            old = _rows(spark, table, fresh.schema).join(touched, ["part_day", "part"], "left_semi")
-            merged = latest_per_key(old.unionByName(fresh), keys, order)
-        merged.write.parquet(f"{staged}/merged")
-        again = spark.read.schema(fresh.schema).parquet(f"{staged}/merged").repartition("part_day", "part")
-        again.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("part_day", "part").parquet(f"{table}/rows")
-        new.coalesce(1).write.mode("append").parquet(seen)
-        return count
-    finally:
-        new.unpersist()
-
-
-def _rows(spark: SparkSession, table: str, schema) -> DataFrame:
-    return spark.read.schema(schema).parquet(f"{table}/rows")
-
-
-def read_table(spark: SparkSession, table: str) -> DataFrame:
-    """Rows of a table that ``merge_epochs`` keeps."""
-    return spark.read.parquet(f"{table}/rows").drop("part_day", "part")
+    count = 0
+    while taken := merge_folders(spark, lambda ids: read_epochs(spark, epochs, ids), epochs, table, keys, order, buckets, MOST_EPOCHS):
+        count += taken
+    return count
+
+
+def read_table(spark: SparkSession, table: str, version: int | None = None) -> DataFrame:
+    """Rows of a table that ``merge_epochs`` keeps, as of its newest version or an earlier one that is still there."""
+    rows = read_version(spark, table, version)
+    if rows is None:
+        raise ValueError(f"no rows in {table}")
+    return rows
 
 
 def write_with_fallback(df: DataFrame, primary: Callable[[DataFrame], None], fallback_dir: str, day: str, epoch: int,

@@ -8,6 +8,7 @@ from optiontide.operators.quality import malformed_ratio, observe_quality
 from optiontide.plans.process import process_messages, run_contract_job
 from optiontide.session import shared_dir
 from optiontide.sources import sinks as SK
+from optiontide.sources import versions as V
 from optiontide.sources.chains import parse_chain, publish_chains, read_chain_stream
 from optiontide.streaming.job import MERGE_KEYS, epoch_sink, fallback_sink, run_stream
 from optiontide.streaming.listener import ProgressListener, QualityListener
@@ -48,7 +49,7 @@ def test_merge_into_a_stored_table(spark, tmp_path):
         return spark.createDataFrame(values, "k string, day string, v int")
 
     def merge():
-        return SK.merge_epochs(spark, epochs, table, ["k", "day"], ["v"], F.col("day"), buckets=2)
+        return SK.merge_epochs(spark, epochs, table, ["k", "day"], ["v"], buckets=2)
 
     SK.write_epoch(rows(("a", "d1", 1), (None, "d1", 5), ("b", "d2", 1)), epochs, 0, "x")
     assert merge() == 1
@@ -59,6 +60,85 @@ def test_merge_into_a_stored_table(spark, tmp_path):
     assert got == [("", "d1", 5), ("a", "d1", 2), ("b", "d2", 1), ("c", "d3", 1)]
 
 
+def _rows(spark, *values):
+    return spark.createDataFrame(values, "k string, day string, v int")
+
+
+def _table(spark, table, version=None):
+    return sorted((r.k, r.day, r.v) for r in SK.read_table(spark, table, version).collect())
+
+
+def test_a_key_whose_day_changes_stays_one_row(spark, tmp_path):
+    epochs, table = str(tmp_path / "e"), str(tmp_path / "t")
+    SK.write_epoch(_rows(spark, ("a", "d1", 1), ("b", "d1", 1)), epochs, 0)
+    assert SK.merge_epochs(spark, epochs, table, ["k"], ["v"]) == 1
+    SK.write_epoch(_rows(spark, ("a", "d2", 2)), epochs, 1)
+    assert SK.merge_epochs(spark, epochs, table, ["k"], ["v"]) == 1
+    assert _table(spark, table) == [("a", "d2", 2), ("b", "d1", 1)]
+    SK.write_epoch(_rows(spark, ("a", "d3", 2)), epochs, 2)  # equal order: the later epoch holds, as in a merge of everything at once
+    assert SK.merge_epochs(spark, epochs, table, ["k"], ["v"]) == 1
+    assert _table(spark, table) == [("a", "d3", 2), ("b", "d1", 1)]
+    merged = sorted((r.k, r.day, r.v) for r in SK.read_merged(spark, epochs, ["k"], ["v"]).collect())
+    assert merged == _table(spark, table)
+
+
+def test_runs_are_text(spark, tmp_path):
+    epochs, table = str(tmp_path / "e"), str(tmp_path / "t")
+    for run in ("1", "01", "1.0"):
+        SK.write_epoch(_rows(spark, (run, "d", 1)), epochs, 0, run)
+    assert sorted(r.run for r in SK.read_epochs(spark, epochs).collect()) == ["01", "1", "1.0"]
+    assert SK.merge_epochs(spark, epochs, table, ["k"], ["v"]) == 3
+    assert [r[0] for r in _table(spark, table)] == ["01", "1", "1.0"]
+    for bad in ("a/b", "", "x=1", "p%2F"):
+        with pytest.raises(ValueError):
+            SK.write_epoch(_rows(spark, ("a", "d", 1)), epochs, 0, bad)
+
+
+def test_half_written_epochs_and_versions_wait(spark, tmp_path):
+    epochs, table = tmp_path / "e", str(tmp_path / "t")
+    SK.write_epoch(_rows(spark, ("a", "d", 1)), str(epochs), 0)
+    SK.write_epoch(_rows(spark, ("b", "d", 1)), str(epochs), 1)
+    marker = epochs / "run=default" / "epoch=1" / "_SUCCESS"
+    marker.unlink()
+    assert SK.merge_epochs(spark, str(epochs), table, ["k"], ["v"]) == 1 and _table(spark, table) == [("a", "d", 1)]
+    marker.touch()  # its write ends
+    broken = tmp_path / "t" / "manifests" / "version=2"  # a merge that broke off before its marker
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_bytes(b"half")
+    assert _table(spark, table) == [("a", "d", 1)]
+    assert SK.merge_epochs(spark, str(epochs), table, ["k"], ["v"]) == 1
+    assert _table(spark, table) == [("a", "d", 1), ("b", "d", 1)] and V.versions(spark, table) == [1, 3]
+
+
+def test_readers_keep_their_version_until_it_expires(spark, tmp_path):
+    epochs, table = str(tmp_path / "e"), str(tmp_path / "t")
+    for epoch in range(4):
+        SK.write_epoch(_rows(spark, *[(f"k{i}", f"d{epoch}", epoch) for i in range(epoch, 8)]), epochs, epoch)
+        SK.merge_epochs(spark, epochs, table, ["k"], ["v"], buckets=3)
+    opened = SK.read_table(spark, table, 2)
+    assert {r.v for r in opened.collect()} == {0, 1}
+    assert V.expire_versions(spark, table, keep=2) == [1, 2] and V.versions(spark, table) == [3, 4]
+    assert [(r[0], r[2]) for r in _table(spark, table)] == [(f"k{i}", min(i, 3)) for i in range(8)]
+    assert {r[2] for r in _table(spark, table, 3)} == {0, 1, 2}
+    with pytest.raises(ValueError):
+        SK.read_table(spark, table, 1)
+    with pytest.raises(ValueError):
+        V.expire_versions(spark, table, keep=0)
+
+
+def test_epochs_without_rows_and_many_at_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(SK, "MOST_EPOCHS", 2)
+    epochs, table = str(tmp_path / "e"), str(tmp_path / "t")
+    SK.write_epoch(_rows(spark, ("a", "d", 1)).limit(0), epochs, 0)
+    assert SK.merge_epochs(spark, epochs, table, ["k"], ["v"]) == 1 and V.versions(spark, table) == [1]
+    with pytest.raises(ValueError):
+        SK.read_table(spark, table)
+    for epoch in range(1, 6):
+        SK.write_epoch(_rows(spark, ("a", "d", epoch), (None, "d", 9 - epoch)), epochs, epoch)
+    assert SK.merge_epochs(spark, epochs, table, ["k"], ["v"]) == 5 and V.versions(spark, table) == [1, 2, 3, 4]
+    assert {(r.k, r.v) for r in SK.read_table(spark, table).collect()} == {("a", 5), (None, 8)}
+
+
 def test_quarantine(spark, tmp_path):
     publish_chains(parse_chain(spark.createDataFrame([('{"symbol":"Q"}',), ("{}",)], "text string"), "text"), str(tmp_path / "in"))
     spark.createDataFrame([(b"x", b"broken"), (b"y", None)], "key binary, value binary").write.mode("append").parquet(str(tmp_path / "in"))
