@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from optiontide.operators.ordered import fit_bucket_seconds, rolling_rows, time_bucket, with_previous
+from optiontide.operators.ordered import rolling_rows, time_bucket, with_previous
 from optiontide.operators.tables import latest_per_key, nth_from_end, upsert
 
 BAR_VALUES = ("open", "close", "high", "low", "volume")
@@ -128,14 +128,18 @@ def upsert_bars(bars: DataFrame, new: DataFrame, order: Sequence[str] = ("ts",))
     return upsert(new, bars, ["symbol", "ts"], order)
 
 
+def _cut(ts: str, seconds: float | None) -> Column | None:
+    """Ranges of a fixed width along time, or none: then places are sampled when the query runs."""
+    return time_bucket(ts, seconds) if seconds else None
+
+
 def daily_returns(bars: DataFrame, price: str = "close", by: Sequence[str] = ("symbol",), ts: str = "ts",
                   tie: Sequence[str] = (), name: str = "ret", bucket_seconds: float | None = None) -> DataFrame:
     """Change of ``price`` against the row before, per symbol; null on the first row and after a zero.
 
-    Each symbol is cut along time; the cut is fitted to the data unless given.
+    Each symbol is cut along time, at sampled places unless a width is given; no job runs before the first action.
     """
-    width = bucket_seconds or fit_bucket_seconds(bars, by, ts)
-    prior = with_previous(bars, by, [ts, *tie], price, time_bucket(ts, width), "__prev")
+    prior = with_previous(bars, by, [ts, *tie], price, _cut(ts, bucket_seconds), "__prev")
     return prior.withColumn(name, F.try_divide(F.col(price), F.col("__prev")) - 1).drop("__prev")
 
 
@@ -163,10 +167,9 @@ def rolling_many(bars: DataFrame, outputs: dict[str, tuple[str, int, str]], by:
                  block_rows: int = 65536) -> DataFrame:
     """Several rolling columns over one partitioning: name -> (column, n, function).
 
-    Each symbol is cut along time; the cut is fitted to the data unless given.
+    Each symbol is cut along time, at sampled places unless a width is given; no job runs before the first action.
     """
-    width = bucket_seconds or fit_bucket_seconds(bars, by, ts)
-    return rolling_rows(bars, by, [ts, *tie], time_bucket(ts, width), outputs, block_rows)
+    return rolling_rows(bars, by, [ts, *tie], _cut(ts, bucket_seconds), outputs, block_rows)
 
 
 def last_rows(bars: DataFrame, by: Sequence[str] = ("symbol",), ts: str = "ts", tie: Sequence[str] = ()) -> DataFrame:

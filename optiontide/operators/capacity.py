@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from optiontide.operators.ordered import trailing_count
+from optiontide.operators.ordered import trailing_count, with_ordinal
 
 WINDOW_SECONDS = 60
 
@@ -72,7 +72,7 @@ def capacity_summary(requests: DataFrame, limits: DataFrame, as_of: Column | str
 def project_schedule(requests: DataFrame, limits: DataFrame, as_of: Column | str, include_queued: bool = False) -> DataFrame:
     """Clients in order of their next slot, with the capacity they will have then.
 
-    One row per client is ranked; requests are only counted.
+    Clients are numbered range by range between sampled places of the order; requests are only counted.
     """
     states = next_available(requests, limits, as_of, include_queued)
     recent = requests.filter(F.col("ts").cast("timestamp") >= _window_start(as_of)).select(
@@ -88,8 +88,9 @@ def project_schedule(requests: DataFrame, limits: DataFrame, as_of: Column | str
         # queued requests are served by slots that have opened by then
         free = free - F.least("queued", F.coalesce("__purged", F.lit(0)))
     placed = states.join(counts, "client", "left").withColumn("projected_capacity", free)
-    w = W.orderBy("next_ts", "client")
-    return placed.select("client", "next_ts", "projected_capacity", F.row_number().over(w).alias("position"))
+    # null slots come first in both forms of the order; clients of one slot are cut by client
+    return with_ordinal(placed.select("client", "next_ts", "projected_capacity"), [], ["next_ts", "client"], name="position").withColumn(
+        "position", F.col("position").cast("int"))
 
 
 def trailing_request_rate(requests: DataFrame, seconds: int = WINDOW_SECONDS, name: str = "rate") -> DataFrame:

@@ -26,42 +26,69 @@ def time_bucket(ts: Column | str, seconds: float) -> Column:
     return F.floor(micros / F.lit(round(seconds * 1_000_000)))
 
 
-# Bucket widths in seconds, widest first. The narrowest is one microsecond,
-# the resolution of a timestamp.
-WIDTHS = (86400, 3600, 60, 1, 0.001, 0.000001)
-BUCKET_ROWS = 4_000_000
+#: Cut points of a table: with n rows a range between two of them holds about n / CUTS of the distinct places.
+CUTS = 4096
 
 
-def fit_bucket_seconds(df: DataFrame, keys: Sequence[str], ts: str, limit: int = BUCKET_ROWS) -> float:
-    """The widest bucket of ``WIDTHS`` in which no key has more than ``limit`` rows.
+def _place(columns: Sequence[Column | str]) -> Column:
+    return F.struct(*[_col(c).alias(f"c{i}") for i, c in enumerate(columns)])
 
-    Reads only the key and time columns and brings back one number. The widest
-    buckets are few, so their counts are mostly added up on the map side; a
-    narrower width is tried only when a bucket is over the limit.
+
+def cut_points(df: DataFrame, columns: Sequence[Column | str], parts: int | None = None) -> DataFrame:
+    """One row with ``cuts``: up to ``parts`` places (structs of ``columns``) in order, spread evenly over the distinct places of ``df``.
+
+    Places are dealt to ``parts`` by hash, and each part keeps its least hash, which adds up on the map side; the places of these hashes
+    are the sample. Any sortable types will do, long common prefixes or wide gaps make no difference, and nothing is read before an action.
     """
-    key = F.struct(*keys) if keys else F.lit(0)
-    for width in WIDTHS[:-1]:
-        sizes = df.groupBy(key.alias("k"), time_bucket(ts, width).alias("b")).agg(F.count(F.lit(1)).alias("n"))
-        if (sizes.agg(F.max("n")).first()[0] or 0) <= limit:
-            return width
-    return WIDTHS[-1]
+    parts = parts or CUTS
+    mark = F.xxhash64(*[_col(c) for c in columns])
+    least = df.select(mark.alias("h")).groupBy(F.pmod("h", F.lit(parts)).alias("part")).agg(F.min("h").alias("__least"))
+    chosen = df.select(_place(columns).alias("place"), mark.alias("h")).join(F.broadcast(least.select("__least")), F.col("h") == F.col("__least"))
+    return chosen.select("place").distinct().agg(F.sort_array(F.collect_list("place")).alias("cuts"))  # up to ``parts`` places
+
 
+def _passed(cuts: str, place: Column, parts: int) -> Column:
+    """How many of the sorted cut points in the column ``cuts`` are not behind ``place``: a binary search.
+
+    The column is named once, so that the optimiser puts the subquery it stands for in its place and no row carries the cuts.
+    """
+    steps = F.array(*[F.lit(1 << k) for k in range(parts.bit_length(), -1, -1)])
 
-def _bucketed(df: DataFrame, keys: Sequence[str], bucket: Column) -> DataFrame:
+    def search(x: Column) -> Column:
+        return F.aggregate(steps, F.lit(0), lambda n, far: F.when(F.get(x["cuts"], n + far - 1) <= x["place"], n + far).otherwise(n))
+
+    return F.get(F.transform(F.array(F.struct(F.col(cuts).alias("cuts"), place.alias("place"))), search), F.lit(0))
+
+
+def with_order_bucket(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], name: str, parts: int | None = None, source: DataFrame | None = None
+) -> DataFrame:
+    """``df`` with a number that does not decrease along ``keys``, then ``order``, and cuts the table (or ``source``) into even ranges.
+
+    A key that holds a third of the rows is cut a third of the times, a small key hardly ever. The cut points are a scalar subquery:
+    they are found when the query runs.
+    """
+    columns, parts = [*keys, *order], parts or CUTS
+    cuts = cut_points(df if source is None else source, columns, parts).scalar()
+    return df.withColumn("__cuts", cuts).withColumn(name, _passed("__cuts", _place(columns), parts)).drop("__cuts")
+
+
+def _bucketed(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], bucket: Column | None) -> DataFrame:
     # A struct key is never null itself, so null keys form a group and still
     # join by plain equality, which keeps the partitioning of the window.
-    return df.withColumns({_KEY: F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0), _BUCKET: bucket})
+    keyed = df.withColumn(_KEY, F.struct(*[F.col(k) for k in keys]) if keys else F.lit(0))
+    return with_order_bucket(keyed, keys, order, _BUCKET) if bucket is None else keyed.withColumn(_BUCKET, bucket)
 
 
 def with_ordinal(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], bucket: Column, name: str = "ordinal"
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], bucket: Column | None = None, name: str = "ordinal"
 ) -> DataFrame:
     """1-based position of each row within its key.
 
-    ``bucket`` must not decrease along ``order``. Rows are numbered inside
+    ``bucket`` must not decrease along ``order``; without one the table is cut at sampled places. Rows are numbered inside
     (key, bucket), and the sizes of earlier buckets are added.
     """
-    cut = _bucketed(df, keys, bucket)
+    cut = _bucketed(df, keys, order, bucket)
     local = W.partitionBy(_KEY, _BUCKET).orderBy(*[_col(c) for c in order])
     before = W.partitionBy(_KEY).orderBy(_BUCKET).rowsBetween(W.unboundedPreceding, -1)
     sizes = cut.groupBy(_KEY, _BUCKET).agg(F.count(F.lit(1)).alias("__n"))
@@ -75,14 +102,14 @@ def with_ordinal(
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: str, bucket: Column, name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: str, bucket: Column | None, name: str
 ) -> DataFrame:
     """``value`` of the row before, per key.
 
     Inside a bucket it is a lag; the first row of a bucket takes the last value
     of the nearest earlier bucket that has rows.
     """
-    cut = _bucketed(df, keys, bucket)
+    cut = _bucketed(df, keys, order, bucket)
     ordering = [_col(c) for c in order]
     local = W.partitionBy(_KEY, _BUCKET).orderBy(*ordering)
     # the value travels in a struct, so a null value is a last value like any other
@@ -123,7 +150,7 @@ def rolling_rows(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column | str],
-    bucket: Column,
+    bucket: Column | None,
     outputs: dict[str, tuple[str, int, str]],
     block_rows: int = 65536,
 ) -> DataFrame:
@@ -158,22 +185,41 @@ def rolling_rows(
     )
 
 
+def _apart(cuts: Column, seconds: int) -> Column:
+    """Cut points of (key, time) without those that follow the one kept before, of the same key, by less than ``seconds``."""
+    micros = seconds * 1_000_000
+
+    def step(kept: Column, cut: Column) -> Column:
+        last = F.get(kept, F.size(kept) - 1)
+        near = (last["c0"] == cut["c0"]) & (cut["c1"] - last["c1"] < micros)
+        return F.when(F.coalesce(near, F.lit(False)), kept).otherwise(F.concat(kept, F.array(cut)))
+
+    return F.aggregate(cuts, F.slice(cuts, 1, 0), step)
+
+
 def trailing_count(
     df: DataFrame, keys: Sequence[str], ts: str, seconds: int, name: str, bucket_seconds: float | None = None
 ) -> DataFrame:
     """Rows of the same key in the ``seconds`` up to and including each row's time.
 
-    Buckets overlap by the window: a row near the end of a bucket is repeated
-    in the next one, where it only counts towards other rows. The width is
-    fitted to the data unless given, and is never below the window.
+    Ranges of (key, time) overlap by the window: a row near the end of one is repeated
+    in the next one, where it only counts towards other rows. They are cut at sampled places at least a window apart, or
+    every ``bucket_seconds``, which is never below the window.
     """
-    width = max(bucket_seconds or fit_bucket_seconds(df, keys, ts), seconds)
     instant = F.col(ts).cast("timestamp")
-    bucket = time_bucket(ts, width)
-    reach = time_bucket(instant + F.make_interval(secs=F.lit(seconds)), width)
-    homes = F.when(reach > bucket, F.array(bucket, bucket + 1)).otherwise(F.array(bucket))
     micros = F.unix_micros(instant)
-    spread = df.select("*", micros.alias("__us"), bucket.alias("__home"), F.explode(homes).alias(_BUCKET))
+    if bucket_seconds:
+        width = max(bucket_seconds, seconds)
+        reach = time_bucket(instant + F.make_interval(secs=F.lit(seconds)), width)
+        placed = df.withColumns({"__us": micros, "__home": time_bucket(ts, width), "__reach": reach})
+    else:
+        key = F.struct(*keys) if keys else F.struct(F.lit(0))
+        cuts = cut_points(df, [key, micros]).select(_apart(F.col("cuts"), seconds).alias("cuts")).scalar()
+        near, far = (_passed(c, _place([key, micros + F.lit(n)]), CUTS) for c, n in (("__cuts0", 0), ("__cuts1", seconds * 1_000_000)))
+        placed = df.withColumns({"__cuts0": cuts, "__cuts1": cuts}).withColumns({"__us": micros, "__home": near, "__reach": far}).drop("__cuts0", "__cuts1")
+    home, reach = F.col("__home"), F.col("__reach")
+    homes = F.when(reach > home, F.array(home, home + 1)).otherwise(F.array(home))
+    spread = placed.withColumn(_BUCKET, F.explode(homes))
     w = W.partitionBy(*keys, _BUCKET).orderBy("__us").rangeBetween(-seconds * 1_000_000, 0)
     counted = spread.withColumn(name, F.count(F.lit(1)).over(w))
-    return counted.filter(F.col("__home").eqNullSafe(F.col(_BUCKET))).drop("__us", "__home", _BUCKET)
+    return counted.filter(F.col("__home").eqNullSafe(F.col(_BUCKET))).drop("__us", "__home", "__reach", _BUCKET)

@@ -74,14 +74,14 @@ def remove_symbols(universe: DataFrame, delta: DataFrame) -> tuple[DataFrame, Da
     return kept.join(gone, "symbol", "left_anti"), kept.join(gone, "symbol", "left_semi")
 
 
-def chunk_symbols(universe: DataFrame, chunks: int, prefix: int = 3) -> DataFrame:
+def chunk_symbols(universe: DataFrame, chunks: int) -> DataFrame:
     """Consecutive chunks 1..n of the sorted distinct symbols, each ceil(size / n) long.
 
-    Positions come from counts per ``prefix`` of the symbol, an order-keeping
-    cut, so the universe is not gathered to be numbered.
+    Positions come from counts of ranges between sampled symbols, so the universe is not gathered to be numbered, whatever
+    prefixes its symbols share.
     """
     symbols = universe.select("symbol").distinct()
-    placed = with_ordinal(symbols, [], ["symbol"], F.substring("symbol", 1, prefix), "position")
+    placed = with_ordinal(symbols, [], ["symbol"], name="position")
     size = F.ceil(symbols.agg(F.count(F.lit(1))).scalar() / chunks)
     return placed.withColumn("chunk", F.ceil(F.col("position") / size))
 

@@ -14,6 +14,10 @@ from optiontide.operators import tables as TB
 from optiontide.plans import derived as D
 from optiontide.plans import oracle_sql as O
 from optiontide.plans.registry import query, rounded
+from optiontide.session import run_dir
+from optiontide.sources import sinks as SK
+from optiontide.streaming import job as J
+from optiontide.streaming.rates import trailing_rate_stream
 
 BARS = D.oracle_text(D.BARS)
 QUOTES = D.oracle_text(D.QUOTES)
@@ -613,6 +617,30 @@ def _(spark, sf):
     return Q.trailing_request_rate(requests(spark, sf)).select("client", "ts", "rate")
 
 
+@query(
+    "win11_trailing_rate_stream",
+    f"SELECT client, {O.ts_text('ts')} AS ts, count(*) OVER (PARTITION BY client ORDER BY ts RANGE BETWEEN INTERVAL '60' SECOND"
+    f" PRECEDING AND CURRENT ROW) AS rate FROM ({_BURST}) b",
+)
+def _(spark, sf):
+    # Six slices of time arrive one after the other; a tenth of the rows comes a slice late. After three slices the query stops and goes on from
+    # its checkpoint; a last request of a client of its own moves the watermark past the rest.
+    landed, checkpoint, out = (run_dir(spark, n) for n in ("requests", "checkpoint", "rates"))
+    rows = requests(spark, sf).select("client", F.col("ts").cast("timestamp").alias("ts"))
+    lo, hi = rows.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
+    width = (hi - lo) // 6 + 1
+    slice_ = F.floor((F.unix_micros("ts") - lo) / width) + F.when(F.xxhash64("client", "ts") % 10 == 0, 1).otherwise(0)
+    end = spark.range(1).select(F.lit(None).cast(rows.schema["client"].dataType).alias("client"), F.timestamp_micros(F.lit(hi + 3 * width + 10**8)).alias("ts"))
+    for k in range(8):
+        part = end if k == 7 else rows.filter(slice_ == k)
+        part.coalesce(1).write.mode("append").parquet(landed)
+        if k in (2, 7):
+            stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+            rates = trailing_rate_stream(stream, Q.WINDOW_SECONDS, f"{2 * width // 10**6 + 1} seconds")
+            J.run_stream(rates, J.epoch_sink(out), checkpoint, trigger=None).awaitTermination()
+    return SK.read_epochs(spark, out).select("client", "ts", "rate")
+
+
 @query(
     "agg12_expected_requests",
     "SELECT CAST(l_shipdate AS date)::varchar AS day, CAST(floor(390.0 * sum(l_linenumber)) AS bigint) AS expected, CAST(count(*) //"

@@ -7,7 +7,9 @@ import pandas as pd
 import pytest
 
 from optiontide.operators import bars as B
-from optiontide.operators.ordered import fit_bucket_seconds, time_bucket, trailing_count, with_ordinal, with_previous
+from optiontide.operators import ordered
+from optiontide.operators import universe as U
+from optiontide.operators.ordered import time_bucket, trailing_count, with_ordinal, with_previous
 
 
 @pytest.fixture(scope="module")
@@ -92,14 +94,68 @@ def test_ranking_keeps_a_bounded_number_of_rows_per_task(ticks):
         assert "WindowGroupLimit" in frame._jdf.queryExecution().toString()
 
 
-def test_bucket_width_follows_the_data(spark):
-    rows = [("HOT", dt.datetime(2024, 1, 1, 0, 0, 0, i)) for i in range(500)] + [
-        ("COLD", dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i)) for i in range(1440)
-    ]
-    df = spark.createDataFrame(rows, "symbol string, ts timestamp")
-    assert fit_bucket_seconds(df, ["symbol"], "ts") == 86400
-    assert fit_bucket_seconds(df, ["symbol"], "ts", limit=1000) == 3600
-    assert fit_bucket_seconds(df, ["symbol"], "ts", limit=499) == 0.000001
-    assert fit_bucket_seconds(df.filter("symbol = 'COLD'"), ["symbol"], "ts", limit=10) == 60
-    assert fit_bucket_seconds(df.filter("false"), ["symbol"], "ts") == 86400
-    assert fit_bucket_seconds(df, [], "ts", limit=1000) == 3600
+@pytest.fixture(params=[4096, 16])
+def cuts(request, monkeypatch):
+    monkeypatch.setattr(ordered, "CUTS", request.param)
+    return request.param
+
+
+def test_sampled_cuts_give_the_plain_windows(ticks, cuts):
+    df, local = ticks
+    got = by_id(with_ordinal(df, ["symbol"], ["ts", "id"]), "ordinal")
+    same(got, pd.Series(local.groupby("symbol").cumcount().to_numpy() + 1, index=local["id"]))
+    got = by_id(with_ordinal(df, [], ["ts", "id"]), "ordinal")
+    everyone = local.sort_values(["ts", "id"])
+    same(got, pd.Series(np.arange(1, len(local) + 1), index=everyone["id"]))
+    out = B.rolling(df, "close", 5, "mean", tie=["id"], name="x", block_rows=11)
+    want = local.groupby("symbol")["close"].rolling(5, min_periods=5).mean()
+    full = local.groupby("symbol")["close"].apply(lambda v: v.rolling(5, min_periods=1).count())
+    assert by_id(out, "x").notna().sum() == (full.to_numpy() >= 5).sum() and want.notna().sum() <= len(local)
+    rate = by_id(trailing_count(df, ["symbol"], "ts", 90, "rate"), "rate")
+    brute = {}
+    for _, own in local.groupby("symbol"):
+        at = own["ts"].astype("datetime64[us]").astype("int64").to_numpy()
+        brute.update(zip(own["id"], [((at >= t - 90_000_000) & (at <= t)).sum() for t in at], strict=True))
+    same(rate, pd.Series(brute))
+
+
+def test_cuts_follow_the_rows(spark):
+    """A third of the rows has one key and one second, in names with one long prefix; no range holds much more than its share."""
+    n = 30_000
+    df = spark.range(n).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN concat(repeat('x', 40), 'hot') ELSE concat(repeat('x', 40), cast(id % 5000 AS string)) END AS symbol",
+        "timestamp_micros(CASE WHEN id % 3 = 0 THEN 1700000000000000 + id ELSE 1600000000000000 + id * 7919 END) AS ts", "id")
+    sizes = [r["count"] for r in ordered.with_order_bucket(df, ["symbol"], ["ts", "id"], "b", 64).groupBy("b").count().collect()]
+    assert sum(sizes) == n and len(sizes) > 40 and max(sizes) < n / 64 * 12
+    hot = df.filter("id % 3 = 0")
+    assert ordered.with_order_bucket(hot, ["symbol"], ["ts", "id"], "b", 64, df).select("b").distinct().count() > 12
+
+
+def test_no_row_carries_the_cuts(ticks):
+    df, _ = ticks
+    plan = with_ordinal(df, ["symbol"], ["ts", "id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS __cuts" not in plan
+
+
+def test_plans_are_built_without_jobs(spark, sf_dir):
+    bars = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr("user_id AS symbol", "cast(ts AS timestamp) AS ts", "value AS close", "event_id AS id", "user_id AS client")
+    sc = spark.sparkContext
+    sc.setJobGroup("lazy-plans", "building")
+    try:
+        frames = [B.daily_returns(bars, tie=["id"]), B.rolling(bars, "close", 5, "mean", tie=["id"]), trailing_count(bars, ["client"], "ts", 60, "rate"),
+                  with_ordinal(bars, [], ["ts", "id"]), U.chunk_symbols(bars.selectExpr("cast(symbol AS string) AS symbol"), 7)]
+        assert not sc.statusTracker().getJobIdsForGroup("lazy-plans")
+        for frame in frames:
+            frame.write.format("noop").mode("overwrite").save()
+        assert sc.statusTracker().getJobIdsForGroup("lazy-plans")
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_chunks_of_symbols_with_one_prefix(spark):
+    names = [f"PREFIX{i:05d}" for i in range(5000)]
+    out = U.chunk_symbols(spark.createDataFrame([(n,) for n in names * 2], "symbol string"), 9)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    rows = {r["symbol"]: (r["position"], r["chunk"]) for r in out.collect()}
+    assert rows == {n: (i + 1, i // 556 + 1) for i, n in enumerate(names)}
