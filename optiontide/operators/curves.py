@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from optiontide.functions.pricing import let
 from optiontide.functions.rates import DAYS_PER_YEAR, maturity_days
 
 
@@ -46,9 +47,11 @@ def sorted_curve(points: DataFrame, by: Sequence[str] = ("ref_date",), t: str =
 
 
 def pick_curve(queries: DataFrame, curves: DataFrame, day: str, ref_date: str = "ref_date",
-               policy: str = "on_or_before", name: str = "curve_date") -> DataFrame:
+               policy: str = "on_or_before", name: str = "curve_date", latest_without_day: bool = False) -> DataFrame:
     """As-of curve date: the nearest earlier one, else the nearest later one.
 
+    A query without a day has none, or with ``latest_without_day`` the latest curve.
+
     ``policy`` is ``on_or_before``, where the same day wins, or
     ``strictly_before``, where the same day is passed over. The choice is made
     once per distinct day, then joined back by equality: no range join.
@@ -62,8 +65,19 @@ def pick_curve(queries: DataFrame, curves: DataFrame, day: str, ref_date: str =
     shift = 0 if policy == "on_or_before" else 1
     before = F.last("__c", ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -shift))
     after = F.first("__c", ignorenulls=True).over(w.rowsBetween(shift, W.unboundedFollowing))
-    choice = days.filter("__d is not null").select("__d", F.coalesce(before, after).alias(name))
-    return queries.join(choice, queries[day].cast("date") == F.col("__d"), "left").drop("__d")
+    choice = days.filter("__d is not null").select("__d", F.coalesce(before, after).alias("__choice"))
+    joined = queries.join(choice, queries[day].cast("date") == F.col("__d"), "left")
+    chosen = F.col("__choice")
+    if latest_without_day:
+        chosen = F.when(F.col("__undated"), known.agg(F.max("__c")).scalar()).otherwise(chosen)
+    return joined.withColumn("__undated", queries[day].isNull()).withColumn(name, chosen).drop("__d", "__choice", "__undated")
+
+
+def latest_curve(curves: DataFrame, ref_date: str = "ref_date", as_of: Column | str | None = None) -> DataFrame:
+    """Rows of the newest curve, or of the newest one up to ``as_of``; the date is found by one aggregate and pushed to the scan."""
+    day = F.col(ref_date).cast("date")
+    known = curves if as_of is None else curves.filter(day <= (as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")))
+    return curves.filter(day == known.agg(F.max(day)).scalar())
 
 
 def _folded(points: DataFrame, by: Sequence[str], t: str, y: str) -> DataFrame:
@@ -114,63 +128,83 @@ def interp_flat_forward(points: DataFrame, queries: DataFrame, by: Sequence[str]
     return _on_segment(queries, _segments(points, by, t, y), by, t, F.col("y0"), name)
 
 
-def _spline_slopes(t: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """First derivatives at the points of the not-a-knot cubic spline."""
-    n = len(t)
-    if n == 1:
-        return np.zeros(1)
-    h, d = np.diff(t), np.diff(y) / np.diff(t)
-    if n == 2:
-        return np.array([d[0], d[0]])
-    if n == 3:  # the parabola through the points
-        second = (d[1] - d[0]) / (t[2] - t[0])
-        return np.array([d[0] - second * h[0], d[0] + second * h[0], d[1] + second * h[1]])
-    a, b = np.zeros((n, n)), np.zeros(n)
-    for i in range(1, n - 1):
-        a[i, i - 1 : i + 2] = h[i], 2 * (h[i - 1] + h[i]), h[i - 1]
-        b[i] = 3 * (h[i] * d[i - 1] + h[i - 1] * d[i])
-    a[0, :2] = h[1], h[0] + h[1]
-    b[0] = ((h[0] + 2 * (h[0] + h[1])) * h[1] * d[0] + h[0] ** 2 * d[1]) / (h[0] + h[1])
-    a[-1, -2:] = h[-1] + h[-2], h[-2]
-    b[-1] = (h[-1] ** 2 * d[-2] + (2 * (h[-1] + h[-2]) + h[-1]) * h[-2] * d[-1]) / (h[-1] + h[-2])
-    return np.linalg.solve(a, b)
+def _spline_rows(x: Column) -> Column:
+    """Rows (a, b, c, r) of the tridiagonal system for the slopes of the not-a-knot spline through four points or more."""
+    h, d, n = x["h"], x["d"], F.size(x["p"])
+
+    def row(i: Column) -> Column:
+        h0, h1, d0, d1 = F.get(h, i - 1), F.get(h, i), F.get(d, i - 1), F.get(d, i)
+        u, v, e, f = F.get(h, F.lit(0)), F.get(h, F.lit(1)), F.get(d, F.lit(0)), F.get(d, F.lit(1))
+        first = F.struct(F.lit(0.0).alias("a"), v.alias("b"), (u + v).alias("c"), (((3 * u + 2 * v) * v * e + u * u * f) / (u + v)).alias("r"))
+        v, u, f, e = F.get(h, n - 3), F.get(h, n - 2), F.get(d, n - 3), F.get(d, n - 2)
+        last = F.struct((u + v).alias("a"), v.alias("b"), F.lit(0.0).alias("c"), ((u * u * f + (3 * u + 2 * v) * v * e) / (u + v)).alias("r"))
+        inner = F.struct(h1.alias("a"), (2 * (h0 + h1)).alias("b"), h0.alias("c"), (3 * (h1 * d0 + h0 * d1)).alias("r"))
+        return F.when(i == 0, first).when(i == n - 1, last).otherwise(inner)
+
+    return F.transform(F.sequence(F.lit(0), n - 1), row)
+
+
+def _spline_slopes(x: Column) -> Column:
+    """First derivatives at the points: two folds over the points, forward to eliminate and backward to solve.
+
+    Up to three points give a constant, a line or a parabola.
+    """
+    h, d, n = x["h"], x["d"], F.size(x["p"])
+    kind = "array<struct<c:double,r:double>>"
+
+    def eliminate(done: Column, row: Column) -> Column:
+        before = F.get(done, F.size(done) - 1)
+        pivot = F.when(F.size(done) == 0, row["b"]).otherwise(row["b"] - row["a"] * before["c"])
+        right = F.when(F.size(done) == 0, row["r"]).otherwise(row["r"] - row["a"] * before["r"])
+        return F.concat(done, F.array(F.struct((row["c"] / pivot).alias("c"), (right / pivot).alias("r"))))
+
+    def solve(done: Column, row: Column) -> Column:
+        slope = F.when(F.size(done) == 0, row["r"]).otherwise(row["r"] - row["c"] * F.get(done, F.lit(0)))
+        return F.concat(F.array(slope), done)
+
+    reduced = F.aggregate(_spline_rows(x), F.array().cast(kind), eliminate)
+    slopes = F.aggregate(F.reverse(reduced), F.array().cast("array<double>"), solve)
+    first, second = F.get(d, F.lit(0)), F.get(d, F.lit(1))
+    bend = F.try_divide(second - first, F.get(h, F.lit(0)) + F.get(h, F.lit(1)))
+    parabola = F.array(first - bend * F.get(h, F.lit(0)), first + bend * F.get(h, F.lit(0)), second + bend * F.get(h, F.lit(1)))
+    return F.when(n == 1, F.array(F.lit(0.0))).when(n == 2, F.array(first, first)).when(n == 3, parabola).otherwise(slopes)
 
 
 def spline_coefficients(points: DataFrame, by: Sequence[str] = ("ref_date",), t: str = "t", y: str = "y") -> DataFrame:
-    """Cubic pieces per curve: y = y0 + c1 h + c2 h^2 + c3 h^3 from t0 on.
+    """Cubic pieces per curve: y = y0 + c1 h + c2 h^2 + c3 h^3 from t0 on, in Columns.
 
-    One small linear system per curve, curves spread over the tasks. Points
-    are folded first, so a group never exceeds the number of maturities.
+    Points are folded first, so a curve's array is never longer than the number of its maturities.
     """
     unique = _folded(points, by, t, y)
-    fields = {f.name: f.dataType.simpleString() for f in points.schema}
-    schema = ", ".join([f"`{k}` {fields[k]}" for k in by]) + (
-        ", t0 double, y0 double, c1 double, c2 double, c3 double, __from double, __to double"
-    )
+    pair = F.struct(F.col("t0").cast("double").alias("t"), F.col("y0").cast("double").alias("y"))
+    curves = unique.groupBy(*by).agg(F.sort_array(F.collect_list(pair)).alias("p"))
 
-    def solve(curve: pd.DataFrame) -> pd.DataFrame:
-        curve = curve.sort_values("t0")
-        x, v = curve["t0"].to_numpy(dtype=float), curve["y0"].to_numpy(dtype=float)
-        s = _spline_slopes(x, v)
-        out = curve[list(by)].copy()
-        out["t0"], out["y0"] = x, v
-        c1, c2, c3 = np.zeros(len(x)), np.zeros(len(x)), np.zeros(len(x))
-        if len(x) > 1:
-            h, d = np.diff(x), np.diff(v) / np.diff(x)
-            c1[:-1] = s[:-1]
-            c2[:-1] = (3 * d - 2 * s[:-1] - s[1:]) / h
-            c3[:-1] = (s[:-1] + s[1:] - 2 * d) / h**2
-        out["c1"], out["c2"], out["c3"] = c1, c2, c3
-        out["__from"] = np.concatenate([[-np.inf], x[1:]])
-        out["__to"] = np.concatenate([x[1:], [np.inf]])
-        return out
-
-    return unique.groupBy(*by).applyInPandas(solve, schema)
+    def steps(p: Column) -> Column:
+        nxt = lambda i: F.get(p, i + 1)
+        h = F.transform(F.slice(p, 1, F.size(p) - 1), lambda a, i: nxt(i)["t"] - a["t"])
+        d = F.transform(F.slice(p, 1, F.size(p) - 1), lambda a, i: (nxt(i)["y"] - a["y"]) / (nxt(i)["t"] - a["t"]))
+        return F.struct(p.alias("p"), h.alias("h"), d.alias("d"))
+
+    def pieces(x: Column, s: Column) -> Column:
+        def piece(a: Column, i: Column) -> Column:
+            h, d, s0, s1 = F.get(x["h"], i), F.get(x["d"], i), F.get(s, i), F.get(s, i + 1)
+            zero, inner = F.lit(0.0), i < F.size(x["p"]) - 1
+            return F.struct(
+                a["t"].alias("t0"), a["y"].alias("y0"), F.when(inner, s0).otherwise(zero).alias("c1"),
+                F.when(inner, (3 * d - 2 * s0 - s1) / h).otherwise(zero).alias("c2"),
+                F.when(inner, (s0 + s1 - 2 * d) / (h * h)).otherwise(zero).alias("c3"),
+                F.when(i == 0, F.lit(float("-inf"))).otherwise(a["t"]).alias("__from"),
+                F.when(inner, F.get(x["p"], i + 1)["t"]).otherwise(F.lit(float("inf"))).alias("__to"))
+
+        return F.transform(x["p"], piece)
+
+    solved = let(let(F.col("p"), steps), lambda x: let(_spline_slopes(x), lambda s: pieces(x, s)))
+    return curves.select(*by, F.inline(solved))
 
 
 def interp_cubic(points: DataFrame, queries: DataFrame, by: Sequence[str] = ("ref_date",), t: str = "t",
                  y: str = "y", name: str = "rate") -> DataFrame:
-    """Not-a-knot cubic spline, flat outside."""
+    """Not-a-knot cubic spline, flat outside; no Python is planned."""
     h = _held(t)
     value = F.col("y0") + h * (F.col("c1") + h * (F.col("c2") + h * F.col("c3")))
     return _on_segment(queries, spline_coefficients(points, by, t, y), by, t, value, name)
@@ -179,6 +213,8 @@ def interp_cubic(points: DataFrame, queries: DataFrame, by: Sequence[str] = ("re
 # --------------------------------------------------------------------------- calibration
 
 _TAUS = np.geomspace(0.05, 30.0, 28)
+#: Years that a decay time may take; the search does not leave them.
+TAU_RANGE = (0.02, 60.0)
 
 
 def _loadings(t: np.ndarray, tau: float) -> tuple[np.ndarray, np.ndarray]:
@@ -210,7 +246,7 @@ def _fit_curve(t: np.ndarray, y: np.ndarray, two_humps: bool) -> tuple[float, np
         for i in range(len(best[2])):
             for factor in (np.exp(step), np.exp(-step)):
                 taus = list(best[2])
-                taus[i] = float(np.clip(taus[i] * factor, 0.02, 60.0))
+                taus[i] = float(np.clip(taus[i] * factor, *TAU_RANGE))
                 error, betas = _fit_betas(t, y, taus)
                 if error < best[0]:
                     best, moved = (error, betas, taus), True
@@ -224,7 +260,7 @@ def calibrate_curves(points: DataFrame, model: str = "svensson", by: Sequence[st
     """Curve parameters and squared error per curve, by least squares on its points.
 
     For fixed decay times the other parameters are a linear fit, so only the
-    decay times are searched. Curves are independent and spread over the tasks.
+    decay times are searched, within ``TAU_RANGE``. Curves are independent and spread over the tasks.
     """
     if model not in ("svensson", "nelson_siegel"):
         raise ValueError(f"unknown curve model {model!r}")

@@ -13,7 +13,7 @@ from optiontide.operators.quality import observe_quality
 from optiontide.operators.tables import conform
 from optiontide.plans.enrich import enrich_fetch_day
 from optiontide.schemas import output_schema
-from optiontide.sources.chains import decode_chain_payload, gunzip
+from optiontide.sources.chains import TEXT, decode_chain_payload, with_text
 from optiontide.streaming.job import epoch_sink, run_stream
 
 
@@ -41,15 +41,16 @@ def process_messages(
     return conform(enrich_fetch_day(chains, schedule, params, close_equity, close_index, carry=("ticker",), **options), output_schema())
 
 
-def message_states(messages: DataFrame) -> DataFrame:
-    """Messages with ``state``: ok, unreadable, not_json, or no_symbol."""
-    text = messages.withColumn("__text", gunzip("value"))
-    symbol = F.get_json_object("__text", "$.symbol")
+def message_states(messages: DataFrame, keep_text: bool = False) -> DataFrame:
+    """Messages with ``state``: ok, unreadable, not_json, or no_symbol; with ``keep_text`` also their unzipped text."""
+    text = with_text(messages)
+    symbol = F.get_json_object(TEXT, "$.symbol")
     state = (
-        F.when(F.col("__text").isNull(), "unreadable").when(F.json_object_keys("__text").isNull(), "not_json")
+        F.when(F.col(TEXT).isNull(), "unreadable").when(F.json_object_keys(TEXT).isNull(), "not_json")
         .when(symbol.isNull(), "no_symbol").otherwise("ok")
     )
-    return text.withColumn("state", state).drop("__text")
+    stated = text.withColumn("state", state)
+    return stated if keep_text else stated.drop(TEXT)
 
 
 def run_contract_job(
@@ -66,21 +67,22 @@ def run_contract_job(
     A replayed epoch replaces its rows, so a restart after a lost driver or
     executor neither loses nor doubles contracts. With ``quarantine`` messages
     that give no rows (see ``message_states``) are written as they came, with their state,
-    to an epoch table there; their share is observed as the metric ``messages``.
+    to an epoch table there; their number is observed as the metric ``messages`` of each batch. A message is then unzipped once: the batch with its
+    texts is kept for both writers.
     """
     rows = epoch_sink(path, transform)
     if quarantine is None:
         return run_stream(source, rows, checkpoint, name, trigger)
-
-    def bad(batch: DataFrame) -> DataFrame:
-        states = message_states(batch)
-        problem = F.when(F.col("state") != "ok", F.col("state"))
-        return observe_quality(states.withColumn("__bad", problem), "__bad", "messages").drop("__bad").filter("state <> 'ok'")
-
-    kept = epoch_sink(quarantine, bad)
+    kept = epoch_sink(quarantine, lambda batch: batch.filter("state <> 'ok'").drop(TEXT))
+    problem = F.when(F.col("state") != "ok", F.col("state"))
+    stated = observe_quality(message_states(source, keep_text=True).withColumn("__bad", problem), "__bad", "messages").drop("__bad")
 
     def both(batch: DataFrame, epoch: int) -> None:
-        kept(batch, epoch)
-        rows(batch, epoch)
-
-    return run_stream(source, both, checkpoint, name, trigger)
+        held = batch.persist()
+        try:
+            kept(held, epoch)
+            rows(held.drop("state"), epoch)
+        finally:
+            held.unpersist()
+
+    return run_stream(stated, both, checkpoint, name, trigger)

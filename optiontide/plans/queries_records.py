@@ -21,6 +21,7 @@ from optiontide.sources import chains as SC
 from optiontide.sources import delimited as SD
 from optiontide.sources import documents as DOC
 from optiontide.sources import sinks as SK
+from optiontide.streaming.listener import ProgressListener, ProgressTable
 from optiontide.streaming import job as J
 
 PAIRS = D.oracle_text(D.CONTRACT_PAIRS)
@@ -214,19 +215,24 @@ def _(spark, sf):
     return SK.read_table(spark, target).filter(F.lit(first.count() == given))
 
 
+def _sent_messages(spark, sf):
+    """Chain messages of which some are cut off, no documents, or without a symbol."""
+    c = D.chains(spark, sf).withColumn("key", F.col("l_orderkey"))
+    named = F.struct(F.when(F.col("key") % 11 != 0, F.col("symbol")).alias("symbol"), "status")
+    text = F.when(F.col("key") % 10 == 0, F.lit("no document")).otherwise(F.to_json(named))
+    packed = c.select("key", SC._gzip(text).alias("value"))
+    sent = packed.withColumn("value", F.when(F.col("key") % 9 == 0, F.substring("value", 1, 12)).otherwise(F.col("value")))
+    return sent.select(F.col("key").cast("string").cast("binary").alias("key"), "value")
+
+
 @query(
     "str1_quarantined_messages",
     "SELECT CASE WHEN l_orderkey % 9 = 0 THEN 'unreadable' WHEN l_orderkey % 10 = 0 THEN 'not_json' WHEN l_orderkey % 11 = 0 THEN 'no_symbol'"
     " ELSE 'ok' END AS state, count(*) AS n FROM lineitem GROUP BY 1",
 )
 def _(spark, sf):
-    c = D.chains(spark, sf).withColumn("key", F.col("l_orderkey"))
-    named = F.struct(F.when(F.col("key") % 11 != 0, F.col("symbol")).alias("symbol"), "status")
-    text = F.when(F.col("key") % 10 == 0, F.lit("no document")).otherwise(F.to_json(named))
-    packed = c.select("key", SC._gzip(text).alias("value"))
-    sent = packed.withColumn("value", F.when(F.col("key") % 9 == 0, F.substring("value", 1, 12)).otherwise(F.col("value")))
     landed, out, bad = (run_dir(spark, n) for n in ("landed", "read", "quarantine"))
-    sent.select(F.col("key").cast("string").cast("binary").alias("key"), "value").write.parquet(landed)
+    _sent_messages(spark, sf).write.parquet(landed)
     stream = SC.read_chain_stream(spark, "parquet", landed, SC.max_per_trigger(accounts=5))
     run_contract_job(stream, out, run_dir(spark, "checkpoint"), lambda b: SC.decode_chain_payload(b).select("symbol"), quarantine=bad).awaitTermination()
     read = SK.read_epochs(spark, out).filter("symbol is not null").select(F.lit("ok").alias("state"))
@@ -234,6 +240,33 @@ def _(spark, sf):
     return read.union(kept).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query(
+    "str4_batches_as_table",
+    "SELECT count(*) AS messages, count(CASE WHEN l_orderkey % 9 = 0 OR l_orderkey % 10 = 0 OR l_orderkey % 11 = 0 THEN 1 END) AS malformed,"
+    " true AS each_once, true AS shares_agree FROM lineitem",
+)
+def _(spark, sf):
+    # the contract job's batches as rows of a table: their counts and the share of messages that gave no rows
+    landed, out, bad, table = (run_dir(spark, n) for n in ("landed", "read", "quarantine", "progress"))
+    _sent_messages(spark, sf).write.parquet(landed)
+    stream = SC.read_chain_stream(spark, "parquet", landed, SC.max_per_trigger(accounts=5))
+    records = ProgressTable(spark, table)
+    listener = ProgressListener(records)
+    spark.streams.addListener(listener)
+    try:
+        job = run_contract_job(stream, out, run_dir(spark, "checkpoint"), lambda b: SC.decode_chain_payload(b).select("symbol"), quarantine=bad)
+        job.awaitTermination()
+        records.flush(job)  # the listener has kept these records, or will: each batch has one document
+    finally:
+        spark.streams.removeListener(listener)
+    batches = records.read().filter("numInputRows > 0")
+    seen = F.col("observed")["messages"]
+    return batches.agg(
+        F.sum("numInputRows").alias("messages"), F.sum(seen["malformed"]).alias("malformed"),
+        (F.count(F.lit(1)) == F.count_distinct("id", "batchId")).alias("each_once"),
+        F.bool_and((F.col("malformed_ratio") == seen["malformed"] / F.col("numInputRows")) & (F.col("alert") == (F.col("malformed_ratio") > 0.5))).alias("shares_agree"))
+
+
 @query("snk4_write_with_fallback", "SELECT l_returnflag, count(*) AS n, 'OSError' AS write_error FROM lineitem GROUP BY 1")
 def _(spark, sf):
     def refused(df):
@@ -286,9 +319,10 @@ def _(spark, sf):
 @query("snk6_one_document_per_key", "SELECT o_custkey AS account, count(*) AS rows, min(o_orderkey) AS first_id, max(o_orderkey) AS last_id FROM orders GROUP BY 1")
 def _(spark, sf):
     orders = D.derived(spark, sf, D.ORDERS).select("account", "order_id", "price")
-    documents = SK.rows_to_json_documents(orders, ["account"], order=["order_id"])
+    documents = SK.rows_to_json_documents(orders, ["account"], order=["order_id"], rows_per_document=4)
     items = F.from_json("json", "array<struct<order_id: bigint, price: double>>")
-    return documents.select("account", "rows", items[0]["order_id"].alias("first_id"), F.element_at(items, -1)["order_id"].alias("last_id"))
+    index = SK.document_index(documents, ["account"], items[0]["order_id"], F.element_at(items, -1)["order_id"])
+    return index.select("account", "rows", F.col("first").alias("first_id"), F.col("last").alias("last_id"))
 
 
 @query(

@@ -136,9 +136,56 @@ def _(spark, sf):
     return rounded(out.select("event_id", "rate"), 9, "rate")
 
 
-@query("join8_interp_cubic")
+# Elimination and back substitution of the spline's tridiagonal system, point by point.
+_SPLINE = (
+    f"x AS (SELECT ref_date, t, y, row_number() OVER w - 1 AS i, count(*) OVER (PARTITION BY ref_date) AS n, lead(t) OVER w - t AS h, (lead(y) OVER w - y) /"
+    f" (lead(t) OVER w - t) AS d FROM ({POINTS}) x0 WINDOW w AS (PARTITION BY ref_date ORDER BY t)),"
+    " g AS (SELECT *, lag(h) OVER w AS h0, lag(d) OVER w AS d0, lead(h) OVER w AS h1, lead(d) OVER w AS d1, lag(h, 2) OVER w AS g0, lag(d, 2) OVER w AS e0"
+    " FROM x WINDOW w AS (PARTITION BY ref_date ORDER BY i)),"
+    " m AS (SELECT *, CASE WHEN i = 0 THEN 0 WHEN i = n - 1 THEN h0 + g0 ELSE h END AS a, CASE WHEN i = 0 THEN h1 WHEN i = n - 1 THEN g0 ELSE 2 * (h0 + h) END AS b,"
+    " CASE WHEN i = 0 THEN h + h1 WHEN i = n - 1 THEN 0 ELSE h0 END AS c, CASE WHEN i = 0 THEN ((3 * h + 2 * h1) * h1 * d + h * h * d1) / (h + h1) WHEN i = n - 1"
+    " THEN (h0 * h0 * e0 + (3 * h0 + 2 * g0) * g0 * d0) / (h0 + g0) ELSE 3 * (h * d0 + h0 * d) END AS r FROM g),"
+    " fw AS (SELECT ref_date, i, n, c / b AS cp, r / b AS rp FROM m WHERE i = 0 UNION ALL SELECT m.ref_date, m.i, m.n, m.c / (m.b - m.a * f.cp), (m.r - m.a * f.rp)"
+    " / (m.b - m.a * f.cp) FROM fw f JOIN m ON m.ref_date = f.ref_date AND m.i = f.i + 1),"
+    " bw AS (SELECT ref_date, i, rp AS s FROM fw WHERE i = n - 1 UNION ALL SELECT f.ref_date, f.i, f.rp - f.cp * w.s FROM bw w JOIN fw f ON f.ref_date ="
+    " w.ref_date AND f.i = w.i - 1),"
+    " p AS (SELECT g.ref_date, g.t, g.y, CASE WHEN g.h IS NOT NULL THEN g.t + g.h END AS t1, CASE WHEN g.i > 0 THEN 0 END AS t_before, u.s AS c1, (3 * g.d - 2 * u.s - v.s)"
+    " / g.h AS c2, (u.s + v.s - 2 * g.d) / (g.h * g.h) AS c3 FROM g JOIN bw u ON u.ref_date = g.ref_date AND u.i = g.i LEFT JOIN bw v ON v.ref_date = g.ref_date"
+    " AND v.i = g.i + 1)"
+)
+
+
+@query(
+    "join8_interp_cubic",
+    f"WITH RECURSIVE {_SPLINE}, q AS (SELECT q.event_id, q.t, c.curve_date FROM ({ASKED}) q JOIN ({_pick_sql('<=', '>')}) c ON q.event_id = c.event_id)"
+    " SELECT q.event_id, round(q.t, 9) AS t, round(CASE WHEN q.t <= p.t OR p.t1 IS NULL THEN p.y ELSE p.y + (q.t - p.t) * (c1 + (q.t - p.t) * (c2 + (q.t - p.t)"
+    " * c3)) END, 9) AS rate FROM q JOIN p ON cast(p.ref_date AS varchar) = q.curve_date AND (q.t >= p.t OR p.t_before IS NULL) AND (q.t < p.t1 OR p.t1 IS NULL)",
+)
+def _(spark, sf):
+    return rounded(K.interp_cubic(D.curve_points_table(spark, sf), asked_on_curves(spark, sf)).select("event_id", "t", "rate"), 9, "t", "rate")
+
+
+_ASKED_SOME = f"SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN day END AS day FROM ({ASKED}) a0"
+
+
+@query(
+    "join5_latest_curve",
+    f"WITH c AS (SELECT DISTINCT ref_date FROM ({GAPPED}) p), d AS (SELECT a.day, coalesce(max(CASE WHEN c.ref_date <= a.day THEN c.ref_date END), min(CASE WHEN"
+    f" c.ref_date > a.day THEN c.ref_date END)) AS curve_date FROM (SELECT DISTINCT day FROM ({_ASKED_SOME}) a1 WHERE day IS NOT NULL) a, c GROUP BY a.day)"
+    f" SELECT q.event_id, cast(CASE WHEN q.day IS NULL THEN (SELECT max(ref_date) FROM c) ELSE d.curve_date END AS varchar) AS curve_date FROM ({_ASKED_SOME}) q"
+    " LEFT JOIN d ON q.day = d.day",
+)
+def _(spark, sf):
+    asked = D.derived(spark, sf, D.CURVE_QUERIES).withColumn("day", F.when(F.col("event_id") % 4 != 0, F.col("day")))
+    return K.pick_curve(asked, D.derived(spark, sf, D.GAPPED_DATES), "day", latest_without_day=True).select("event_id", "curve_date")
+
+
+@query(
+    "join5_points_of_the_latest_curve",
+    f"SELECT cast(ref_date AS varchar) AS ref_date, t, round(y, 9) AS y FROM ({POINTS}) p WHERE ref_date = (SELECT max(ref_date) FROM ({POINTS}) m)",
+)
 def _(spark, sf):
-    return K.interp_cubic(D.curve_points_table(spark, sf), asked_on_curves(spark, sf)).select("event_id", "t", "rate")
+    return rounded(K.latest_curve(D.curve_points_table(spark, sf)).select("ref_date", "t", "y"), 9, "y")
 
 
 # at the maturities themselves, and outside them, the spline must give the given yields

@@ -92,8 +92,18 @@ def parse_chain(df: DataFrame, text: str, greeks: str = "double", status: str |
 
 def decode_chain_payload(df: DataFrame, value_col: str = "value", greeks: str = "double",
                          record_status: str | None = None) -> DataFrame:
-    """gzip JSON bytes to chain columns; corrupt records are tagged, not fatal."""
-    return parse_chain(df.select(gunzip(value_col).alias("__text")), "__text", greeks, record_status)
+    """gzip JSON bytes to chain columns; corrupt records are tagged, not fatal. Messages that carry their text already (``with_text``) are not unzipped again."""
+    text = F.col(TEXT) if TEXT in df.columns else gunzip(value_col)
+    return parse_chain(df.select(text.alias("__json")), "__json", greeks, record_status)
+
+
+#: Column with the unzipped text of a message.
+TEXT = "__text"
+
+
+def with_text(messages: DataFrame, value_col: str = "value") -> DataFrame:
+    """Messages with their unzipped text, for several readers of one batch."""
+    return messages if TEXT in messages.columns else messages.withColumn(TEXT, gunzip(value_col))
 
 
 def encode_chains(chains: DataFrame, key: str = "symbol") -> DataFrame:

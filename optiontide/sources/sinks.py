@@ -105,16 +105,20 @@ def append_order_log(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
+#: Rows of a JSON document unless the caller says otherwise.
+DOCUMENT_ROWS = 1000
+
+
 def rows_to_json_documents(df: DataFrame, keys: Sequence[str] = (), metadata: Mapping[str, Column] | None = None,
-                           name: str = "json", order: Sequence[str] = (), rows_per_document: int | None = None,
+                           name: str = "json", order: Sequence[str] = (), rows_per_document: int | None = DOCUMENT_ROWS,
                            bucket: Column | None = None) -> DataFrame:
     """JSON array documents of all rows per ``keys``, with metadata columns.
 
-    One document per key, rows by ``order``; or, with ``rows_per_document``,
-    parts of that many rows (the last one shorter) counted along ``order``. Then
-    no group is gathered whole: rows are numbered bucket by bucket, where
-    ``bucket`` grows with the first column of ``order``. Parts do not depend on
-    how the rows are partitioned if ``order`` tells rows apart. Dates become ISO text.
+    A document holds up to ``rows_per_document`` rows of a key: ``part`` counts its documents from 0 along
+    ``order`` (all columns unless given). No group is gathered whole: rows are numbered range by range, at sampled places
+    or where ``bucket`` grows with the order. Parts do not depend on
+    how the rows are partitioned if ``order`` tells rows apart; ``document_index`` lists a key's parts. With None a key's rows become one
+    document, for callers that know a bound on a key. Dates become ISO text.
     """
     body = [c for c in df.columns if c not in keys]
     row = F.struct(*body).alias("__row")
@@ -122,9 +126,8 @@ def rows_to_json_documents(df: DataFrame, keys: Sequence[str] = (), metadata: Ma
         at = F.struct(*order) if order else F.lit(0)
         placed = df.select(*keys, row, F.lit(0).cast("long").alias("part"), at.alias("__at"))
     else:
-        if not order or bucket is None:
-            raise ValueError("parts need an order and its buckets")
-        lined = with_ordinal(df, list(keys), list(order), bucket, "__n")
+        along = list(order) or [c for c in body if not isinstance(df.schema[c].dataType, (T.MapType, T.VariantType))]
+        lined = with_ordinal(df, list(keys), along, bucket, "__n")
         placed = lined.select(*keys, row, F.expr(f"(__n - 1) div {int(rows_per_document)}").alias("part"), F.col("__n").alias("__at"))
     documents = placed.groupBy(*keys, "part").agg(
         F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("__at", "__row"))), lambda x: x["__row"])).alias(name),
@@ -133,6 +136,15 @@ def rows_to_json_documents(df: DataFrame, keys: Sequence[str] = (), metadata: Ma
     return documents.withColumns(dict(metadata or {}))
 
 
+def document_index(documents: DataFrame, keys: Sequence[str], first: Column, last: Column) -> DataFrame:
+    """A row for each key of bounded documents: number of parts and rows, the least ``first`` and the greatest ``last`` of its parts.
+
+    Second level of the aggregation: it reads counts and ends, so no value holds a key.
+    """
+    return documents.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("parts"), F.sum("rows").alias("rows"), F.min(first).alias("first"), F.max(last).alias("last"))
+
+
 def save_snapshot(df: DataFrame, path: str, as_of: str) -> None:
     """Write the snapshot of one day; a second write of that day replaces it."""
     df.write.mode("overwrite").parquet(f"{path}/as_of={as_of}")

@@ -8,19 +8,33 @@ from optiontide.functions import rates as R
 from optiontide.operators import curves as K
 
 
-def test_spline_is_smooth_and_not_a_knot():
+def pieces(spark, curves):
+    rows = [(name, float(t), float(y)) for name, (ts, ys) in curves.items() for t, y in zip(ts, ys, strict=True)]
+    found = K.spline_coefficients(spark.createDataFrame(rows, "ref_date string, t double, y double"))
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    out = {}
+    for r in found.orderBy("ref_date", "t0").collect():
+        out.setdefault(r["ref_date"], []).append((r["c1"], r["c2"], r["c3"]))
+    return {k: np.array(v).T for k, v in out.items()}
+
+
+def test_spline_is_smooth_and_not_a_knot(spark):
     rng = np.random.default_rng(2)
-    for n in (4, 5, 9, 14):
-        t, y = np.sort(rng.uniform(0, 30, n)), rng.uniform(0.01, 0.06, n)
-        s, h, d = K._spline_slopes(t, y), np.diff(t), np.diff(y) / np.diff(t)
-        c2 = (3 * d - 2 * s[:-1] - s[1:]) / h
-        c3 = (s[:-1] + s[1:] - 2 * d) / h**2
-        assert np.allclose(2 * c2[:-1] + 6 * c3[:-1] * h[:-1], 2 * c2[1:], atol=1e-9)  # second derivative goes on
-        assert np.isclose(c3[0], c3[1]) and np.isclose(c3[-1], c3[-2])  # ends
+    curves = {f"n{n}": (np.sort(rng.uniform(0, 30, n)), rng.uniform(0.01, 0.06, n)) for n in (4, 5, 9, 14)}
     t = np.array([0.0, 1.0, 2.5, 4.0])
-    assert np.allclose(K._spline_slopes(t, t**3), 3 * t**2)  # a cubic is its own spline
-    assert np.allclose(K._spline_slopes(t[:3], t[:3] ** 2), 2 * t[:3])
-    assert np.allclose(K._spline_slopes(t[:2], t[:2]), 1) and K._spline_slopes(t[:1], t[:1])[0] == 0
+    curves |= {"cubic": (t, t**3), "square": (t[:3], t[:3] ** 2), "line": (t[:2], t[:2]), "point": (t[:1], t[:1])}
+    found = pieces(spark, curves)
+    for name, (at, y) in curves.items():
+        if not name.startswith("n"):
+            continue
+        c1, c2, c3 = (c[:-1] for c in found[name])
+        h = np.diff(at)
+        assert np.allclose(y[:-1] + h * (c1 + h * (c2 + h * c3)), y[1:])  # meets the next point
+        assert np.allclose((c1 + 2 * c2 * h + 3 * c3 * h * h)[:-1], c1[1:]) and np.allclose((2 * c2 + 6 * c3 * h)[:-1], 2 * c2[1:], atol=1e-9)
+        assert np.isclose(c3[0], c3[1]) and np.isclose(c3[-1], c3[-2])  # ends
+    assert np.allclose(found["cubic"][0][:-1], 3 * t[:-1] ** 2) and np.allclose(found["cubic"][2][:-1], 1)
+    assert np.allclose(found["square"][0][:-1], 2 * t[:2]) and np.allclose(found["square"][2], 0)
+    assert np.allclose(found["line"][0], [1, 0]) and np.allclose(found["point"], 0)
 
 
 @pytest.fixture(scope="module")

@@ -9,9 +9,9 @@ from optiontide.plans.process import process_messages, run_contract_job
 from optiontide.session import shared_dir
 from optiontide.sources import sinks as SK
 from optiontide.sources import versions as V
-from optiontide.sources.chains import parse_chain, publish_chains, read_chain_stream
+from optiontide.sources.chains import decode_chain_payload, parse_chain, publish_chains, read_chain_stream, with_text
 from optiontide.streaming.job import MERGE_KEYS, epoch_sink, fallback_sink, run_stream
-from optiontide.streaming.listener import ProgressListener, QualityListener
+from optiontide.streaming.listener import ProgressListener, ProgressTable, QualityListener
 
 
 @pytest.fixture()
@@ -231,10 +231,43 @@ def test_json_documents_are_bounded_and_whole(spark):
         for d in docs:
             assert [item["id"] for item in json.loads(d["json"])] == list(range(300 * d["part"], 300 * d["part"] + d["rows"]))
     assert json.loads(docs[0]["json"])[0]["d"] == "2024-01-01" and docs[0]["origin"] == "t"
-    (whole,) = SK.rows_to_json_documents(df, ["key"], order=["id"]).collect()
+    (whole,) = SK.rows_to_json_documents(df, ["key"], order=["id"], rows_per_document=None).collect()
     assert whole["rows"] == 1000 and [item["id"] for item in json.loads(whole["json"])] == list(range(1000))
-    with pytest.raises(ValueError):
-        SK.rows_to_json_documents(df, rows_per_document=10)
+
+
+def test_documents_are_bounded_by_default_and_listed_by_key(spark):
+    df = spark.range(0, 5000, 1, 3).select(F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 500 == 1, "few").alias("key"), "id")
+    documents = SK.rows_to_json_documents(df, ["key"], order=["id"])
+    found = documents.collect()
+    assert max(d["rows"] for d in found) == SK.DOCUMENT_ROWS and sum(d["rows"] for d in found) == 5000
+    for key, part in (("hot", 1), (None, 2)):
+        own = next(d for d in found if d["key"] == key and d["part"] == part)
+        ids = [r["id"] for r in df.filter(F.col("key").eqNullSafe(F.lit(key))).orderBy("id").collect()]
+        assert [item["id"] for item in json.loads(own["json"])] == ids[1000 * part : 1000 * part + own["rows"]]
+    items = F.from_json("json", "array<struct<id: bigint>>")
+    index = {r["key"]: (r["parts"], r["rows"], r["first"], r["last"]) for r in SK.document_index(documents, ["key"], items[0]["id"], F.element_at(items, -1)["id"]).collect()}
+    assert index["hot"] == (2, 1667, 0, 4998) and index["few"][0] == 1 and index[None][0] == 4
+    everything = SK.rows_to_json_documents(df, rows_per_document=2000).collect()  # no key, no order
+    assert sorted((d["part"], d["rows"]) for d in everything) == [(0, 2000), (1, 2000), (2, 1000)]
+
+
+def test_messages_are_unzipped_once(spark, tmp_path):
+    publish_chains(parse_chain(spark.createDataFrame([('{"symbol":"Q"}',)], "text string"), "text"), str(tmp_path / "in"))
+    messages = with_text(spark.read.parquet(str(tmp_path / "in")))
+    plan = decode_chain_payload(messages)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("_gunzip(") == 1 and decode_chain_payload(messages).first()["symbol"] == "Q"
+
+
+def test_progress_table_keeps_a_record_for_each_batch(spark, landed, tmp_path):
+    table = ProgressTable(spark, str(tmp_path / "progress"))
+    observed = observe_quality(landed.withColumn("error", F.when(F.col("v") >= 100, "bad")), "error", "messages")
+    for _ in range(2):  # the second start has nothing to do; its records are those of the query's id
+        query = run_stream(observed, epoch_sink(str(tmp_path / "o")), str(tmp_path / "c"), trigger=None)
+        query.awaitTermination()
+        table.flush(query)
+        table.flush(query)
+    rows = sorted((r.batchId, r.numInputRows, r.observed["messages"].malformed, r.malformed_ratio, r.alert) for r in table.read().filter("numInputRows > 0").collect())
+    assert rows == [(0, 8, 0, 0.0, False), (1, 8, 8, 1.0, True), (2, 8, 8, 1.0, True)]
 
 
 def test_snapshots(spark, tmp_path):
