@@ -172,9 +172,10 @@ def mix(df: DataFrame, source: str, size: Column, order: list[str], weights=WEIG
     the shared folder.
     """
     spark = df.sparkSession
-    keep = without(df, "size", "source_size", "target", "rate", "copies")
-    rows = keep.select(*keep.columns, size.cast("long").alias("size"), F.col(source).alias("__src"),
-                       F.pmod(F.xxhash64(*order), F.lit(PARTS)).alias("__part"))
+    kept = without(df, "size", "source_size", "target", "rate", "copies").columns
+    names = [f"__order{i}" for i in range(len(order))]
+    rows = df.select(*[F.col(f"`{c}`") for c in kept], size.cast("long").alias("size"), F.col(source).alias("__src"),
+                     F.pmod(F.xxhash64(*order), F.lit(PARTS)).alias("__part"), *[F.col(o).alias(n) for o, n in zip(order, names, strict=True)])
     parts_path = f"{shared_dir(spark)}/mix-{uuid.uuid4().hex}"
     rows.groupBy(F.col("__src").alias("source"), "size", F.col("__part").alias("part")).agg(F.count(F.lit(1)).alias("m")).write.parquet(f"{parts_path}/parts")
     parts = spark.read.schema("source string, size long, part long, m long").parquet(f"{parts_path}/parts")
@@ -202,10 +203,10 @@ def mix(df: DataFrame, source: str, size: Column, order: list[str], weights=WEIG
             F.col("source").alias("__s"), F.col("size").alias("__size"), F.col("part").alias("__p"), "source_size", "target", "rate", F.col("m").alias("__m"),
             (F.expr("(end * copies) div n") - F.expr("((end - m) * copies) div n")).alias("__share"))
     )
-    place = F.row_number().over(Window.partitionBy("__src", "size", "__part").orderBy(*order)).cast("long")
+    place = F.row_number().over(Window.partitionBy("__src", "size", "__part").orderBy(*names)).cast("long")
     same = F.col("__src").eqNullSafe(F.col("__s")) & (F.col("size") == F.col("__size")) & (F.col("__part") == F.col("__p"))
     return (
         rows.withColumn("__k", place).join(dealt, same)
         .withColumn("copies", (F.expr("(__k * __share) div __m") - F.expr("((__k - 1) * __share) div __m")).cast("int"))
-        .drop("__src", "__part", "__k", "__s", "__size", "__p", "__m", "__share")
+        .drop("__src", "__part", "__k", "__s", "__size", "__p", "__m", "__share", *names)
     )

@@ -211,3 +211,13 @@ def test_mix_of_odd_tables(docs, spark):
     assert len(out) == docs.count() and {r.source_size for r in out if r.source is None} == {sum(r.size for r in out if r.source is None)}
     assert all(r.copies in (0, 1, 2) for r in out)
     assert mixing.mix(docs.where("false"), "source", word_count(F.col("text")), ["doc_id"]).count() == 0
+
+
+def test_mix_with_columns_of_the_results_names(docs, spark):
+    words = word_count(F.col("text"))
+    plain = mixing.mix(docs, "source", words, ["doc_id"]).select("doc_id", "size", "target", "copies").collect()
+    named = docs.select(F.col("doc_id").alias("copies"), "text", F.col("source").alias("target"), words.alias("size"), F.lit("x").alias("Rate"))
+    found = mixing.mix(named.withColumn("key", F.col("copies")), "target", F.col("size"), ["copies"])
+    assert found.columns == ["text", "key", "size", "source_size", "target", "rate", "copies"]
+    order = lambda rows: sorted(map(tuple, rows), key=str)
+    assert order(found.select("key", "size", "target", "copies").collect()) == order(plain)
