@@ -32,17 +32,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from optiontide.llm.common import lean
+
 LETTER, NUMBER, OTHER, SPACE, BLANK = range(5)
 # Symbols of the machine.
 S_LETTER, S_NUMBER, S_OTHER, S_SHORT, S_LONG, S_WHITE, S_WHITE_LAST, S_BLANK_LAST = range(8)
 # States: in a run of letters, numbers, others or white space; after a leading blank; one or two letters before the end of a
 # contraction; after a finished token.
 IN_LETTER, IN_NUMBER, IN_OTHER, IN_WHITE, PREFIX, LAST_ONE, LAST_TWO, DONE = range(8)
-CACHE = 400_000
+#: Bytes that a worker's cache of slices may take.
+CACHE = 32 << 20
 #: Slices up to so many bytes are merged in arrays.
 SHORT = 48
 NEVER = np.int64(1) << 40
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 WIDTH = 256
 
 #: White space of the pattern (fixed values).
@@ -149,19 +152,24 @@ def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
 
 
+def pair_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of ids that merge, sorted (left << 32 | right), and what they merge to."""
+    pairs = {}
+    for word, rank in ranks.items():
+        for i in range(1, len(word)):
+            left, right = ranks.get(word[:i]), ranks.get(word[i:])
+            if left is not None and right is not None:
+                pairs[left << 32 | right] = rank
+    keys = np.array(sorted(pairs), dtype=np.int64)
+    return keys, np.array([pairs[k] for k in keys.tolist()], dtype=np.int64)
+
+
 class Merger:
     """Ids of slices; short new ones are merged side by side in arrays, and slices seen before come from a cache."""
 
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.cache = ranks, {}
-        pairs = {}
-        for word, rank in ranks.items():
-            for i in range(1, len(word)):
-                left, right = ranks.get(word[:i]), ranks.get(word[i:])
-                if left is not None and right is not None:
-                    pairs[left << 32 | right] = rank
-        self.keys = np.array(sorted(pairs), dtype=np.int64)
-        self.values = np.array([pairs[k] for k in self.keys.tolist()], dtype=np.int64)
+    def __init__(self, ranks: dict[bytes, int], pairs: tuple[np.ndarray, np.ndarray] | None = None):
+        self.ranks, self.cache, self.held = ranks, {}, 0
+        self.keys, self.values = pairs or pair_table(ranks)
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
 
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -199,10 +207,11 @@ class Merger:
         return out
 
     def learn(self, slices: set[str]) -> None:
-        """Put the ids of slices into the cache."""
-        if len(self.cache) + len(slices) > CACHE:
-            self.cache = {}
+        """Put the ids of slices into the cache, which is emptied first when it is full."""
+        if self.held > CACHE:
+            self.cache, self.held = {}, 0
         new = [t for t in slices if t not in self.cache]
+        self.held += sum(map(len, new)) * 10 + 250 * len(new)  # string, list and entry; at most an id for each byte
         short = []
         for text in new:
             piece = text.encode("utf-8", "surrogatepass")
@@ -259,18 +268,18 @@ def encode(df: DataFrame, text: str, rank_file: str) -> DataFrame:
     """
     kept = [c for c in df.columns if c.lower() not in ("ids", "starts")]
     rows = df.select(*[F.col(f"`{c}`") for c in kept])
-    shared = df.sparkSession.sparkContext.broadcast((read_ranks(rank_file), class_table()))
+    shared = df.sparkSession.sparkContext.broadcast((ranks := read_ranks(rank_file), class_table(), pair_table(ranks)))
     place = kept.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks, table = shared.value
-        merger = Merger(ranks)
+        ranks, table, pairs = shared.value
+        merger = Merger(ranks, pairs)
         for whole in batches:
             for batch in blocks_of(whole, place):
                 texts = [t or "" for t in batch.column(place).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *encode_texts(texts, merger, table)], [*kept, "ids", "starts"])
 
-    return rows.mapInArrow(run, _with(rows, ids=T.ArrayType(T.IntegerType()), starts=T.ArrayType(T.IntegerType())))
+    return rows.mapInArrow(lean(run), _with(rows, ids=T.ArrayType(T.IntegerType()), starts=T.ArrayType(T.IntegerType())))
 
 
 def blocks_of(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
@@ -327,7 +336,7 @@ def decode(df: DataFrame, ids: str, rank_file: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, decode_ids(part.column(place), shared.value)], [*kept, "decoded"])
                 at = end
 
-    return rows.mapInArrow(run, _with(rows, decoded=T.BinaryType()))
+    return rows.mapInArrow(lean(run), _with(rows, decoded=T.BinaryType()))
 
 
 def decode_slice(ids: list[int], starts: list[int], slice_no: int, words: dict[int, bytes]) -> bytes:

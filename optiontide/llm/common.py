@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+import gc
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,6 +18,35 @@ from optiontide.session import shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Bytes of an Arrow batch on its way to a Python worker.
+BATCH = 4 << 20
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+_DEFAULT = "67108864b"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most ``BATCH`` bytes (or one row), unless the session names a limit of its own.
+
+    It bounds memory and changes no result. Spark has this limit by session only; its default of 64 MB would be held by the
+    executor and by both of its workers, for every task.
+    """
+    if spark.conf.get(_BYTES) == _DEFAULT:
+        spark.conf.set(_BYTES, str(BATCH))
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A function over Arrow batches that hands its task's memory back at the end: workers wait for the next task with what they hold."""
+    @functools.wraps(run)
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+
+    return held
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text; 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from optiontide.llm.common import Folder
+from optiontide.llm.common import Folder, lean
 from optiontide.llm.components import components
 from optiontide.llm.shingles import mixed, shingle_sets
 
@@ -48,10 +48,14 @@ DENSE = 256
 BOTH = DENSE * 4 // 5
 #: Estimates this far below the threshold (four standard errors) are not confirmed.
 MARGIN = 0.14
-#: Members of a bucket that meet in one task.
+#: Members of a bucket that meet in one group, and bytes of their registers and full sets.
 BLOCK = 512
-#: Rows of small buckets or clusters that share a task.
+BLOCK_BYTES = 2 << 20
+#: Rows of small buckets or clusters that share a group, and their bytes.
 PACK = 1024
+PACK_BYTES = 4 << 20
+#: Rows whose band keys are made at once.
+KEYED = 1024
 #: Partners that a member names in a round, and more rounds than clusters can be halved.
 BEST = 3
 ROUNDS = 64
@@ -127,7 +131,7 @@ def _fixed(column: pa.Array, kind, *shape: int) -> np.ndarray:
 
 def _signatures(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, 128) for whole in batches for at in range(0, whole.num_rows, 128)):
             sizes, ids, signs = [], [], []
             for grams in shingle_sets(batch.column("text"), words):
                 sizes.append(len(grams))
@@ -150,9 +154,7 @@ def _full_sets(words: int):
 
 
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        if not batch.num_rows:
-            continue
+    for batch in (whole.slice(at, KEYED) for whole in batches for at in range(0, whole.num_rows, KEYED)):
         rows = _fixed(batch.column("registers"), np.uint16, 2, REGISTERS).astype(np.uint64)
         owners, keys = [], []
         for kind in (0, 1):
@@ -249,21 +251,23 @@ def _estimate(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
     for side in "ab":
         own = classes.select(F.col("set_id").alias(side), F.col("n_shingles").alias(f"n{side}"), F.col("registers").alias(f"r{side}"))
         pairs = pairs.join(own, side)
-    return pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(_close_enough(share), "a binary, b binary")
+    return pairs.select("a", "b", "na", "nb", "ra", "rb").mapInArrow(lean(_close_enough(share)), "a binary, b binary")
 
 
 def _sets(ids: DataFrame, classes: DataFrame, texts: DataFrame, words: int) -> DataFrame:
     """Full sets (set_id, grams) of the classes ``ids``, each from one of its texts."""
     chosen = ids.join(classes, "set_id").select("set_id", F.col("rep.key").alias("__key"), F.col("rep.mark").alias("__mark"))
     found = texts.join(chosen, F.col("key").eqNullSafe(F.col("__key")) & (F.col("mark") == F.col("__mark"))).select("set_id", "text")
-    sets = found.mapInArrow(_full_sets(words), "set_id binary, grams binary")
+    sets = found.mapInArrow(lean(_full_sets(words)), "set_id binary, grams binary")
     return sets.groupBy("set_id").agg(F.max("grams").alias("grams"))  # repeated rows fold here
 
 
-def _blocked(rows: DataFrame, members: str, key: str) -> DataFrame:
-    """Rows of a bucket or cluster (``key``, with its number of ``members``) dealt to groups of pairs of blocks; small ones share groups."""
-    packs = max(1, rows.count() // PACK)
-    blocks = F.ceil(F.col(members) / BLOCK).cast("int")
+def _blocked(rows: DataFrame, key: str) -> DataFrame:
+    """Rows of a bucket or cluster (``key``, with its number of ``members`` and their ``bytes``) dealt to groups of pairs of blocks; small
+    ones share groups. Groups are bounded by rows and by bytes; a set that is larger than a block is a block of its own or nearly so."""
+    whole = rows.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("bytes") / F.col("members")).alias("bytes")).first()
+    packs = max(1, whole["n"] // PACK, int((whole["bytes"] or 0) // PACK_BYTES))
+    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
     return (
         rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -278,7 +282,7 @@ def _across(members: DataFrame, labels: DataFrame, classes: DataFrame, share: fl
         "band", "members", "set_id", F.coalesce("label", "set_id").alias("label"))
     open_ = named.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("band")
     rows = folder.put(named.join(open_, "band"), f"open-{name}")
-    rows = _blocked(rows, "members", "band").join(classes.select("set_id", "n_shingles", "registers"), "set_id")
+    rows = _blocked(rows.withColumn("bytes", F.col("members") * REGISTERS * 4), "band").join(classes.select("set_id", "n_shingles", "registers"), "set_id")
     return folder.put(rows.groupBy("pack", "low", "high").applyInPandas(_named(share), "a binary, b binary").distinct(), f"pairs-{name}")
 
 
@@ -289,13 +293,13 @@ def _components(df: DataFrame, key: str, text: str, words: int, percent: int) ->
     texts = df.select(F.col(key).alias("key"), F.xxhash64(text).alias("mark"), F.col(text).alias("text"))
     kind = texts.schema["key"].dataType.simpleString()
     signed = folder.put(
-        texts.mapInArrow(_signatures(words), f"key {kind}, mark long, n_shingles long, set_id binary, registers binary"), "signed")
+        texts.mapInArrow(lean(_signatures(words)), f"key {kind}, mark long, n_shingles long, set_id binary, registers binary"), "signed")
     classes = folder.put(
         signed.where("n_shingles > 0").groupBy("set_id").agg(
             F.max("n_shingles").alias("n_shingles"), F.max("registers").alias("registers"), F.min(F.struct("key", "mark")).alias("rep"),
             F.min(F.struct(F.col("key").isNull().alias("none"), "key", "mark")).alias("least")), "classes")
 
-    members = folder.put(classes.select("set_id", "registers").mapInArrow(_band_keys, "band long, set_id binary"), "members")
+    members = folder.put(classes.select("set_id", "registers").mapInArrow(lean(_band_keys), "band long, set_id binary"), "members")
     heads = members.groupBy("band").agg(F.count(F.lit(1)).alias("members"), F.min("set_id").alias("head")).where("members > 1")
     members = folder.put(members.join(heads, "band"), "buckets")
 
@@ -303,17 +307,20 @@ def _components(df: DataFrame, key: str, text: str, words: int, percent: int) ->
     pairs = folder.put(_estimate(stars, classes, share), "stars")
     clusters = components(pairs, f"{folder.path}/clusters")
     members = members.where("members > 2")
-    for k in range(ROUNDS):  # every round at least halves the clusters that a pair still crosses
+    for k in range(ROUNDS + 1):  # every round at least halves the clusters that a pair still crosses
         more = _across(members, clusters, classes, share, folder, str(k))
         if more.isEmpty():
             break
+        if k == ROUNDS:
+            raise RuntimeError("clusters did not settle")
         pairs = pairs.union(more)
         clusters = components(pairs, f"{folder.path}/clusters-{k}")
 
-    sizes = clusters.groupBy("label").agg(F.count(F.lit(1)).alias("members"))
+    own = clusters.select(F.col("node").alias("set_id"), "label").join(classes.select("set_id", "n_shingles"), "set_id")
+    sizes = own.groupBy("label").agg(F.count(F.lit(1)).alias("members"), F.sum(8 * F.col("n_shingles") + 4 * REGISTERS).alias("bytes"))
     inside = folder.put(clusters.select(F.col("node").alias("set_id"), "label").join(sizes, "label"), "inside")
     sets = folder.put(_sets(inside.select("set_id"), classes, texts, words), "sets")
-    rows = _blocked(inside, "members", "label").join(classes.select("set_id", "n_shingles", "registers"), "set_id").join(sets, "set_id")
+    rows = _blocked(inside, "label").join(classes.select("set_id", "n_shingles", "registers"), "set_id").join(sets, "set_id")
     links = folder.put(rows.groupBy("pack", "low", "high").applyInPandas(_linked(percent), "a binary, b binary"), "links")
     labels = components(links, f"{folder.path}/components")
 

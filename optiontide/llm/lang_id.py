@@ -16,8 +16,8 @@ look alike in all languages (ids, tables, other scripts) count little beside
 prose, and a text and its repetition score the same.
 
 Fitting takes at most ``per_language`` labelled texts of each language (spread
-over hash ranges, so no language is gathered in one task), of each text up to
-``LEARNT`` windows spread evenly; only packed n-gram sets of these reach the
+over hash ranges, so no language is gathered in one task) of the ``LABELS`` most frequent languages, chosen by key and label alone
+and broadcast to the texts, of each text up to ``LEARNT`` windows spread evenly; only packed n-gram sets of these reach the
 driver, ``BITS / 8`` bytes each. Prediction covers every whole text, window by
 window. Null texts and texts without a letter are ``und`` with score 0.
 """
@@ -33,10 +33,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from optiontide.llm.common import lean
+
 BITS = 1 << 14
 SIZES = (1, 2, 3)
 PER_LANGUAGE = 384
 LANDMARKS = 16
+#: Labels that are learnt at most, the most frequent ones.
+LABELS = 200
 RIDGE = 1e-2
 #: Hash ranges of a language that are sampled on their own.
 RANGES = 128
@@ -187,13 +191,15 @@ def fit(df: DataFrame, key: str, text: str, label: str, per_language: int = PER_
     """
     mark = F.xxhash64(key)
     rows = df.where(F.col(label).isNotNull()).select(F.col(key).alias("key"), F.col(label).alias("lang"), mark.alias("mark")).distinct()
+    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LABELS).select(F.col("lang").alias("__common"))
+    rows = rows.join(F.broadcast(common), F.col("lang") == F.col("__common")).drop("__common")
     order = Window.partitionBy("lang", F.pmod("mark", F.lit(RANGES))).orderBy("mark", "key")
     few = rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= max(1, per_language // RANGES)).select("key", "lang")
     few = few.select(F.col("key").alias("__key"), F.col("lang").alias("__lang"))
     texts = df.where(has_letter(F.col(text))).select(F.col(key).alias("key"), F.col(label).alias("lang"), F.col(text).alias("text"))
-    texts = texts.join(few, F.col("key").eqNullSafe(F.col("__key")) & (F.col("lang") == F.col("__lang")))
+    texts = texts.join(F.broadcast(few), F.col("key").eqNullSafe(F.col("__key")) & (F.col("lang") == F.col("__lang")))
     texts = texts.dropDuplicates(["key", "lang"])
-    sets = texts.select("lang", F.xxhash64("key").alias("mark"), "text").mapInArrow(_packed, "lang string, mark long, number int, bits binary")
+    sets = texts.select("lang", F.xxhash64("key").alias("mark"), "text").mapInArrow(lean(_packed), "lang string, mark long, number int, bits binary")
     found = sets.toArrow().to_pydict()
     if not found["lang"]:
         return None
@@ -225,4 +231,4 @@ def predict(df: DataFrame, text: str, model: LanguageModel | None) -> DataFrame:
                     [*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64())], [*kept, "lang_pred", "score"])
 
     schema = out.add("lang_pred", "string").add("score", "double")
-    return df.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)
+    return df.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(lean(run), schema)

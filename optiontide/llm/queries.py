@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from optiontide.llm import bpe, lang_id, oracle_sql, quality, toxicity
-from optiontide.llm.common import word_count
+from optiontide.llm.common import bound_batches, word_count
 from optiontide.llm.hyperminhash import near_duplicates
 from optiontide.llm.itq import near_vectors
 from optiontide.llm.lexical import search
@@ -39,8 +39,8 @@ def query(name: str, sql: str | None = None):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table. Arrow batches are kept to 1,000 rows, so that long texts stay within a worker's memory."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    """One input table. Arrow batches are bounded by bytes, so that long texts stay within a worker's memory."""
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

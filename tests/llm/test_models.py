@@ -197,6 +197,7 @@ def copies():
 @pytest.mark.parametrize("block", [512, 8])
 def test_near_duplicates(spark, tmp_path, copies, block, monkeypatch):
     monkeypatch.setattr(hyperminhash, "BLOCK", block)
+    monkeypatch.setattr(hyperminhash, "BLOCK_BYTES", block * 4096)
     keys = random.Random(3).sample(range(1000), len(copies))
     docs = spark.createDataFrame([(k, t, "en", "a", 0) for k, t in zip(keys, copies, strict=True)], DOCS)
     rows = {r.doc_id: r for r in queries.op8(spark, saved(docs, tmp_path / "d")).collect()}
