@@ -50,6 +50,16 @@ def test_bpe_against_the_library(reference_encoding):
         assert b"".join(bpe.decode_slice(own, at, i, words) for i in range(len(at))) == text.encode()
 
 
+def test_round_trip_is_decode_after_encode(spark, odd):
+    df = odd.withColumn("IDS", F.lit(1)).withColumn("n", F.lit(2))
+    one = bpe.round_trip(df, "text", queries.RANK_FILE)
+    assert one.columns == [c for c in df.columns if c not in ("text", "IDS")] + ["ids", "decoded"]
+    two = bpe.decode(bpe.encode(odd, "text", queries.RANK_FILE), "ids", queries.RANK_FILE)
+    plain = lambda rows: sorted((str(r.doc_id), list(r.ids), bytes(r.decoded)) for r in rows)
+    assert plain(one.collect()) == plain(two.collect())
+    assert bpe.round_trip(df.limit(0), "text", queries.RANK_FILE).count() == 0
+
+
 def test_decoding_in_arrays():
     words = bpe.word_table(bpe.read_ranks(queries.RANK_FILE))
     ids = pa.array([[1, 2, 300], None, [], [4]], pa.list_(pa.int32()))
@@ -299,6 +309,13 @@ def test_near_vectors(spark, tmp_path, block, monkeypatch):
     assert queries.op7(spark, saved(spark.createDataFrame([], VECTORS), tmp_path / "none", "embeddings")).count() == 0
 
 
+def test_near_vectors_of_any_length(spark):
+    """Huge and tiny vectors have cosines like others."""
+    rows = [(0, [1e200, 2e200, 0.0]), (1, [1e-200, 2e-200, 0.0]), (2, [1.0, 2.0, 1e-3]), (3, [-1e200, 5e199, 0.0]), (4, [5e-324, 1e-323, 0.0])]
+    found = {r.vec_id: (r.n_links, r.component_id) for r in itq.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert found == {0: (3, 0), 1: (3, 0), 2: (3, 0), 4: (3, 0), 3: (0, 3)}
+
+
 @pytest.mark.parametrize("common", [0.5, 0.8])
 def test_near_vectors_with_a_common_direction(spark, common):
     rng = np.random.default_rng(4)
@@ -334,6 +351,36 @@ def test_top_k(spark, tmp_path, slice_rows, part, pivots, monkeypatch):
     assert sorted(map(tuple, got)) == sorted(want)
 
 
+def test_top_k_of_clusters_sends_little(spark, tmp_path, monkeypatch):
+    """Clustered vectors meet only the groups that need their cell; the result is the plain one."""
+    monkeypatch.setattr(voronoi, "PER_PIVOT", 2)
+    sent = []
+    plain = voronoi._sent
+    monkeypatch.setattr(voronoi, "_sent", lambda pivots, width, groups, need, *rest: sent.append((need, rest[0])) or plain(pivots, width, groups, need, *rest))
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((12, 16)) * 40
+    owner = rng.integers(0, 12, 3000)
+    vectors = (centres[owner] + rng.standard_normal((3000, 16))).round().astype(np.int64)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, q array<bigint>")
+    got = sorted(map(tuple, voronoi.top_k(df, "vec_id", "q", F.col("vec_id") % 50 == 0, 5).collect()))
+    scores = vectors @ vectors.T
+    want = []
+    for q in range(0, 3000, 50):
+        best = sorted((-scores[q, j], j) for j in range(3000) if j != q)[:5]
+        want += [(q, i + 1, j, -s) for i, (s, j) in enumerate(best)]
+    assert got == sorted(want)
+    need, parts = sent[0]
+    assert len(need) > 1 and need[need.any(axis=1)].mean() < 0.5 and parts.max() == 1
+
+
+def test_top_k_of_huge_components(spark):
+    rows = [(0, [-1e30, 1.0]), (50, [1e30, 2.0]), (1, [3.0, 1e18]), (2, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, v array<double>").withColumn("q", voronoi.whole_numbers(F.col("v"), 256))
+    got = {(r.query_id, r.vec_id): r.score for r in voronoi.top_k(df, "vec_id", "q", F.col("vec_id") % 50 == 0, 5).collect()}
+    top = 2**63 - 1
+    assert len(got) == 6 and got[0, 50] == -top - 1 and got[50, 1] == top and got[50, 2] == top
+
+
 def test_top_k_of_few_rows(spark, tmp_path):
     rows = [(0, [1.0], 0), (7, [2.0], 0), (None, [3.0], 0)]
     got = queries.op3(spark, saved(spark.createDataFrame(rows, VECTORS), tmp_path / "e", "embeddings")).collect()
