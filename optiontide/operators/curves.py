@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -215,44 +215,54 @@ def interp_cubic(points: DataFrame, queries: DataFrame, by: Sequence[str] = ("re
 _TAUS = np.geomspace(0.05, 30.0, 28)
 #: Years that a decay time may take; the search does not leave them.
 TAU_RANGE = (0.02, 60.0)
+#: Curves that are fitted together.
+CURVES_AT_ONCE = 1024
 
 
-def _loadings(t: np.ndarray, tau: float) -> tuple[np.ndarray, np.ndarray]:
-    x = t / tau
+def _design(t: np.ndarray, taus: np.ndarray) -> np.ndarray:
+    """Loadings of the points (..., n) for decay times (..., 1 or 2): level, slope and a hump for each decay time."""
+    x = t[..., None, :] / taus[..., :, None]
     level = np.where(x > 0, -np.expm1(-x) / np.where(x > 0, x, 1.0), 1.0)
-    return level, level - np.exp(-x)
-
-
-def _fit_betas(t: np.ndarray, y: np.ndarray, taus: Sequence[float]) -> tuple[float, np.ndarray]:
-    level, hump = _loadings(t, taus[0])
-    columns = [np.ones_like(t), level, hump]
-    if len(taus) == 2:
-        columns.append(_loadings(t, taus[1])[1])
-    design = np.column_stack(columns)
-    betas = np.linalg.lstsq(design, y, rcond=1e-9)[0]
-    return float(np.sum((design @ betas - y) ** 2)), betas
-
-
-def _fit_curve(t: np.ndarray, y: np.ndarray, two_humps: bool) -> tuple[float, np.ndarray, list[float]]:
-    """Least squares: a grid over the decay times, then ever finer steps around the best."""
-    if two_humps:
-        grid = [(a, b) for a in _TAUS[::2] for b in _TAUS[::2]]
-    else:
-        grid = [(a,) for a in _TAUS]
-    best = min(((*_fit_betas(t, y, taus), list(taus)) for taus in grid), key=lambda r: r[0])
-    step = 0.3
-    while step > 1e-3:
-        moved = False
-        for i in range(len(best[2])):
-            for factor in (np.exp(step), np.exp(-step)):
-                taus = list(best[2])
-                taus[i] = float(np.clip(taus[i] * factor, *TAU_RANGE))
-                error, betas = _fit_betas(t, y, taus)
-                if error < best[0]:
-                    best, moved = (error, betas, taus), True
-        if not moved:
-            step /= 2
-    return best
+    hump = level - np.exp(-x)
+    columns = [np.ones_like(level[..., 0, :]), level[..., 0, :], *[hump[..., k, :] for k in range(taus.shape[-1])]]
+    return np.stack(columns, axis=-1)
+
+
+def _fitted(t: np.ndarray, y: np.ndarray, taus: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Squared errors and linear parameters of stacked curves (m, n), each for decay times of its own (m, k)."""
+    design = _design(t, taus)
+    betas = (np.linalg.pinv(design, rcond=1e-9) @ y[..., None])[..., 0]
+    return (((design @ betas[..., None])[..., 0] - y) ** 2).sum(axis=-1), betas
+
+
+def _fit_curves(t: np.ndarray, y: np.ndarray, two_humps: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Least squares of stacked curves (m, n): a grid over the decay times, then ever finer steps around each curve's best.
+
+    Curves that share their maturities share the grid's designs: each is decomposed once and projects all of them.
+    """
+    taus = np.array([(a, b) for a in _TAUS[::2] for b in _TAUS[::2]] if two_humps else [(a,) for a in _TAUS])
+    best, where = np.full(len(y), np.inf), np.zeros(len(y), dtype=np.int64)
+    for points in {row.tobytes(): row for row in t}.values():
+        own = np.flatnonzero((t == points).all(axis=1))
+        for k, pair in enumerate(taus):
+            design = _design(points, pair)
+            error = ((design @ (np.linalg.pinv(design, rcond=1e-9) @ y[own].T) - y[own].T) ** 2).sum(axis=0)
+            better = error < best[own]
+            best[own[better]], where[own[better]] = error[better], k
+    at, step = taus[where].copy(), np.full(len(y), 0.3)
+    best, betas = _fitted(t, y, at)
+    while (open_ := np.flatnonzero(step > 1e-3)).size:
+        moved = np.zeros(len(y), dtype=bool)
+        for i in range(at.shape[1]):
+            for sign in (1, -1):
+                tried = at[open_].copy()
+                tried[:, i] = np.clip(tried[:, i] * np.exp(sign * step[open_]), *TAU_RANGE)
+                error, found = _fitted(t[open_], y[open_], tried)
+                better = error < best[open_]
+                own = open_[better]
+                best[own], betas[own], at[own], moved[own] = error[better], found[better], tried[better], True
+        step[open_[~moved[open_]]] /= 2
+    return best, betas, at
 
 
 def calibrate_curves(points: DataFrame, model: str = "svensson", by: Sequence[str] = ("ref_date",), t: str = "t",
@@ -260,22 +270,30 @@ def calibrate_curves(points: DataFrame, model: str = "svensson", by: Sequence[st
     """Curve parameters and squared error per curve, by least squares on its points.
 
     For fixed decay times the other parameters are a linear fit, so only the
-    decay times are searched, within ``TAU_RANGE``. Curves are independent and spread over the tasks.
+    decay times are searched, within ``TAU_RANGE``. A curve is one row; the curves of an Arrow batch are fitted together as stacked arrays.
     """
     if model not in ("svensson", "nelson_siegel"):
         raise ValueError(f"unknown curve model {model!r}")
     two = model == "svensson"
     unique = _folded(points, by, t, y)
-    fields = {f.name: f.dataType.simpleString() for f in points.schema}
+    pair = F.struct(F.col("t0").cast("double").alias("t"), F.col("y0").cast("double").alias("y"))
+    curves = unique.groupBy(*by).agg(F.sort_array(F.collect_list(pair)).alias("p"))
+    curves = curves.select(*by, F.col("p.t").alias("__t"), F.col("p.y").alias("__y"))
     names = ["beta0", "beta1", "beta2", "beta3", "tau1", "tau2"] if two else ["beta0", "beta1", "beta2", "tau"]
-    schema = ", ".join([f"`{k}` {fields[k]}" for k in by] + [f"{n} double" for n in [*names, "sse"]] + ["points int"])
-
-    def fit(curve: pd.DataFrame) -> pd.DataFrame:
-        curve = curve.sort_values("t0")
-        error, betas, taus = _fit_curve(curve["t0"].to_numpy(float), curve["y0"].to_numpy(float), two)
-        row = {k: curve[k].iloc[0] for k in by}
-        row.update(zip(names, [*betas, *taus]))
-        row.update(sse=error, points=len(curve))
-        return pd.DataFrame([row])
-
-    return unique.groupBy(*by).applyInPandas(fit, schema)
+    kinds = [curves.schema[k] for k in by] + [T.StructField(n, T.DoubleType()) for n in [*names, "sse"]] + [T.StructField("points", T.IntegerType())]
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for begin in range(0, whole.num_rows, CURVES_AT_ONCE):
+                batch = whole.slice(begin, CURVES_AT_ONCE)
+                times, values = (batch.column(len(by) + i).to_pylist() for i in (0, 1))
+                sizes = np.array([len(x) for x in times])
+                out = np.full((batch.num_rows, len(names) + 1), np.nan)
+                for n in np.unique(sizes):  # curves of as many points are stacked
+                    own = np.flatnonzero(sizes == n)
+                    error, betas, taus = _fit_curves(np.array([times[i] for i in own]), np.array([values[i] for i in own]), two)
+                    out[own] = np.column_stack([betas, taus, error])
+                yield pa.RecordBatch.from_arrays(
+                    [*[batch.column(i) for i in range(len(by))], *[pa.array(c) for c in out.T], pa.array(sizes.astype(np.int32))], [*by, *names, "sse", "points"])
+
+    return curves.mapInArrow(fit, T.StructType(kinds))
