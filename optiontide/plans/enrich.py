@@ -49,6 +49,7 @@ def enrich_fetch_day(
     solve: bool = True,
     partitions: int | None = None,
     carry: tuple[str, ...] = (),
+    european_only: bool = False,
 ) -> DataFrame:
     """Contract rows with q, t, r, implied volatility ``iv_mark`` and JSON ``extra``, of chains of one fetch day.
 
@@ -57,14 +58,14 @@ def enrich_fetch_day(
     kinds stay in one pass: a split and a union would decode every chain twice.
     The job has no shuffle of its own; a narrow source is best widened where it
     is read (``session.widen``), and ``partitions`` spreads the exploded rows
-    before the solver when single chains are very large.
+    before the solver when single chains are very large. ``european_only`` solves contracts of exercise type E alone, in Columns.
     """
     priced = chains.withColumns({
         "q": dividend_yield("dividendAmount", "underlyingPrice", guarded_q),
         "time_remaining": session_time_left("fetchTime", close_equity, close_index, "isIndex", reference_least),
     })
     rows = flatten_chain(priced, carry=(*CHAIN_COLUMNS, "q", "time_remaining", *carry))
-    return _with_volatility(attach_schedule(rows, schedule), params, solve, partitions)
+    return _with_volatility(attach_schedule(rows, schedule), params, solve, partitions, european_only=european_only)
 
 
 PARAMS = ("beta0", "beta1", "beta2", "beta3", "tau1", "tau2")

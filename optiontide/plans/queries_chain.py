@@ -576,3 +576,16 @@ def _(spark, sf):
 @query("fn15_volatility_by_month")
 def _(spark, sf):
     return volatility_by_month(enriched(spark, sf))
+
+
+@query(
+    "fn15_european_volatility_by_month",
+    f"WITH RECURSIVE c AS MATERIALIZED ({_ENRICHED}), q AS (SELECT substr(expirationDate, 1, 7) AS expiry_month, putCall AS side, putCall, underlyingPrice,"
+    " strikePrice, mark, t, r FROM c WHERE mark > intrinsicValue AND exerciseType = 'E' AND t IS NOT NULL), "
+    + O.implied_vols("SELECT * FROM q", "expiry_month, side")
+    + ", every AS (SELECT putCall, substr(expirationDate, 1, 7) AS expiry_month, count(*) AS contracts FROM c GROUP BY ALL), solved AS (SELECT side, expiry_month,"
+    " count(iv) AS solved, round(avg(iv), 6) AS avg_iv FROM vols GROUP BY ALL) SELECT e.putCall, e.expiry_month, e.contracts, coalesce(s.solved, 0) AS solved,"
+    " s.avg_iv FROM every e LEFT JOIN solved s ON s.side = e.putCall AND s.expiry_month = e.expiry_month",
+)
+def _(spark, sf):
+    return rounded(volatility_by_month(enriched(spark, sf, european_only=True)), 6, "avg_iv")
