@@ -282,6 +282,28 @@ def encode(df: DataFrame, text: str, rank_file: str) -> DataFrame:
     return rows.mapInArrow(lean(run), _with(rows, ids=T.ArrayType(T.IntegerType()), starts=T.ArrayType(T.IntegerType())))
 
 
+def round_trip(df: DataFrame, text: str, rank_file: str) -> DataFrame:
+    """``df`` with ``ids`` and ``decoded`` in place of its text: every text is encoded, and the ids are decoded again, by the same worker.
+
+    One worker a task instead of the two of ``decode`` after ``encode``, and the text does not come back from it.
+    """
+    kept = [c for c in df.columns if c.lower() not in ("ids", "decoded") and c != text]
+    rows = df.select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{text}`").alias("__text"))
+    ranks = read_ranks(rank_file)
+    shared = df.sparkSession.sparkContext.broadcast((ranks, class_table(), pair_table(ranks), word_table(ranks)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks, table, pairs, words = shared.value
+        merger = Merger(ranks, pairs)
+        for whole in batches:
+            for batch in blocks_of(whole, len(kept)):
+                ids, _ = encode_texts([t or "" for t in batch.column(len(kept)).to_pylist()], merger, table)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], ids, decode_ids(ids, words)], [*kept, "ids", "decoded"])
+
+    left = rows.drop("__text")
+    return rows.mapInArrow(lean(run), _with(left, ids=T.ArrayType(T.IntegerType()), decoded=T.BinaryType()))
+
+
 def blocks_of(batch: pa.RecordBatch, place: int) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with texts of about ``BLOCK`` bytes, a longer text on its own."""
     sizes = pc.fill_null(pc.binary_length(batch.column(place)), 0).to_numpy(zero_copy_only=False)

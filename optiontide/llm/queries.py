@@ -125,9 +125,9 @@ def op1(spark, sf_dir):
 
 def token_digest(docs: DataFrame, rank_file: str = RANK_FILE) -> DataFrame:
     """doc_id, number of tokens, digest of the ids and of the bytes they decode to."""
-    coded = bpe.encode(docs.select("doc_id", "text"), "text", rank_file).select("doc_id", "ids")
+    coded = bpe.round_trip(docs.select("doc_id", "text"), "text", rank_file)
     ids = F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256)
-    return bpe.decode(coded, "ids", rank_file).select(
+    return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
