@@ -465,15 +465,19 @@ def _tree_price_udf(
 
 
 @pandas_udf(DoubleType())
-def _american_vol_udf(
-    mark: pd.Series, spot: pd.Series, strike: pd.Series, t: pd.Series, rate: pd.Series, q: pd.Series, put_call: pd.Series, steps: pd.Series,
+def _implied_vol_udf(
+    mark: pd.Series, spot: pd.Series, strike: pd.Series, t: pd.Series, rate: pd.Series,
+    q: pd.Series, put_call: pd.Series, exercise: pd.Series, steps: pd.Series,
 ) -> pd.Series:
     levels = int(steps.iloc[0]) if len(steps) else TREE_STEPS
     mark, spot, strike, t, rate, q = (s.to_numpy(dtype=float) for s in (mark, spot, strike, t, rate, q))
     is_call = _calls(put_call)
+    european = (exercise.fillna("") == "E").to_numpy(dtype=bool)
     out = np.full(len(mark), np.nan)
-    usable = np.isfinite(mark) & np.isfinite(rate) & (spot > 0) & (strike > 0) & (t > 0) & np.isfinite(q)
-    pick = np.flatnonzero(usable)
+    usable = np.isfinite(mark) & np.isfinite(rate) & (spot > 0) & (strike > 0) & (t > 0)
+    pick = np.flatnonzero(usable & european)
+    out[pick] = european_vols(mark[pick], spot[pick], strike[pick], t[pick], rate[pick], is_call[pick])
+    pick = np.flatnonzero(usable & ~european & np.isfinite(q))
     out[pick] = american_vols(mark[pick], spot[pick], strike[pick], t[pick], rate[pick], q[pick], is_call[pick], levels)
     return pd.Series(out)
 
@@ -494,11 +498,9 @@ def implied_vol(
 ) -> Column:
     """Volatility at which the model price meets ``mark``; null without a sign change.
 
-    Exercise type E uses Black-Scholes (which leaves q out) and stays in Columns, all others the
-    tree of ``steps`` levels in arrays. With a literal E no Python is planned.
+    Exercise type E uses Black-Scholes (which leaves q out), all others the
+    tree of ``steps`` levels. Whole batches are solved in arrays, which is faster than the fold of ``european_vol``; that
+    one plans no Python.
     """
-    european = F.coalesce(_col(exercise) == "E", F.lit(False))
-    numbers = [_col(c).cast("double") for c in (spot, strike, t, rate, q)]
-    other = F.when(~european, _col(mark).cast("double"))  # European rows cost the tree solver nothing
-    tree = _american_vol_udf(other, *numbers, _col(put_call), F.lit(int(steps)))
-    return F.when(european, european_vol(mark, spot, strike, t, rate, put_call)).otherwise(F.when(~F.isnan(tree), tree))
+    numbers = [_col(c).cast("double") for c in (mark, spot, strike, t, rate, q)]
+    return _implied_vol_udf(*numbers, _col(put_call), _col(exercise), F.lit(int(steps)))

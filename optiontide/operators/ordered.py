@@ -50,7 +50,7 @@ def cut_points(df: DataFrame, columns: Sequence[Column | str], parts: int | None
 def _passed(cuts: str, place: Column, parts: int) -> Column:
     """How many of the sorted cut points in the column ``cuts`` are not behind ``place``: a binary search.
 
-    The column is named once, so that the optimiser puts the subquery it stands for in its place and no row carries the cuts.
+    The column is named once, so that over a table of plain columns the optimiser puts the subquery it stands for in its place and no row carries the cuts.
     """
     steps = F.array(*[F.lit(1 << k) for k in range(parts.bit_length(), -1, -1)])
 
@@ -185,41 +185,22 @@ def rolling_rows(
     )
 
 
-def _apart(cuts: Column, seconds: int) -> Column:
-    """Cut points of (key, time) without those that follow the one kept before, of the same key, by less than ``seconds``."""
-    micros = seconds * 1_000_000
-
-    def step(kept: Column, cut: Column) -> Column:
-        last = F.get(kept, F.size(kept) - 1)
-        near = (last["c0"] == cut["c0"]) & (cut["c1"] - last["c1"] < micros)
-        return F.when(F.coalesce(near, F.lit(False)), kept).otherwise(F.concat(kept, F.array(cut)))
-
-    return F.aggregate(cuts, F.slice(cuts, 1, 0), step)
-
-
 def trailing_count(
-    df: DataFrame, keys: Sequence[str], ts: str, seconds: int, name: str, bucket_seconds: float | None = None
+    df: DataFrame, keys: Sequence[str], ts: str, seconds: int, name: str, bucket_seconds: float = 3600
 ) -> DataFrame:
     """Rows of the same key in the ``seconds`` up to and including each row's time.
 
-    Ranges of (key, time) overlap by the window: a row near the end of one is repeated
-    in the next one, where it only counts towards other rows. They are cut at sampled places at least a window apart, or
-    every ``bucket_seconds``, which is never below the window.
+    Each key is cut along time every ``bucket_seconds`` (never below the window), so a hot key is spread over as many groups as it has hours. Buckets
+    overlap by the window: a row near the end of one is repeated
+    in the next one, where it only counts towards other rows. Nothing is read while the plan is built.
     """
+    width = max(bucket_seconds, seconds)
     instant = F.col(ts).cast("timestamp")
+    bucket = time_bucket(ts, width)
+    reach = time_bucket(instant + F.make_interval(secs=F.lit(seconds)), width)
+    homes = F.when(reach > bucket, F.array(bucket, bucket + 1)).otherwise(F.array(bucket))
     micros = F.unix_micros(instant)
-    if bucket_seconds:
-        width = max(bucket_seconds, seconds)
-        reach = time_bucket(instant + F.make_interval(secs=F.lit(seconds)), width)
-        placed = df.withColumns({"__us": micros, "__home": time_bucket(ts, width), "__reach": reach})
-    else:
-        key = F.struct(*keys) if keys else F.struct(F.lit(0))
-        cuts = cut_points(df, [key, micros]).select(_apart(F.col("cuts"), seconds).alias("cuts")).scalar()
-        near, far = (_passed(c, _place([key, micros + F.lit(n)]), CUTS) for c, n in (("__cuts0", 0), ("__cuts1", seconds * 1_000_000)))
-        placed = df.withColumns({"__cuts0": cuts, "__cuts1": cuts}).withColumns({"__us": micros, "__home": near, "__reach": far}).drop("__cuts0", "__cuts1")
-    home, reach = F.col("__home"), F.col("__reach")
-    homes = F.when(reach > home, F.array(home, home + 1)).otherwise(F.array(home))
-    spread = placed.withColumn(_BUCKET, F.explode(homes))
+    spread = df.select("*", micros.alias("__us"), bucket.alias("__home"), F.explode(homes).alias(_BUCKET))
     w = W.partitionBy(*keys, _BUCKET).orderBy("__us").rangeBetween(-seconds * 1_000_000, 0)
     counted = spread.withColumn(name, F.count(F.lit(1)).over(w))
-    return counted.filter(F.col("__home").eqNullSafe(F.col(_BUCKET))).drop("__us", "__home", "__reach", _BUCKET)
+    return counted.filter(F.col("__home").eqNullSafe(F.col(_BUCKET))).drop("__us", "__home", _BUCKET)

@@ -472,6 +472,17 @@ def _(spark, sf):
     return rounded(c.select("symbol", iv.alias("iv")), 5, "iv")
 
 
+@query(
+    "fn14_european_vol_in_columns",
+    "WITH RECURSIVE q AS (SELECT symbol, putCall, underlyingPrice, strikePrice, mark, daysToExpiration / 365.0::double AS t,"
+    f" 0.045::double AS r FROM ({CONTRACTS}) c WHERE mark > intrinsicValue), {O.implied_vols('SELECT * FROM q', 'symbol')}"
+    " SELECT symbol, round(iv, 5) AS iv FROM vols",
+)
+def _(spark, sf):
+    c = contracts(spark, sf).filter(CH.is_iv_eligible()).withColumn("t", F.col("daysToExpiration") / F.lit(365.0))
+    return rounded(c.select("symbol", P.european_vol("mark", "underlyingPrice", "strikePrice", "t", F.lit(0.045), "putCall").alias("iv")), 5, "iv")
+
+
 @query("fn14_implied_vol_american")
 def _(spark, sf):
     c = contracts(spark, sf).filter(CH.is_iv_eligible()).withColumn("t", F.col("daysToExpiration") / F.lit(365.0))

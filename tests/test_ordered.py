@@ -133,8 +133,8 @@ def test_cuts_follow_the_rows(spark):
 
 def test_no_row_carries_the_cuts(ticks):
     df, _ = ticks
-    plan = with_ordinal(df, ["symbol"], ["ts", "id"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "AS __cuts" not in plan
+    for frame in (with_ordinal(df, ["symbol"], ["ts", "id"]), B.daily_returns(df, tie=["id"])):
+        assert "AS __cuts" not in frame._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_plans_are_built_without_jobs(spark, sf_dir):

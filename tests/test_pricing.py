@@ -163,7 +163,7 @@ def test_european_root_in_columns(spark):
     frame = df.toPandas()
     frame["mark"] = P.european_prices(frame.S.values, frame.K.values, frame.t.values, frame.r.values, frame.vol.values, frame.call.values)[0] + frame.noise
     priced = spark.createDataFrame(frame)
-    found = priced.withColumn("iv", P.implied_vol("mark", "S", "K", "t", "r", F.lit(0.0), "putCall", F.lit("E")))
+    found = priced.withColumn("iv", P.european_vol("mark", "S", "K", "t", "r", "putCall"))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
     out = found.toPandas()
