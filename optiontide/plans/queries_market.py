@@ -625,17 +625,20 @@ def _(spark, sf):
 def _(spark, sf):
     # Six slices of time arrive one after the other; a tenth of the rows comes a slice late. After three slices the query stops and goes on from
     # its checkpoint; a last request of a client of its own moves the watermark past the rest.
-    landed, checkpoint, out = (run_dir(spark, n) for n in ("requests", "checkpoint", "rates"))
+    # The rows are dealt to slices in one pass, and a slice lands as a file for each core, which one batch takes.
+    dealt, landed, checkpoint, out = (run_dir(spark, n) for n in ("slices", "requests", "checkpoint", "rates"))
     rows = requests(spark, sf).select("client", F.col("ts").cast("timestamp").alias("ts"))
     lo, hi = rows.agg(F.unix_micros(F.min("ts")), F.unix_micros(F.max("ts"))).first()
     width = (hi - lo) // 6 + 1
     slice_ = F.floor((F.unix_micros("ts") - lo) / width) + F.when(F.xxhash64("client", "ts") % 10 == 0, 1).otherwise(0)
+    rows.withColumn("slice", slice_).write.partitionBy("slice").parquet(dealt)
+    files = spark.sparkContext.defaultParallelism
     end = spark.range(1).select(F.lit(None).cast(rows.schema["client"].dataType).alias("client"), F.timestamp_micros(F.lit(hi + 3 * width + 10**8)).alias("ts"))
     for k in range(8):
-        part = end if k == 7 else rows.filter(slice_ == k)
-        part.coalesce(1).write.mode("append").parquet(landed)
+        part = end if k == 7 else spark.read.parquet(dealt).filter(F.col("slice") == k).drop("slice").repartition(files)
+        part.write.mode("append").parquet(landed)
         if k in (2, 7):
-            stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(landed)
+            stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(landed)
             rates = trailing_rate_stream(stream, Q.WINDOW_SECONDS, f"{2 * width // 10**6 + 1} seconds")
             J.run_stream(rates, J.epoch_sink(out), checkpoint, trigger=None).awaitTermination()
     return SK.read_epochs(spark, out).select("client", "ts", "rate")

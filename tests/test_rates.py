@@ -57,3 +57,19 @@ def test_stream_equals_the_batch_form_and_goes_on_from_its_checkpoint(spark, tmp
     found = sorted((r.client or "", r.ts, r.rate) for r in SK.read_epochs(spark, out).collect())
     batch = trailing_request_rate(spark.createDataFrame(rows, kind).withColumn("client", F.col("client")), 60)
     assert found == sorted((r.client or "", r.ts, r.rate) for r in batch.collect())
+
+
+def test_a_hot_client_is_spread_over_buckets_of_time(spark, tmp_path):
+    rng = random.Random(3)
+    start = dt.datetime(2024, 1, 1)
+    rows = [("a", start + dt.timedelta(seconds=rng.choice([0, 595, 600, 1195, 1200]) + rng.randint(0, 60))) for _ in range(300)]  # close to the cuts
+    landed, out = str(tmp_path / "in"), str(tmp_path / "out")
+    kind = "client string, ts timestamp"
+    spark.createDataFrame(rows, kind).coalesce(1).write.parquet(landed)
+    spark.createDataFrame([("end", start + dt.timedelta(hours=2))], kind).coalesce(1).write.mode("append").parquet(landed)
+    stream = spark.readStream.schema(kind).option("maxFilesPerTrigger", 1).parquet(landed)
+    job = run_stream(trailing_rate_stream(stream, 60, "0 seconds", bucket_seconds=600), epoch_sink(out), str(tmp_path / "cp"), trigger=None)
+    job.awaitTermination()
+    assert max(p["stateOperators"][0]["numRowsUpdated"] for p in job.recentProgress) >= 3
+    batch = trailing_request_rate(spark.createDataFrame(rows, kind), 60)
+    assert sorted((r.ts, r.rate) for r in SK.read_epochs(spark, out).collect()) == sorted((r.ts, r.rate) for r in batch.collect())
