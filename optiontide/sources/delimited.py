@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from optiontide.operators.ordered import with_ordinal
 from optiontide.schemas import EQUITY_MASTER_COLUMNS, OPTION_MASTER_COLUMNS
 
 
@@ -23,7 +23,8 @@ def parse_delimited(spark: SparkSession, path: str, schema: T.StructType | str,
 
     ``bad_line`` holds the text of a line that does not fit and is null else.
     Blank lines give no row. Lines are numbered per file split and offset by the lines of
-    earlier splits, so a large file is read in parallel.
+    earlier splits, so a large file is read in parallel. A split's lines have running ids as they are read, so none is sorted or shuffled: only the least
+    id and the number of lines of each split are.
     """
     lines = spark.read.text(path, lineSep=row_sep).select(
         "value",
@@ -31,7 +32,11 @@ def parse_delimited(spark: SparkSession, path: str, schema: T.StructType | str,
         F.col("_metadata.file_block_start").alias("__start"),
         F.monotonically_increasing_id().alias("__id"),
     )
-    numbered = with_ordinal(lines, ["__file"], ["__id"], F.col("__start"), "__line")
+    splits = lines.groupBy("__file", "__start").agg(F.min("__id").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("__file").orderBy("__start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.withColumn("__off", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")  # a row for each split
+    numbered = lines.join(F.broadcast(offsets), ["__file", "__start"])
+    numbered = numbered.withColumn("__line", F.col("__id") - F.col("__first") + F.col("__off") + 1)
     wanted = numbered.filter(F.col("__line") >= first_row)
     if last_row is not None:
         wanted = wanted.filter(F.col("__line") <= last_row)

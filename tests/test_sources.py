@@ -106,3 +106,17 @@ def test_market_hours_file(spark, tmp_path):
                     C.get_markets("doc").alias("m"), C.get_hour("doc", "$.equity.EQ.sessionHours.preMarket[0].start").alias("h")).collect()
     assert [r.any for r in out] == [False, True] and out[0].eq is True and str(out[0].d) == "2024-08-10"
     assert out[0].m[:2] == ["FOREX", "OPTION"] and str(out[0].h) == "2024-08-10 11:00:00"
+
+
+def test_lines_of_many_splits_are_numbered_without_a_sort_of_lines(spark, tmp_path):
+    for name, rows in (("a", 3000), ("b", 700)):
+        (tmp_path / f"{name}.csv").write_text("id;v\n" + "".join(f"{i};{'x' * (i % 40)}\n" for i in range(rows)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        read = SD.read_delimited(spark, str(tmp_path), "id int, v string", sep=";", first_row=11, last_row=2000)
+        plan = read._jdf.queryExecution().optimizedPlan().toString()
+        got = sorted(r.id for r in read.collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert got == sorted([*range(9, 1999), *range(9, 700)])
+    assert "row_number" not in plan
