@@ -42,12 +42,23 @@ def parse_feed(messages: DataFrame, value: str = "value") -> DataFrame:
     return parsed.select(F.col("d.service").alias("service"), F.col("d.timestamp").alias("timestamp"), F.explode("d.content").alias("content"))
 
 
+def write_by_service(items: DataFrame, path: str) -> None:
+    """Write the items of ``parse_feed`` partitioned by service, with a file open for each service instead of a sort of a task's rows."""
+    conf, name = items.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, str(max(int(before), len(SERVICE_FIELDS) + len(BOOK_SERVICES))))
+    try:
+        items.write.partitionBy("service").parquet(path)
+    finally:
+        conf.set(name, before)
+
+
 def feed_fields(items: DataFrame, service: str) -> DataFrame:
     """Named, typed columns of the items of one service from ``parse_feed``.
 
     A field that does not fit its type is null. Fields without a name are kept
     in the map column ``other_fields``. To take several services out of a large feed, write the parsed items
-    partitioned by service first.
+    by ``write_by_service`` first.
     """
     if service not in SERVICE_FIELDS:
         raise ValueError(f"unknown service {service!r}")
