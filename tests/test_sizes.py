@@ -26,7 +26,6 @@ def test_feed_is_written_by_service_without_a_sort(spark, tmp_path):
     FD.write_by_service(items, str(tmp_path / "feed"))
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
     back = spark.read.parquet(str(tmp_path / "feed"))
-    # rows of a service keep their order, which a sort by service alone would not promise
     assert {r["service"]: r["n"] for r in back.groupBy("service").agg(F.count(F.lit(1)).alias("n")).collect()} == {"LEVELONE_EQUITIES": 334, "LEVELONE_OPTIONS": 666}
 
 
