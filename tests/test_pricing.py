@@ -174,3 +174,34 @@ def test_european_root_in_columns(spark):
     close = np.abs(out.iv.values[both] - want[both]) < 1e-7
     same_price = np.abs(price(out.iv.values) - out.mark.values[both]) < 1e-9 * out.S.values[both] + 1e-9  # where the price is flat, any volatility fits
     assert (close | same_price).all() and close.mean() > 0.9
+
+
+@pytest.mark.parametrize("steps", [1, 2, 7, 8, 100, 237])
+def test_known_nodes_are_not_walked(steps, monkeypatch):
+    """Options with proper probabilities leave out nodes whose value is known; the price is that of the whole walk."""
+    rng = np.random.default_rng(steps)
+    n = 3000
+    spot = np.exp(rng.uniform(-2, 7, n))
+    strike = spot * np.exp(rng.normal(0, 0.5, n))
+    t, vol = np.exp(rng.uniform(-8, 2, n)), np.exp(rng.uniform(-5, 2.4, n))
+    rate, q = rng.choice([0, -0.02, 0.01, 0.05, 0.12], n), rng.choice([0, 0, 0.001, 0.01, 0.05, 0.2], n)
+    is_call = rng.random(n) < 0.5
+    strike[:50] = spot[:50]
+    strike[50:60], strike[60:70] = spot[50:60] * 1e6, spot[60:70] / 1e6
+    t[70:75], vol[75:80], spot[80:85], q[85:120] = 0, 0, np.nan, -0.01  # no tree, or one where the order of exercised nodes is not certain
+    whole, walked = P._tree_block, []
+
+    def counted(*args):
+        walked.append(len(args[0]))
+        return whole(*args)
+
+    monkeypatch.setattr(P, "_tree_block", counted)
+    got = P.american_prices(spot, strike, t, rate, q, vol, is_call, steps)
+    with np.errstate(all="ignore"):
+        want = whole(spot, strike, t, rate, q, vol, is_call, steps)
+        up = np.exp(vol * np.sqrt(t / steps))
+        p = (np.exp((rate - q) * t / steps) - 1 / up) / (up - 1 / up)
+    assert (np.isfinite(got) == np.isfinite(want)).all()
+    fine = np.isfinite(want) & (p > 0) & (p < 1)
+    assert np.max(np.abs(got - want)[fine] / np.maximum(want, spot)[fine]) < 1e-11
+    assert sum(walked) < n / 4 and fine.sum() > n * 0.8
