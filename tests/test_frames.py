@@ -5,6 +5,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
+from optiontide.plans import queries_records as QR
 from optiontide.sources import chains as SC
 
 
@@ -56,3 +57,10 @@ def test_only_the_columns_asked_for_are_parsed(spark):
     some = SC.decode_chain_payload(messages, columns=("symbol", "callExpDateMap"))
     assert some.columns == ["symbol", "callExpDateMap"]
     assert some.first() == SC.decode_chain_payload(messages).select("symbol", "callExpDateMap").first()
+
+
+def test_chains_are_counted_from_the_columns_of_the_count(spark):
+    texts = [('{"symbol":"Q","underlying":{"symbol":"U"},"callExpDateMap":{"e":{"1.0":[{"symbol":"c"}]}},"putExpDateMap":{}}',)] * 3
+    counts = QR._count_by_symbol(spark.createDataFrame(texts, "text string").select(SC._frame(F.col("text")).alias("value")))
+    assert [tuple(r) for r in counts.collect()] == [("Q", 3, 3)]
+    assert "fiftyTwoWeekHigh" not in counts._jdf.queryExecution().executedPlan().toString()
