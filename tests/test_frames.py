@@ -1,12 +1,17 @@
 """Frames of stored text: made and read by built-in functions, as the gzip module makes and reads them."""
 
+import contextlib
 import gzip
 import zlib
 
 from pyspark.sql import functions as F
 
 from optiontide.plans import queries_records as QR
+from optiontide.plans.catalogue import QUERIES
+from optiontide.plans.process import process_messages
+from optiontide.session import split_bytes
 from optiontide.sources import chains as SC
+from optiontide.streaming import job as J
 
 
 def test_published_frames_need_no_python(spark):
@@ -64,3 +69,42 @@ def test_chains_are_counted_from_the_columns_of_the_count(spark):
     counts = QR._count_by_symbol(spark.createDataFrame(texts, "text string").select(SC._frame(F.col("text")).alias("value")))
     assert [tuple(r) for r in counts.collect()] == [("Q", 3, 3)]
     assert "fiftyTwoWeekHigh" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_stored_rows_parse_what_they_take(spark):
+    schedule = spark.createDataFrame([("2024-01-19", 0.05, 0.06)], "iso_date string, T_eqo double, T_ind double")
+    params = {"beta0": 0.04, "beta1": 0.0, "beta2": 0.0, "beta3": 0.0, "tau1": 1.0, "tau2": 2.0}
+    messages = spark.createDataFrame([], "key binary, value binary")
+    rows = process_messages(messages, schedule, params, F.lit("2024-01-02 21:00:00"), F.lit("2024-01-02 21:15:00"), solve=False)
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "fiftyTwoWeekHigh" not in plan and "optionDeliverablesList" not in plan and "theoreticalOptionValue" in plan
+
+
+def test_batches_of_large_files_are_cut_small(spark, tmp_path):
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    messages = spark.range(0, 20_000, 1, 1).select(F.col("id").cast("string").cast("binary").alias("key"), F.md5(F.col("id").cast("string")).cast("binary").alias("value"))
+    messages.write.option("parquet.block.size", 65_536).parquet(str(tmp_path / "in"))
+    tasks = []
+    for inside in (False, True):
+        stream = SC.read_chain_stream(spark, "parquet", str(tmp_path / "in"), 10)
+        with split_bytes(spark, 65_536) if inside else contextlib.nullcontext():
+            J.run_stream(stream, lambda batch, epoch: tasks.append(batch.rdd.getNumPartitions()), str(tmp_path / f"cp{inside}"), trigger=None).awaitTermination()
+    assert tasks[1] >= 8 > tasks[0] and spark.conf.get(name) == before
+    with split_bytes(spark, 1 << 40):
+        assert spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes() <= 128 << 20  # never larger than the session's
+
+
+def test_sessions_are_found_once_for_all_batches(spark, sf_dir, monkeypatch):
+    kept = []
+    real = QR.schedule
+
+    def schedule(*args):
+        kept.append(real(*args))
+        return kept[-1]
+
+    levels = []
+    monkeypatch.setattr(QR, "schedule", schedule)
+    monkeypatch.setattr(QR, "process_messages", lambda batch, sessions, *args, **options: (levels.append(sessions.storageLevel.useMemory), process_messages(batch, sessions, *args, **options))[1])
+    assert QUERIES["str1_contract_job"](spark, sf_dir).count() > 0
+    assert levels and all(levels) and not kept[0].storageLevel.useMemory
